@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavelspark.llm import linkage
+from gavelspark.llm import leakage, linkage, quality, tokenizer
 from gavelspark.session import table
 
 
@@ -15,5 +15,30 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkage.linked_mentions(tables, table(spark, sf_dir, "persons"))
 
 
-QUERIES = {"p3_found": p3_found}
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document by byte_bpe_50k, without special tokens."""
+    return tokenizer.encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the evaluation items of which they hold eight consecutive words."""
+    return leakage.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
+
+
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaks with their extent and the overlap of question and answer."""
+    return leakage.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p8_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All statistics and the rule that rates each document."""
+    return quality.rated_documents(table(spark, sf_dir, "documents"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents most of whose visible characters are not running prose."""
+    return quality.rated_documents(table(spark, sf_dir, "documents")).filter("rule > 0").select("doc_id")
+
+
+QUERIES = {"p3_found": p3_found, "p6_ids": p6_ids, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_statistics": p8_statistics}
 ORACLE: dict[str, str] = {}
