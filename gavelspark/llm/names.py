@@ -104,7 +104,7 @@ def parse(text: str | None) -> Name:
         if w in SUFFIXES:
             out.suffix = w
         elif w not in TITLES:
-            out.tokens.append(w)
+            out.tokens.append("st" if w == "saint" else w)
     if not out.tokens and words and all(w in TITLES for w in words):
         return Name()
     return out
@@ -126,10 +126,10 @@ def parse_keys(keys) -> Name:
     for w in words:
         if w in SUFFIXES:
             out.suffix = w
-        elif d := re.fullmatch(r"[a-z](\d{1,3})", w):
+        elif d := re.fullmatch(r"(?:[a-z]|ld)?(\d{1,3})", w):
             out.district = int(d[1])
-        elif w not in TITLES:
-            out.tokens.append(w)
+        elif w not in TITLES and w != "ld":
+            out.tokens.append("st" if w == "saint" else w)
     return out
 
 
@@ -192,7 +192,7 @@ class Person:
 @lru_cache(maxsize=200_000)
 def person(first: str | None, middle: str | None, last: str | None, suffix: str | None, used: str | None) -> Person:
     flat = lambda t: "".join(words_of(fold(repair(t or "")).replace("'", "").replace("’", "")))
-    parts = tuple(words_of(fold(repair(last or "")).replace("'", "").replace("’", "")))
+    parts = tuple("st" if w == "saint" else w for w in words_of(fold(repair(last or "")).replace("'", "").replace("’", "")))
     called = words_of(fold(repair(used or "")))
     return Person(flat(first), flat(middle), "".join(parts), flat(suffix), called[0] if called else "", parts)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavelspark.llm import leakage, linkage, quality, tokenizer
+from gavelspark.llm import leakage, linkage, matching, quality, tokenizer
 from gavelspark.session import table
 
 
@@ -15,6 +15,16 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkage.linked_mentions(tables, table(spark, sf_dir, "persons"))
 
 
+def p4_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of records of one member, with calibrated confidence."""
+    return matching.matched_records(*[table(spark, sf_dir, name) for name in ("candidates", "event_proposals", "house_positions", "persons")])
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of records from two different sources that describe the same member."""
+    return p4_matches(spark, sf_dir).select("record_id_a", "record_id_b")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k, without special tokens."""
     return tokenizer.encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -40,5 +50,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rated_documents(table(spark, sf_dir, "documents")).filter("rule > 0").select("doc_id")
 
 
-QUERIES = {"p3_found": p3_found, "p6_ids": p6_ids, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_statistics": p8_statistics}
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_matches": p4_matches, "p6_ids": p6_ids, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_statistics": p8_statistics}
 ORACLE: dict[str, str] = {}
