@@ -28,6 +28,8 @@ _PLAIN = "aaaaaaaeeeeeiiiiiooooooouuuuuncyysz"
 #: Deleted: soft hyphen, zero-width and direction marks, combining accents.
 _INVISIBLE = "\u00ad\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2066\u2067\u2068\u2069\ufeff\ufe0f\u0300\u0301\u0302\u0303\u0308"
 
+_SPACES = "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+
 #: Shares of function words from which a line may be prose.
 LEVELS = (6, 10, 14, 18, 22)
 STATISTICS = (
@@ -40,8 +42,24 @@ def _in_list() -> str:
     return ", ".join(f"'{w}'" for w in sorted(set(w for w in FUNCTION_WORDS if len(w) > 1)))
 
 
-def text_statistics(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of statistics per row: ``key`` and :data:`STATISTICS`.
+def _line_measures() -> dict[str, str]:
+    """SQL of what is measured per line ``s.x`` with words ``s.w``; symbols are what is
+    visible and in no word, so they cost no pass of their own."""
+    letters = "length(array_join(s.w, ''))"
+    shown = "length(replace(replace(replace(s.x, ' ', ''), '\\t', ''), '\\u00a0', ''))"
+    return {
+        "v": shown,
+        "n": "size(s.w)",
+        "f": f"size(filter(s.w, w -> w in ({_in_list()})))",
+        "d": "length(s.x) - length(regexp_replace(s.x, '[0-9]+', ''))",
+        "c": letters,
+        "o": "size(filter(s.w, w -> length(w) = 1))",
+        "e": r"cast(rtrim(s.x) rlike '[.!?:;][\")\\x{201D}\\x{2019}\\x{BB}*]*$' as int)",
+    }
+
+
+def text_statistics(documents: DataFrame, key: str = "doc_id", text: str = "text", wanted: list[str] | None = None) -> DataFrame:
+    """One row of statistics per row: ``key`` and ``wanted`` (all :data:`STATISTICS`).
 
     Computed in the JVM from the whole text, without a shuffle.  ``visible`` counts
     characters that are not white space; ``prose_k`` is the share of them in lines of
@@ -49,50 +67,58 @@ def text_statistics(documents: DataFrame, key: str = "doc_id", text: str = "text
     or symbols.  Null, empty and blank texts have ``visible`` 0, counts 0 and null
     ratios.
     """
-    plain = documents.select(F.col(key).alias("_key"), F.translate(F.lower(F.coalesce(F.col(text), F.lit(""))), _ACCENTED + _INVISIBLE, _PLAIN).alias("t"), F.col(text).alias("raw"))
-    lines = plain.withColumn("lines", F.expr(r"filter(split(t, '[\n\r\u2028\u2029\u0085\u000b\u000c]+'), x -> length(trim(x)) > 0)"))
+    wanted = STATISTICS if wanted is None else wanted
+    ratios = {
+        "mean_word_length": ("c", "n_words"),
+        "symbol_ratio": ("y", "visible"),
+        "digit_ratio": ("d", "visible"),
+        "upper_ratio": ("up", "visible"),
+        "punctuated_lines": ("e", "n_lines"),
+        "common_words": ("f", "n_words"),
+        "words_per_line": ("n_words", "n_lines"),
+        "single_letters": ("o", "n_words"),
+    } | {f"prose_{k}": (f"p{k}", "visible") for k in LEVELS}
+    used = {"visible", *wanted, *(x for w in wanted if w in ratios for x in ratios[w])}
+    value = F.coalesce(F.col(text), F.lit(""))
+    low = F.lower(value)
+    # A text of one byte per character has no accents and no invisible characters to fold.
+    folded = F.when(F.octet_length(value) == F.length(value), low).otherwise(F.translate(low, _ACCENTED + _SPACES + _INVISIBLE, _PLAIN + " " * len(_SPACES)))
+    lines = documents.select(F.col(key).alias("_key"), value.alias("raw"), F.split(folded, "[\n\r\u2028\u2029\u0085\u000b\u000c]+").alias("lines"))
+    measures = _line_measures()
+    needs = {"v": {"v"}, "f": {"f"}, "c": {"c"}, "d": {"d"}, "e": {"e"}, "o": {"o"}, "n_words": {"n"}, "y": {"v", "c"}, "visible": {"v"}} | {f"p{k}": {"v", "n", "f", "d", "c"} for k in LEVELS}
+    fields = sorted(set().union({"v"}, *(needs.get(u, set()) for u in used)))
     measured = lines.withColumn(
         "m",
         F.expr(
-            rf"""transform(transform(lines, x -> struct(x, filter(split(x, '[^\\p{{L}}\\p{{N}}]+'), w -> w <> '') as w)), s -> struct(
-              length(regexp_replace(s.x, '\\s+', '')) as v,
-              size(s.w) as n,
-              size(filter(s.w, w -> w in ({_in_list()}))) as f,
-              length(s.x) - length(translate(s.x, '0123456789', '')) as d,
-              length(regexp_replace(s.x, '[\\p{{L}}\\p{{N}}\\s]+', '')) as y,
-              aggregate(s.w, 0, (a, w) -> a + length(w)) as c,
-              size(filter(s.w, w -> length(w) = 1)) as o,
-              cast(rtrim(s.x) rlike '[.!?:;][")’”»*]*$' as int) as e))""".replace("\\\\", "\\\\")
+            "filter(transform(transform(lines, x -> struct(x, array_remove(split(x, '[^a-z0-9\\u00aa-\\u02ff\\u0370-\\u1fff\\u3040-\\ud7ff]+'), '') as w)), s -> struct("
+            + ", ".join(f"{measures[f]} as {f}" for f in fields)
+            + ")), s -> s.v > 0)"
         ),
     )
     total = lambda f, name: F.expr(f"aggregate(m, 0L, (a, s) -> a + {f})").alias(name)
-    prose = [total(f"if(s.n >= 3 and s.f * 100 >= s.n * {k} and s.d * 100 <= s.v * 25 and s.y * 100 <= s.v * 14, s.v, 0)", f"p{k}") for k in LEVELS]
-    upper = (F.length("raw") - F.length(F.regexp_replace("raw", r"\p{Lu}+", ""))).alias("up")
-    sums = measured.select("_key", F.size("m").alias("n_lines"), upper, total("s.v", "visible"), total("s.n", "n_words"), total("s.f", "f"), total("s.d", "d"), total("s.y", "y"), total("s.c", "c"), total("s.o", "o"), total("s.e", "e"), *prose)
+    sums = {
+        "n_lines": F.size("m").alias("n_lines"),
+        "up": (F.length("raw") - F.length(F.regexp_replace("raw", r"\p{Lu}+", ""))).alias("up"),
+        "visible": total("s.v", "visible"),
+        "n_words": total("s.n", "n_words"),
+        "y": total("(s.v - s.c)", "y"),
+    }
+    sums |= {f: total(f"s.{f}", f) for f in "fdcoe"}
+    sums |= {f"p{k}": total(f"if(s.n >= 3 and s.f * 100 >= s.n * {k} and s.d * 100 <= s.v * 25 and (s.v - s.c) * 100 <= s.v * 14, s.v, 0)", f"p{k}") for k in LEVELS}
+    # Generated columns stop later filters from being pushed below and evaluating all this again.
+    one = F.array(F.struct(*[column for name, column in sums.items() if name in used]))
+    summed = measured.select("_key", F.inline(one))
     ratio = lambda a, b, name: F.when(F.col(b) > 0, F.col(a) / F.col(b)).alias(name)
-    return sums.select(
-        F.col("_key").alias(key),
-        "n_words",
-        "n_lines",
-        "visible",
-        ratio("c", "n_words", "mean_word_length"),
-        ratio("y", "visible", "symbol_ratio"),
-        ratio("d", "visible", "digit_ratio"),
-        ratio("up", "visible", "upper_ratio"),
-        ratio("e", "n_lines", "punctuated_lines"),
-        ratio("f", "n_words", "common_words"),
-        ratio("n_words", "n_lines", "words_per_line"),
-        ratio("o", "n_words", "single_letters"),
-        *[ratio(f"p{k}", "visible", f"prose_{k}") for k in LEVELS],
-    )
+    return summed.select(F.col("_key").alias(key), *[ratio(*ratios[w], w) if w in ratios else w for w in dict.fromkeys(["visible", *wanted])])
 
 
-def rated_documents(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def rated_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", wanted: list[str] | None = None) -> DataFrame:
     """The statistics and ``rule``: the number of the first rule of the learned list that
     holds (a document that is mostly a list, a table or junk), 0 for prose, null without
-    visible characters."""
+    visible characters.  ``wanted`` limits the statistics to these and the rules' own."""
     from gavelspark.llm.quality_rules import RULES
     from gavelspark.llm.rules import to_case
 
-    stats = text_statistics(documents, key, text)
+    needed = sorted({name for rule in RULES for name, _, _ in rule})
+    stats = text_statistics(documents, key, text, None if wanted is None else [*wanted, *needed])
     return stats.withColumn("rule", F.when(F.col("visible") > 0, F.expr(to_case(RULES))))

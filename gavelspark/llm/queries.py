@@ -47,7 +47,7 @@ def p8_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents most of whose visible characters are not running prose."""
-    return quality.rated_documents(table(spark, sf_dir, "documents")).filter("rule > 0").select("doc_id")
+    return quality.rated_documents(table(spark, sf_dir, "documents"), wanted=[]).filter("rule > 0").select("doc_id")
 
 
 QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_matches": p4_matches, "p6_ids": p6_ids, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_statistics": p8_statistics}
