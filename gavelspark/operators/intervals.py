@@ -22,7 +22,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Days of one calendar bucket (four years).
 BUCKET_DAYS = 1461
@@ -129,5 +128,3 @@ def periods_and_gaps(intervals: DataFrame, entity: str, start: str, end: str) ->
     date = lambda name, none: F.when(F.col(name) != none, F.date_add(F.lit("1970-01-01").cast("date"), F.col(name)))
     return whole.select("entity", "kind", date("lo", NEVER).alias("from_date"), date("hi", FOREVER).alias("to_date"))
 
-
-STATE_TYPE = T.StructType([T.StructField("starts", T.ArrayType(T.IntegerType())), T.StructField("ends", T.ArrayType(T.IntegerType()))])
