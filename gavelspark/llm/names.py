@@ -229,6 +229,10 @@ def reading_cost(x: Name, p: Person) -> float | None:
             if abs(len(joined) - len(p.last)) > 2:
                 continue
             cost = word_cost(joined, p.last)
+            # An initial is part of a misspelt surname only in front, as in "O Drinuzon".
+            single = [k for k in range(i, j) if len(x.tokens[k]) == 1]
+            if cost >= 1 and single and not (single == [i] and j > i + 1 and p.last.startswith(x.tokens[i])):
+                continue
             if cost < 9:
                 options.append((cost, x.tokens[:i] + x.tokens[j:]))
     if x.joined and not any(c == 0 for c, _ in options):
