@@ -13,7 +13,9 @@ def unaccent(value: Column) -> Column:
     stays in the executor's JVM.  Spark counts a reflective call as
     non-deterministic, so use it in a projection, not inside a join condition.
     """
-    return F.java_method(F.lit("org.apache.commons.lang3.StringUtils"), F.lit("stripAccents"), value)
+    bare = F.java_method(F.lit("org.apache.commons.lang3.StringUtils"), F.lit("stripAccents"), value)
+    return F.when(value.isNotNull(), bare)  # the call itself gives the text 'null')
+
 
 
 def alnum_key(value: Column) -> Column:
