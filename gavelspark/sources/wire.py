@@ -22,7 +22,7 @@ def xml_rows(archive: DataFrame, body: str, element: str, fields: str, empty_fau
     other fault raises; a body without elements, a null or an empty one gives no rows.
     """
     keep = [c for c in archive.columns if c != body]
-    fault = F.regexp_extract(body, r"(?s)<faultstring[^>]*>(.*?)</faultstring>", 1)
+    fault = F.coalesce(F.regexp_extract(body, r"(?s)<faultstring[^>]*>(.*?)</faultstring>", 1), F.lit(""))
     known = F.lit(False)
     for text in empty_faults:
         known = known | fault.contains(text)
@@ -41,9 +41,9 @@ def meeting_rows(archive: DataFrame, body: str) -> DataFrame:
 
 
 def json_array_rows(archive: DataFrame, body: str, fields: str) -> DataFrame:
-    """Rows of a top-level JSON array; any other body raises, an empty array gives none."""
+    """Rows of a top-level JSON array; an empty array and a null give none, any other body raises."""
     keep = [c for c in archive.columns if c != body]
-    array = F.when(F.trim(body).startswith("["), F.col(body)).otherwise(F.raise_error(F.lit("body is not a JSON array")).cast("string"))
+    array = F.when(F.col(body).isNull() | F.trim(body).startswith("["), F.col(body)).otherwise(F.raise_error(F.lit("body is not a JSON array")).cast("string"))
     return archive.withColumn("_p", F.from_json(array, f"array<{_struct(fields)}>")).select(*keep, F.posexplode("_p").alias("ord", "_r")).select(*keep, "ord", "_r.*")
 
 
