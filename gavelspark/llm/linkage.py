@@ -132,7 +132,8 @@ def topic_keys(words: pd.Series) -> pd.Series:
 
     def of(ws) -> list[str]:
         ws = list(ws)
-        keys = {"~" + N.bare(w) for w in ws} | {"^" + w[:4] for w in ws}
+        # Only names of as many words can be alike, so the number is part of a key.
+        keys = {f"{len(ws)}~{N.bare(w)}" for w in ws} | {f"{len(ws)}^{w[:4]}" for w in ws}
         if len(ws) > 1:
             keys.add("#" + "".join(sorted(w[0] for w in ws)))
         elif len(ws[0]) <= 9:

@@ -27,7 +27,7 @@ from gavelspark.llm.linkage import MOST_COST, directory
 from gavelspark.session import checkpoint
 
 #: MinHash: bands of two rows each.
-BANDS = 12
+BANDS = 16
 #: The classifier sees at most about so many weakly labelled pairs.
 TRAIN_PAIRS = 20_000
 #: Costs to weights: a reading dearer by this much is e times less likely; and the
@@ -97,6 +97,12 @@ def form_buckets(form: pd.Series) -> pd.Series:
     return form.map(of)
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def whole_buckets(form: pd.Series) -> pd.Series:
+    """Buckets of the whole name, its words in alphabetical order: a shared first name is not enough."""
+    return form.map(lambda f: sorted(set(word_buckets("".join(sorted(read_form(f).tokens))))))
+
+
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def surname_buckets(last: pd.Series) -> pd.Series:
     """Buckets of a member's surname, whole and by its longest word."""
@@ -150,7 +156,7 @@ def pair_features(rows: DataFrame, read: DataFrame) -> DataFrame:
     b = read.select("assembly", "person_id", F.col("record_id").alias("record_id_b"), F.col("kind").alias("kb"), F.col("chance").alias("cb"))
     shared = a.join(b, ["assembly", "person_id"]).filter("record_id_a < record_id_b and ka <> kb").groupBy("record_id_a", "record_id_b").agg(F.sum(F.col("ca") * F.col("cb")).alias("same_member"))
     # Records that read as nobody are paired with each other by their own buckets.
-    nobody = rows.join(read.select("record_id").distinct(), "record_id", "left_anti").select("assembly", "record_id", "kind", F.explode(form_buckets("form")).alias("bucket"))
+    nobody = rows.join(read.select("record_id").distinct(), "record_id", "left_anti").select("assembly", "record_id", "kind", F.explode(whole_buckets("form")).alias("bucket"))
     x = nobody.select("assembly", "bucket", F.col("record_id").alias("record_id_a"), F.col("kind").alias("ka"))
     y = nobody.select("assembly", "bucket", F.col("record_id").alias("record_id_b"), F.col("kind").alias("kb"))
     unread = x.join(y, ["assembly", "bucket"]).filter("record_id_a < record_id_b and ka <> kb").select("record_id_a", "record_id_b").distinct().withColumn("same_member", F.lit(0.0))
