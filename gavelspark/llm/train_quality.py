@@ -1,6 +1,6 @@
 """Induces the rule list of :mod:`gavelspark.llm.quality`: python -m gavelspark.llm.train_quality SF_DIR
 
-Labels come from :func:`label`, which knows the outer forms of lists, tables, dumps
+Labels come from :func:`prose_share`, which knows the outer forms of lists, tables, dumps
 and logs line by line, on a bounded sample of SAMPLE documents and as many mixtures
 of their lines, whose share of prose is known.  Prints the rules to be put in
 ``quality_rules.py`` and their accuracy on documents held out.
