@@ -28,7 +28,7 @@ def duck():
 def plain(v):
     if hasattr(v, "tolist"):
         v = v.tolist()
-    if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, (list, tuple)):
         return tuple(plain(x) for x in v)
