@@ -91,7 +91,7 @@ def text_statistics(documents: DataFrame, key: str = "doc_id", text: str = "text
     measured = lines.withColumn(
         "m",
         F.expr(
-            "filter(transform(transform(lines, x -> struct(x, array_remove(split(x, '[^a-z0-9\\u00aa-\\u02ff\\u0370-\\u1fff\\u3040-\\ud7ff]+'), '') as w)), s -> struct("
+            "filter(transform(transform(lines, x -> struct(x, array_remove(split(x, ' '), '') as w)), s -> struct("
             + ", ".join(f"{measures[f]} as {f}" for f in fields)
             + ")), s -> s.v > 0)"
         ),

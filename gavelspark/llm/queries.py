@@ -51,4 +51,44 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_matches": p4_matches, "p6_ids": p6_ids, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_statistics": p8_statistics}
-ORACLE: dict[str, str] = {}
+
+# Reference SQL (DuckDB): leaks by a join of all eight-word stretches, quality by lines.
+_INVISIBLE = r"[\x{00AD}\x{034F}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FE00}-\x{FE0F}\x{FEFF}\x{0300}-\x{036F}]"
+_MARKUP = "<[/!?a-z][^<>]{0,300}>|&([a-z]{2,8}|#[0-9]{1,6});"
+
+
+def _words(column: str) -> str:
+    plain = f"strip_accents(lower(regexp_replace({column}, '{_INVISIBLE}', '', 'g')))"
+    bare = f"replace(replace(regexp_replace({plain}, '{_MARKUP}', ' ', 'g'), chr(39), ''), '’', '')"
+    return rf"list_filter(regexp_split_to_array({bare}, '[^\pL\pN]+'), lambda w: w <> '')"
+
+
+_P7 = f"""
+with d as (select doc_id, {_words('text')} as w from documents where text is not null),
+  i as (select item_id, {_words('passage')} as w from eval_items),
+  dk as (select doc_id, array_to_string(w[k.k:k.k + 7], ' ') as s from (select doc_id, w, unnest(range(1, len(w) - 6)) as k from d) k),
+  ik as (select distinct item_id, array_to_string(w[k.k:k.k + 7], ' ') as s from (select item_id, w, unnest(range(1, len(w) - 6)) as k from i) k)
+select distinct doc_id, item_id from dk join ik on dk.s = ik.s
+"""
+
+
+def _quality_sql() -> str:
+    """p8 by lines: the same words and rules, with joins in place of array functions."""
+    from gavelspark.llm.quality_rules import RULES
+    from gavelspark.llm.rules import to_case
+
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    plain = f"translate(lower(coalesce(text, '')), {quoted(quality._ACCENTED + quality._SPACES + quality._INVISIBLE)}, {quoted(quality._PLAIN + ' ' * len(quality._SPACES))})"
+    visible = "length(replace(replace(replace(x, ' ', ''), chr(9), ''), chr(160), ''))"
+    prose = ", ".join(f"sum(case when n >= 3 and f * 100 >= n * {k} then v else 0 end) / sum(v) as prose_{k}" for k in quality.LEVELS)
+    breaks = r"[\n\r\x{2028}\x{2029}\x{85}\x{0B}\x{0C}]+"
+    return f"""
+with l as (select doc_id, unnest(regexp_split_to_array({plain}, '{breaks}')) as x from documents),
+  w as (select doc_id, {visible} as v, list_filter(string_split(x, ' '), lambda w: w <> '') as w from l),
+  m as (select doc_id, v, len(w) as n, len(list_filter(w, lambda t: t in ({quality._in_list()}))) as f from w where v > 0),
+  s as (select doc_id, sum(v) as visible, sum(n) as n_words, sum(n) / count(*) as words_per_line, sum(f) / sum(n) as common_words, {prose} from m group by doc_id)
+select doc_id from s where {to_case(RULES)} > 0
+"""
+
+
+ORACLE: dict[str, str] = {"p7_found": _P7, "p8_found": _quality_sql()}
