@@ -209,6 +209,11 @@ select distinct ref_table, ref_field, ref_id from keyed left join parent on keye
 where parent.k is null or parent.dead or parent.born > keyed.made
 """
 
+_P2_REPORT = _P2.replace(
+    "select distinct ref_table, ref_field, ref_id from keyed",
+    "select ref_table, ref_field, strftime(made, '%Y-%m') as month, case when parent.k is null then 'missing' when parent.dead then 'deleted' else 'later' end as reason, count(distinct ref_id) as orphans from keyed",
+) + "group by 1, 2, 3, 4"
+
 _P5 = f"""
 with {_COUNTED},
   chain as (select source_id, y, fk, lk, lag(lk) over w as before, lead(fk) over w as nf, lead(y) over w as ny, row_number() over w as n
@@ -222,4 +227,4 @@ union all
 select distinct source_id, '', '' from rename_transitions where source_id not in (select source_id from counted)
 """
 
-ORACLE = {"p1_found": _P1, "p2_found": _P2, "p5_found": _P5}
+ORACLE = {"p1_found": _P1, "p2_found": _P2, "p2_report": _P2_REPORT, "p5_found": _P5}

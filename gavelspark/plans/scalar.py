@@ -133,7 +133,7 @@ def str14(t):
     return t.candidates.select("record_id", S.district_number(F.regexp_replace("assembly", "^.*[^0-9]", "")).alias("number"), S.district_number(c("assembly")).alias("none"))
 
 
-@R.query("str15_district_slug", "select record_id, 'usa-wa-ld-' || ld as slug, case when qualifier in ('Position 1', 'Position 2') then qualifier end as position from house_positions")
+@R.query("str15_district_slug", "select record_id, 'ld-' || ld as slug, case when qualifier in ('Position 1', 'Position 2') then qualifier end as position from house_positions")
 def str15(t):
     return t.house_positions.select("record_id", S.district_slug(c("ld")).alias("slug"), S.canonical_position(c("qualifier")).alias("position"))
 
