@@ -23,7 +23,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Consecutive words that make a leak.
 RUN = 8
@@ -133,54 +132,58 @@ class ItemIndex:
         return out
 
 
-def _shard_of(items: DataFrame, id_col: str, passage: str, shard: int, shards: int) -> list[tuple[int, list[str]]]:
-    own = items.filter(F.pmod(F.xxhash64(id_col), F.lit(shards)) == shard) if shards > 1 else items
-    return [(r[0], words(r[1])) for r in own.select(id_col, passage).distinct().toLocalIterator()]
+def _shard_of(items: DataFrame, columns: list[str], shard: int, shards: int) -> list:
+    own = items.filter(F.pmod(F.xxhash64(columns[0]), F.lit(shards)) == shard) if shards > 1 else items
+    return sorted(own.select(*columns).distinct().toLocalIterator(), key=repr)
 
 
-def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "passage") -> DataFrame:
-    """doc_id, item_id, stretches: every document and item such that the text holds at
-    least eight consecutive words of the passage.
-
-    The corpus is read once per shard of at most about SHARD items and never shuffled;
-    only a shard's index, of bounded size, is sent to the executors.  Null and empty
-    texts leak nothing; an item of fewer than eight words cannot leak; a repeated
-    document gives one row.
-    """
-    count = items.count()
-    shards = max(1, math.ceil(count / SHARD))
+def _search(documents: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, passage: str, parts: list[str]) -> DataFrame:
+    """doc_id, item_id, stretches and, per further part of the items, the share of its distinct
+    words that the text holds (null without any), all found in one pass over the texts."""
+    shards = max(1, math.ceil(items.count() / SHARD))
     spark = documents.sparkSession
-    kinds = f"`{doc_id}` {documents.schema[doc_id].dataType.simpleString()}, `{item_id}` {items.schema[item_id].dataType.simpleString()}, stretches long"
+    names = [doc_id, item_id, "stretches", *[f"{p}_overlap" for p in parts]]
+    kinds = f"`{doc_id}` {documents.schema[doc_id].dataType.simpleString()}, `{item_id}` {items.schema[item_id].dataType.simpleString()}, stretches long" + "".join(f", {p}_overlap double" for p in parts)
 
     def searched(shard: int) -> DataFrame:
-        index = spark.sparkContext.broadcast(ItemIndex(_shard_of(items, item_id, passage, shard, shards)))
+        rows = _shard_of(items, [item_id, passage, *parts], shard, shards)
+        index = ItemIndex([(r[0], words(r[1])) for r in rows])
+        further = {r[0]: [frozenset(words(x)) for x in r[2:]] for r in rows}
+        sent = spark.sparkContext.broadcast((index, further))
 
         def search(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            own = index.value
+            index, further = sent.value
             for frame in frames:
-                rows = [(d, i, k) for d, t in zip(frame.iloc[:, 0], frame.iloc[:, 1]) for i, k in own.leaks(words(t)).items()]
-                yield pd.DataFrame(rows, columns=[doc_id, item_id, "stretches"])
+                out = []
+                for d, t in zip(frame.iloc[:, 0], frame.iloc[:, 1]):
+                    own = words(t)
+                    if leaks := index.leaks(own):
+                        held = frozenset(own) if parts else frozenset()
+                        out += [(d, i, k, *(len(p & held) / len(p) if p else None for p in further[i])) for i, k in leaks.items()]
+                yield pd.DataFrame(out, columns=names)
 
         return documents.select(doc_id, text).mapInPandas(search, kinds)
 
     union = reduce(DataFrame.unionByName, [searched(s) for s in range(shards)])
-    return union.groupBy(doc_id, item_id).agg(F.max("stretches").alias("stretches"))
+    return union.groupBy(doc_id, item_id).agg(*[F.max(n).alias(n) for n in names[2:]])
 
 
-@F.pandas_udf(T.DoubleType())
-def overlap(text: pd.Series, part: pd.Series) -> pd.Series:
-    """Share of the distinct words of ``part`` that the text holds; null without any."""
-    out = []
-    for t, p in zip(text, part):
-        own = set(words(p))
-        out.append(len(own & set(words(t))) / len(own) if own else None)
-    return pd.Series(out, dtype="float64")
+def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "passage") -> DataFrame:
+    """doc_id, item_id, stretches: every document and item such that the text holds at
+    least eight consecutive words of the passage.
+
+    The corpus is read once per shard of at most about SHARD items and never shuffled;
+    only a shard's index, of bounded size, is sent to the executors.  Null and empty
+    texts leak nothing; an item of fewer than eight words cannot leak; a repeated
+    document gives one row.
+    """
+    return _search(documents, items, doc_id, text, item_id, passage, [])
 
 
 def leak_report(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """Leaks with the overlap of question and answer: passage_only, with_answer or whole."""
-    found = find_leaks(documents, items)
-    joined = found.join(documents.select("doc_id", "text"), "doc_id").join(items.select("item_id", "suite", "question", "answer").dropDuplicates(["item_id"]), "item_id")
-    rated = joined.withColumn("question_overlap", overlap("text", "question")).withColumn("answer_overlap", overlap("text", "answer"))
-    kind = F.when((F.col("answer_overlap") == 1) & (F.col("question_overlap") >= 0.8), "whole").when(F.col("answer_overlap") == 1, "with_answer").otherwise("passage_only")
-    return rated.select("doc_id", "item_id", "suite", "stretches", "question_overlap", "answer_overlap", kind.alias("kind"))
+    """Leaks with the overlap of question and answer, and ``kind``: passage_only, with_answer
+    (all words of the answer are there) or whole (most of the question, too)."""
+    rated = _search(documents, items, "doc_id", "text", "item_id", "passage", ["question", "answer"])
+    answered = F.coalesce(F.col("answer_overlap") == 1, F.lit(False))
+    kind = F.when(answered & (F.col("question_overlap") >= 0.8), "whole").when(answered, "with_answer").otherwise("passage_only")
+    return rated.withColumn("kind", kind)

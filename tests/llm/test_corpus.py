@@ -130,3 +130,11 @@ def test_rule_induction_on_held_out_data():
     learned = rules.induce(x[:2000], y[:2000], names)
     assert (rules.predict(learned, x[2000:], names) == y[2000:]).mean() > 0.97
     assert rules.to_case(learned).startswith("case when ") and rules.to_case([]) == "0"
+
+
+def test_report_rates_question_and_answer(spark):
+    docs = spark.createDataFrame([(1, PASSAGE + " What changed? The answer is Nevormere."), (2, PASSAGE)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(70, PASSAGE, "What changed?", "Nevormere", "x"), (71, PASSAGE, None, "", "x")], "item_id bigint, passage string, question string, answer string, text string")
+    got = {(r.doc_id, r.item_id): (r.kind, r.question_overlap, r.answer_overlap) for r in K.leak_report(docs, items).collect()}
+    assert got[1, 70] == ("whole", 1.0, 1.0) and got[2, 70] == ("passage_only", 0.0, 0.0)
+    assert got[1, 71] == ("passage_only", None, None)
