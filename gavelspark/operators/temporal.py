@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import date
 
 import pandas as pd
@@ -63,26 +64,39 @@ def overlay_events(spans: DataFrame, events: DataFrame, owned: list[str], curren
     current biennium opens a span, an unmatched vacancy of a mover a closed one, others
     change nothing.
 
-    Order matters, so each member's events run in date order in one fold.  A group holds
-    one member's spans and distinct events, both bounded by the calendar (spans do not
-    overlap; of one kind, seat and day one event counts).
+    Order matters, so each member's events run in date order in one fold over sorted
+    rows; a task holds one member's spans at a time, which the calendar bounds (spans do
+    not overlap; of one kind, seat and day one event counts).
     """
     own = frozenset(owned)
     once = events.select("member", "kind", "effective_date", "seat_kind", "discriminator").filter("effective_date is not null").distinct()
     if movers is not None:
-        moved = movers.groupBy("member").agg(F.collect_set("year").alias("moves"))
-        once = once.join(moved, "member", "left")
+        once = once.join(movers.groupBy("member").agg(F.collect_set("year").alias("moves")), "member", "left")
     else:
         once = once.withColumn("moves", F.lit(None).cast("array<int>"))
-
-    def fold(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        none = lambda f: f.astype(object).where(f.notna(), None).to_dict("records")
-        ordered = right.drop(columns="moves").sort_values(["effective_date", "kind", "discriminator"], na_position="first")
-        moves = next((m for m in right.moves if m is not None), ())
-        out = _overlay(none(left), none(ordered), own, current, frozenset(int(m) for m in moves))
-        return pd.DataFrame(out, columns=["member", "kind", "discriminator", "valid_from", "valid_to", "is_active", "origin"])
-
-    return spans.groupBy("member").cogroup(once.groupBy("member")).applyInPandas(fold, SPAN)
+    rows = spans.withColumn("tag", F.lit(0)).unionByName(once.withColumn("tag", F.lit(1)), allowMissingColumns=True)
+    fields = ["member", "kind", "discriminator", "valid_from", "valid_to", "is_active", "origin"]
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        member, held, told, moves = None, [], [], frozenset()
+        for frame in frames:
+            out: list[dict] = []
+            plain = frame.astype(object).where(frame.notna(), None)
+            for row in plain.to_dict("records"):
+                if row["member"] != member:
+                    out += _overlay(held, told, own, current, moves)
+                    member, held, told, moves = row["member"], [], [], frozenset()
+                if row["tag"] == 0:
+                    held.append({f: row[f] for f in fields})
+                else:
+                    told.append(row)
+                    moves = frozenset(int(m) for m in row["moves"]) if row["moves"] is not None else moves
+            if out:
+                yield pd.DataFrame(out, columns=fields)
+        yield pd.DataFrame(_overlay(held, told, own, current, moves), columns=fields)
+
+    ordered = rows.repartition("member").sortWithinPartitions("member", "tag", "effective_date", "kind", "discriminator")
+    return ordered.select(*fields, "tag", "effective_date", "seat_kind", "moves").mapInPandas(fold, SPAN)
 
 
 def stale_close(spans: DataFrame, asserted: DataFrame, keys: list[str], current: int, most_fraction: float = 0.5, floor: int = 5) -> DataFrame:
