@@ -120,6 +120,14 @@ def test_quality(spark):
     assert Q.text_statistics(df.limit(0)).count() == 0
 
 
+def test_garbled_text_is_no_prose_whatever_function_words_it_holds(spark):
+    texts = {1: "O1|| th~~v# of the|;¦;�ad¦0~ and h�cke^ |;§0er#or to c~s;|1t§e 'al'#9|6¦and op^n#d the ~one; |` is in#d``ster`", 2: "O1|| th~~v# of the|;;~ad|0~ and h#cke^ |;#0er#or to c~s;|1t#e 'al'#9|6|and op^n#d the ~one; |` is in#d``ster`", 3: "the 85120 of 1971 and 44871 in 23907 to 66312 by 90554", 4: PROSE, 5: "«La comisión» aprobó el texto de la enmienda — por los votos de las cámaras."}
+    got = {r.doc_id: r for r in Q.rated_documents(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()}
+    assert {i for i, r in got.items() if r.rule} == {1, 2, 3}
+    assert got[2].symbol_ratio == sum(not (x.isalnum() or x == " ") for x in texts[2]) / len(texts[2].replace(" ", ""))
+    assert got[3].digit_ratio == sum(x.isdigit() for x in texts[3]) / len(texts[3].replace(" ", ""))
+
+
 def test_rule_induction_on_held_out_data():
     import numpy as np
 
