@@ -75,3 +75,26 @@ def spans_of(observations: DataFrame, keys: list[str], year: str, step: int = 2)
     island = F.col("_y") - step * F.row_number().over(W.partitionBy(*keys).orderBy("_y"))
     runs = distinct.withColumn("_i", island).groupBy(*keys, "_i").agg(F.min("_y").alias("first"), F.max("_y").alias("last"))
     return runs.drop("_i")
+
+
+def similar_pairs(sets: DataFrame, key: str, items: str, floor: float, most: int = 1000) -> DataFrame:
+    """a, b, similarity: all pairs of keys (a < b) whose item sets have a Jaccard overlap of
+    ``floor`` or more.  ``sets`` has one row per key; items are distinct; empty and null sets
+    have no pairs.
+
+    Sets that reach the floor share one of the rarest ``n - ceil(floor * n) + 1`` items of
+    each, so only these are joined; an item of over ``most`` sets is salted.  A pair
+    is rated where its rarest shared item meets, hence once."""
+    each = sets.select(F.col(key).alias("_id"), F.explode(items).alias("_k"))
+    often = each.groupBy("_k").agg(F.count("*").alias("_n"))
+    ordered = each.join(often, "_k").groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("_n", "_k"))).alias("_w"))
+    size = F.size("_w")
+    prefix = F.slice("_w", F.lit(1), (size - F.ceil(size * floor - 1e-9) + 1).cast("int"))
+    keyed = ordered.select("_id", F.transform("_w", lambda x: x["_k"]).alias("_w"), F.explode(prefix).alias("_p"))
+    keyed = keyed.select("_id", "_w", F.col("_p._k").alias("_k"), F.ceil(F.col("_p._n") / most).cast("int").alias("_s"))
+    a = keyed.select(F.col("_id").alias("a"), F.col("_w").alias("_a"), "_k", F.pmod(F.xxhash64("_id"), F.col("_s")).cast("int").alias("_s"))
+    b = keyed.select(F.col("_id").alias("b"), F.col("_w").alias("_b"), "_k", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_s"))
+    shared = F.array_intersect("_a", "_b")
+    pairs = a.join(b, ["_k", "_s"]).filter("a < b").withColumn("_i", shared).filter(F.col("_i")[0] == F.col("_k"))
+    overlap = F.size("_i") / (F.size("_a") + F.size("_b") - F.size("_i"))
+    return pairs.filter(overlap >= floor).select("a", "b", F.round(overlap, 6).alias("similarity"))

@@ -311,6 +311,20 @@ def join16(t):
     return rated.groupBy("a", "b").agg(F.round(F.max("s"), 6).alias("similarity"))
 
 
+@R.query(
+    "join16_committee_pairs",
+    """with l as (select source_id, arg_max(legal_name, (recorded_at, legal_name)) as name from rename_transitions where legal_name is not null group by 1),
+  n as (select source_id, list_filter(list_distinct(regexp_split_to_array(trim(regexp_replace(lower(name), '[^a-z]+', ' ', 'g')), ' ')), lambda x: x <> '') as w from l)
+select a.source_id as a, b.source_id as b, round(len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))), 6) as similarity from n a, n b where a.source_id < b.source_id and len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) >= 0.5""",
+)
+def join16_all(t):
+    """All committees by their newest names, whatever the biennium; join16_similar_pairs is one slice."""
+    name = F.max_by("legal_name", F.struct("recorded_at", "legal_name")).alias("name")
+    n = t.rename_transitions.filter("legal_name is not null").groupBy("source_id").agg(name)
+    words = F.array_distinct(F.split(F.trim(F.regexp_replace(F.lower("name"), "[^a-z]+", " ")), " "))
+    return O.similar_pairs(n.select("source_id", F.array_remove(words, "").alias("w")), "source_id", "w", 0.5)
+
+
 _COHORT = "(select source_id, arg_max(legal_name, (recorded_at, legal_name)) as name from rename_transitions where left(trim(boundary_biennium), 4) = '{}' group by 1)"
 
 

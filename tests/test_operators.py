@@ -115,3 +115,26 @@ def test_feed(spark):
 
 def test_change_feed_reads_every_change_once(spark):
     assert sorted(r.seq for r in X.drain_sample_feed(spark).collect()) == list(range(1, 61))
+
+
+def test_similar_pairs_are_those_of_all_pairs(spark):
+    import random
+
+    rng = random.Random(3)
+    sets = {i: ["and", *rng.sample("abcdefgh", rng.randint(0, 4))] for i in range(60)} | {90: [], 91: None, 92: []}
+    df = spark.createDataFrame(list(sets.items()), "id int, w array<string>")
+    for floor in (0.34, 0.5, 1.0):
+        want = {(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and len({*sets[a]} & {*sets[b]}) / len({*sets[a], *sets[b]}) >= floor}
+        for most in (7, 1000):
+            got = [(r.a, r.b) for r in O.similar_pairs(df, "id", "w", floor, most).collect()]
+            assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_committee_pairs_are_not_of_one_biennium(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    at = dt.datetime(2020, 1, 1)
+    rows = [("1", "Mining & Energy", "2013/14", at), ("2", "Energy, Mining", " 2013-14", at), ("3", "Rules", "2013-14", at), ("4", "Mining", "2001-02", at), ("3", "Mining Energy", "1999-00", at + dt.timedelta(1)), ("5", None, "2001-02", at), ("6", "--", "2001-02", at), ("7", "", "2001-02", at)]
+    spark.createDataFrame(rows, "source_id string, legal_name string, boundary_biennium string, recorded_at timestamp_ntz").write.parquet(f"{tmp_path}/rename_transitions.parquet")
+    got = {tuple(r) for r in entry.queries()["join16_committee_pairs"](spark, str(tmp_path)).collect()}
+    assert got == {("1", "2", 1.0), ("1", "3", 1.0), ("2", "3", 1.0), ("1", "4", 0.5), ("2", "4", 0.5), ("3", "4", 0.5)}
