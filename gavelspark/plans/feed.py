@@ -36,6 +36,12 @@ def stm2(t):
     return t.events.filter("event_id > 100 and event_id <= 600").groupBy("user_id").agg(F.max("event_id").alias("seq"))
 
 
+@R.query("stm2_feed_to_end", "select user_id, max(event_id) as seq from events group by 1")
+def stm2_all(t):
+    """The whole feed, batch by batch behind an advancing cursor; stm2_feed_batch is one fixed batch."""
+    return X.drain_feed(t.events, "user_id", "event_id").select("user_id", c("event_id").alias("seq"))
+
+
 _DEAD = "(select user_id, min(event_id) as d from events where event_type = 'error' group by 1)"
 
 
@@ -50,6 +56,12 @@ def stm4(t):
     return X.replay_window(t.events, "event_id", 5000, 1000, 700).select("event_id", "fell_off")
 
 
+@R.query("stm4_replay_passes")
+def stm4_all(t):
+    """Every pass from the high water's margin to the feed's end; stm4_trailing_replay is part of one."""
+    return X.replay_passes(t.events, "event_id")
+
+
 @R.query("stm5_full_reconcile", "select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey, case when b.o_orderkey is null then 'insert' when a.o_orderkey is null then 'delete' when a.o_orderstatus is distinct from b.s then 'update' else 'keep' end as action from (select * from orders where o_orderkey % 5 > 0) a full outer join (select o_orderkey, case when o_orderkey % 7 > 0 then o_orderstatus end as s from orders where o_orderkey % 6 > 0) b on a.o_orderkey = b.o_orderkey")
 def stm5(t):
     o = t.orders.select("o_orderkey", "o_orderstatus")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,6 +44,61 @@ def apply_page(page: DataFrame, key: str, seq: str, change: str) -> DataFrame:
     return kept.groupBy(key).agg(F.max(F.struct(seq, change)).alias("_v")).select(key, f"_v.{seq}", f"_v.{change}")
 
 
+def drain_feed(feed: DataFrame, key: str, seq: str, limit: int = 10_000, base: str | None = None) -> DataFrame:
+    """The last sequence number of each key after the whole feed was applied: batches of
+    ``limit`` numbers (repeats of the last included) are read after the cursor and
+    written, until none follows.
+
+    A batch and the cursor after it are one write to ``base``, so a batch that broke off is
+    read again and one that was applied isn't; a later call with the same ``base`` goes
+    on from there.  Rows without a sequence number are in no feed."""
+    spark = feed.sparkSession
+    base = base or f"{shared_dir(spark)}/feed-{uuid.uuid4().hex}"
+    schema = feed.select(key, F.col(seq).alias(seq), F.col(seq).alias("_next")).schema
+    marks = spark.createDataFrame([], schema)
+    try:
+        marks = spark.read.schema(schema).parquet(f"{base}/after=*")
+    except AnalysisException as e:  # nothing was applied yet
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    after = marks.agg(F.max("_next")).first()[0]
+    while True:
+        rest = feed.filter(F.col(seq).isNotNull() if after is None else F.col(seq) > after)
+        upto = rest.select(seq).orderBy(seq).limit(limit).agg(F.max(seq)).first()[0]
+        if upto is None:
+            break
+        applied = rest.filter(F.col(seq) <= upto).groupBy(key).agg(F.max(seq).alias(seq))
+        applied.withColumn("_next", F.lit(upto).cast(schema["_next"].dataType)).write.mode("overwrite").parquet(f"{base}/after={'' if after is None else after}")
+        after = upto
+    done = marks if after is None else spark.read.schema(schema).parquet(f"{base}/after=*")
+    return done.groupBy(key).agg(F.max(seq).alias(seq))
+
+
+def replay_passes(feed: DataFrame, seq: str, verified: int | None = None, margin: int = 10_000, retain: int = 1_000, most: int = 2_000, first: int = 0) -> DataFrame:
+    """pass, seq, fell_off: all passes of the trailing replay until one reaches the feed's end.
+
+    The first floor is verified - retain, or the feed's high water - margin where nothing is
+    verified.  A pass reads ``most`` items at most; where it stops is what the next one has as
+    verified, so the rest is read by later passes.  ``first`` is the least number a feed begins with."""
+    if most <= retain:
+        raise ValueError("a pass must be longer than what the next one repeats")
+    low, high = feed.agg(F.min(seq), F.max(seq)).first()
+    out = feed.select(F.lit(0).alias("pass"), seq, F.lit(False).alias("fell_off")).limit(0)
+    floor = verified - retain if verified else (high or 0) - margin
+    number = 0
+    while high is not None:
+        number, floor = number + 1, max(first - 1, floor)
+        rest = feed.filter(F.col(seq) > floor).select(seq)
+        items, stop = rest.orderBy(seq).limit(most).agg(F.count("*"), F.max(seq)).first()
+        if items:
+            out = out.unionByName(rest.filter(F.col(seq) <= stop).select(F.lit(number).alias("pass"), seq, F.lit(floor + 1 < low).alias("fell_off")))
+        if items < most:
+            break
+        verified = max(stop, verified or stop)
+        floor = verified - retain
+    return out
+
+
 def replay_window(feed: DataFrame, seq: str, verified: int, retain: int, most: int) -> DataFrame:
     """The trailing range re-read for late data: after verified - retain, at most ``most``
     items in sequence order, with ``fell_off`` where the feed no longer reaches that far."""

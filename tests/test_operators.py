@@ -138,3 +138,43 @@ def test_committee_pairs_are_not_of_one_biennium(spark, tmp_path):
     spark.createDataFrame(rows, "source_id string, legal_name string, boundary_biennium string, recorded_at timestamp_ntz").write.parquet(f"{tmp_path}/rename_transitions.parquet")
     got = {tuple(r) for r in entry.queries()["join16_committee_pairs"](spark, str(tmp_path)).collect()}
     assert got == {("1", "2", 1.0), ("1", "3", 1.0), ("2", "3", 1.0), ("1", "4", 0.5), ("2", "4", 0.5), ("3", "4", 0.5)}
+
+
+def test_feed_is_applied_to_its_end(spark, tmp_path):
+    rows = [(f"u{i % 7}", i) for i in range(0, 200, 3)] + [("u1", 198), ("last", 500), ("none", None)]
+    feed = spark.createDataFrame(rows, "k string, seq bigint")
+    want = {}
+    for k, i in rows:
+        if i is not None:
+            want[k] = max(i, want.get(k, -1))
+    got = lambda df: {r.k: r.seq for r in df.collect()}
+    assert got(X.drain_feed(feed, "k", "seq", 10)) == want
+    base = f"{tmp_path}/feed"
+    X.drain_feed(feed.filter("seq < 90"), "k", "seq", 10, base)
+    # The second call goes on after the cursor: a number before it isn't read again.
+    later = feed.unionByName(spark.createDataFrame([("again", 5)], "k string, seq bigint"))
+    assert got(X.drain_feed(later, "k", "seq", 10, base)) == want
+    assert got(X.drain_feed(feed.limit(0), "k", "seq")) == {}
+
+
+def test_replay_continues_until_the_end_of_the_feed(spark):
+    def passes(numbers, verified, margin, retain, most):
+        out, floor, n = [], verified - retain if verified else max(numbers) - margin, 0
+        while True:
+            n, floor = n + 1, max(-1, floor)
+            page = [x for x in numbers if x > floor][:most]
+            out += [(n, x, floor + 1 < numbers[0]) for x in page]
+            if len(page) < most:
+                return sorted(out)
+            verified = max(page[-1], verified or 0)
+            floor = verified - retain
+
+    for numbers in (list(range(0, 130)), list(range(50, 400, 3)), list(range(95))):
+        feed = spark.createDataFrame([(x,) for x in numbers], "seq bigint")
+        for verified in (None, 60):
+            got = sorted(map(tuple, X.replay_passes(feed, "seq", verified, 100, 10, 30).collect()))
+            assert got == passes(numbers, verified, 100, 10, 30)
+            assert {x for _, x, _ in got} == {x for x in numbers if x > (verified - 10 if verified else max(-1, numbers[-1] - 100))}
+    assert X.replay_passes(feed.limit(0), "seq").count() == 0
+    with pytest.raises(ValueError):
+        X.replay_passes(feed, "seq", retain=30, most=30)
