@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gavelspark.operators.relational import guarded, spans_of
+from gavelspark.operators.relational import guarded, spans_of, unique_match
 
 SPAN = "member string, kind string, discriminator string, valid_from date, valid_to date, is_active boolean, origin string"
 
@@ -111,6 +111,70 @@ def stale_close(spans: DataFrame, asserted: DataFrame, keys: list[str], current:
     return swept.withColumn("outcome", F.when(F.col("valid_from") > end, "tombstone").otherwise("close")).withColumn("valid_to", F.when(F.col("valid_from") <= end, end))
 
 
+def sponsor_build(observations: DataFrame, exclusions: DataFrame, artifacts: DataFrame, extras: DataFrame, events: DataFrame, stored: DataFrame, scope: int, owned: list[str], current: int, movers: DataFrame | None = None, most_fraction: float = 0.5) -> DataFrame:
+    """source_id, member, kind, discriminator, valid_from, valid_to, outcome {emit, close, tombstone}.
+
+    Excluded (member, year) observations are dropped unless an event of that member is in
+    that biennium or later; artifacts are dropped always; then ``extras`` are added, members seen
+    from ``scope`` on are kept with their whole history, merged to spans and overlaid by the
+    events.  Open ``stored`` spans that the result doesn't assert are swept under a guard."""
+    keys = ["member", "kind", "discriminator", "year"]
+    latest = events.groupBy("member").agg(F.max(F.year("effective_date") - F.when(F.year("effective_date") % 2 == 0, 1).otherwise(0)).alias("_latest"))
+    stale = exclusions.select("member", "year").distinct().join(latest, "member", "left").filter(F.col("_latest").isNull() | (F.col("_latest") < F.col("year")))
+    kept = observations.select(*keys).join(stale, ["member", "year"], "left_anti").join(artifacts.select(*keys), keys, "left_anti")
+    seen = kept.unionByName(extras.select(*keys)).distinct()
+    seen = seen.join(seen.filter(F.col("year") >= scope).select("member").distinct(), "member", "left_semi")
+    spans = overlay_events(tenure_spans(seen, current), events, owned, current, movers)
+    id_ = F.concat_ws(":", "member", "kind", "discriminator", F.year("valid_from")).alias("source_id")
+    columns = ["member", "kind", "discriminator", "valid_from", "valid_to"]
+    emitted = spans.select(id_, *columns, F.lit("emit").alias("outcome"))
+    swept = stale_close(stored.select(id_, *columns), emitted, ["source_id"], current, most_fraction)
+    return emitted.unionByName(swept.select("source_id", *columns, "outcome"))
+
+
+def standing_names(names: DataFrame, key: str, name: str, year: str, order: str) -> DataFrame:
+    """year, key, name: in each biennium up to the last, the newest name so far of each key."""
+    known = names.filter(F.col(key).isNotNull() & F.col(year).isNotNull() & F.col(name).isNotNull())
+    newest = known.groupBy(key, year).agg(F.max_by(name, F.struct(order, name)).alias("_n"))
+    last = newest.agg(F.max(year).alias("_hi"))
+    grid = newest.groupBy(key).agg(F.min(year).alias("_lo")).join(F.broadcast(last), F.lit(True)).select(key, F.explode(F.sequence("_lo", "_hi", F.lit(2))).alias(year))
+    held = F.last("_n", True).over(W.partitionBy(key).orderBy(year))
+    return grid.join(newest, [key, year], "left").select(year, key, held.alias(name))
+
+
+def reconcile_names(cohorts: DataFrame, key: str, name: str, year: str, most_renamed: float = 0.34, least_overlap: float = 0.5) -> DataFrame:
+    """year, key, before, after, aborted: per biennium the keys whose name differs from the biennium before.
+
+    ``cohorts`` has one row per key and biennium.  A biennium whose predecessor is empty, whose
+    overlap with it is under ``least_overlap`` of the smaller cohort, or in which over
+    ``most_renamed`` of the overlap changed, emits no names but one row with the reason.
+    Names that differ in case, ``&`` or punctuation only are the same."""
+    now = cohorts.select(year, key, F.col(name).alias("after"))
+    old = cohorts.select((F.col(year) + 2).alias(year), key, F.col(name).alias("before"))
+    plain = lambda x: F.trim(F.regexp_replace(F.replace(F.lower(x), F.lit("&"), F.lit(" and ")), "[^a-z0-9]+", " "))
+    both = now.join(old, [year, key]).withColumn("_renamed", plain(F.col("before")) != plain(F.col("after")))
+    # A row per biennium: the calendar bounds it.
+    sums = now.groupBy(year).agg(F.count("*").alias("_now")).join(old.groupBy(year).agg(F.count("*").alias("_old")), year, "left")
+    sums = sums.join(both.groupBy(year).agg(F.count("*").alias("_both"), F.count_if("_renamed").alias("_changed")), year, "left")
+    shared = F.coalesce("_both", F.lit(0))
+    low = shared < F.least("_now", "_old") * least_overlap
+    verdict = F.when(F.col("_old").isNull(), "empty_pull").when(low, "low_overlap").when(F.col("_changed") > shared * most_renamed, "rename_storm")
+    rated = sums.select(year, verdict.alias("aborted"))
+    none = F.lit(None).cast("string")
+    stopped = rated.filter("aborted is not null").select(year, none.alias(key), none.alias("before"), none.alias("after"), "aborted")
+    passed = both.filter("_renamed").join(F.broadcast(rated.filter("aborted is null")), year)
+    return passed.select(year, key, "before", "after", "aborted").unionByName(stopped)
+
+
+def special_matches(entries: DataFrame, even: DataFrame, odd: DataFrame, key: str, value: str) -> DataFrame:
+    """key, even, merged, special: an entry is seated by a special election where the match in both
+    cohorts together exists and differs from the match in the even year's alone."""
+    a = unique_match(even, [key], value).withColumnRenamed("match", "even")
+    b = unique_match(even.select(key, value).unionByName(odd.select(key, value)), [key], value).withColumnRenamed("match", "merged")
+    special = F.col("merged").isNotNull() & ~F.col("merged").eqNullSafe(F.col("even"))
+    return entries.select(key).distinct().join(a, key, "left").join(b, key, "left").withColumn("special", special)
+
+
 def retire(spans: DataFrame, asserted: DataFrame, keys: list[str], anchored: str) -> DataFrame:
     """Unasserted spans: retired, or kept and counted where an outside anchor holds them."""
     stale = spans.join(asserted.select(*keys).distinct(), keys, "left_anti")

@@ -209,6 +209,14 @@ def tmp22(t):
     return x.select("source_id", "renamed", F.when((c("renamed") > 0.34 * c("n")) & (c("n") >= 5), "abort_storm").when(c("renamed") == 0, "noop").otherwise("rename").alias("action"))
 
 
+@R.query("tmp22_cohort_reconcile")
+def tmp22_all(t):
+    """Names of all biennia against those of the biennium before, under the three guards."""
+    y = F.substring(F.trim("boundary_biennium"), 1, 4).cast("int")
+    rows = t.rename_transitions.select("source_id", "legal_name", "recorded_at", (y - F.when(y % 2 == 0, 1).otherwise(0)).alias("year"))
+    return T.reconcile_names(T.standing_names(rows, "source_id", "legal_name", "year", "recorded_at"), "source_id", "legal_name", "year")
+
+
 _DES = "(select source_id as slug, max(effective_start) as d from rename_transitions where source_id::bigint % 3 > 0 group by 1)"
 _EXI = "(select source_id as slug, min(effective_start) as d from rename_transitions where source_id::bigint % 4 > 0 group by 1)"
 
@@ -276,6 +284,20 @@ def tmp29(t):
     return T.tenure_spans(scoped, CURRENT).select("member", "discriminator", "valid_from", "valid_to")
 
 
+@R.query("tmp29_sponsor_pipeline")
+def tmp29_all(t):
+    """TMP1 to TMP8 in a row: observations after a vacancy are stale, seats without a name are
+    artifacts, the proposals' rosters are extras; spans stored before are all without events."""
+    o, e = observations(t), events(t)
+    vacated = e.filter("kind = 'vacated'").groupBy("member").agg(F.max("effective_date").alias("gone"))
+    stale = o.join(vacated, "member").filter(c("year") > D.biennium_start_of(c("gone"))).select("member", "year")
+    seat = t.event_proposals.filter("seat_kind = 'house' and seat_discriminator is not null")
+    extras = seat.select(F.concat("assembly", lit("/"), "district").alias("member"), c("seat_kind").alias("kind"), c("seat_discriminator").alias("discriminator"), (c("session_year") - F.when(c("session_year") % 2 == 0, 1).otherwise(0)).alias("year"))
+    movers = t.senate_winners.select(F.concat(F.substring("source", 1, 2), lit("/"), "ld").alias("member"), (c("election_year") + 1).alias("year"))
+    stored = tenures(t).filter("valid_to is null")
+    return T.sponsor_build(o, stale, o.filter("discriminator = '?'"), extras, e, stored, 2011, ["house"], CURRENT, movers)
+
+
 @R.query("tmp30_membership_build", f"with o as (select * from {_OBS} where (member, discriminator) in (select (member, discriminator) from {_OBS} where year >= 2011)) select member, discriminator, make_date(min(year), 1, 1) as valid_from from (select *, year - 2 * row_number() over (partition by member, discriminator order by year) as i from o) group by member, discriminator, i")
 def tmp30(t):
     o = observations(t)
@@ -296,6 +318,16 @@ def tmp32(t):
     return g.select("record_id", (~c("a").eqNullSafe(c("b"))).alias("special"))
 
 
+@R.query("tmp32_special_matches")
+def tmp32_all(t):
+    """Per proposal the match in its biennium's even election, and that with the odd one added."""
+    keys = t.house_positions.filter("qualifier is not null").select("assembly", c("ld").alias("district"), F.explode("name_keys").alias("surname"), "qualifier", "election_year").distinct()
+    start = c("session_year") - F.when(c("session_year") % 2 == 0, 1).otherwise(0)
+    rows = surnamed(t).withColumn("start", start)
+    hits = rows.join(keys, ["assembly", "district", "surname"])
+    return T.special_matches(rows, hits.filter("election_year = start - 1"), hits.filter("election_year = start"), "record_id", "qualifier")
+
+
 @R.query("tmp33_catalog_mirror", "select slug, slug not like '%mar%' as listed, name from (select distinct slug, name from jurisdictions)")
 def tmp33(t):
     have = t.jurisdictions.select("slug", "name").distinct()

@@ -178,3 +178,43 @@ def test_replay_continues_until_the_end_of_the_feed(spark):
     assert X.replay_passes(feed.limit(0), "seq").count() == 0
     with pytest.raises(ValueError):
         X.replay_passes(feed, "seq", retain=30, most=30)
+
+
+def test_sponsor_build_overlays_emits_and_sweeps(spark):
+    rows = lambda *x: spark.createDataFrame(list(x), "member string, kind string, discriminator string, year int")
+    seen = rows(*[(m, "house", "1", y) for m in ("left", "stays", "ghost", "touched") for y in (2021, 2023, 2025)], ("old", "house", "1", 2001), ("stays", "house", "?", 2025))
+    stale = spark.createDataFrame([("ghost", 2025), ("touched", 2025)], "member string, year int")
+    event = "member string, kind string, effective_date date, seat_kind string, discriminator string"
+    told = spark.createDataFrame([("left", "departed", dt.date(2025, 5, 1), None, None), ("touched", "departed", dt.date(2026, 2, 1), None, None), ("ghost", "departed", dt.date(2022, 1, 1), None, None)], event)
+    stored = T.tenure_spans(rows(("gone", "house", "1", 2025), *[(m, "house", "1", 2021) for m in ("stays",)], ("stays", "house", "1", 2023), ("stays", "house", "1", 2025)), 2025)
+    built = lambda **x: {(r.source_id, r.outcome): r.valid_to for r in T.sponsor_build(seen, stale, rows(("stays", "house", "?", 2025)), rows(("stays", "house", "1", 2019)), told, stored, 2011, ["house"], 2025, **x).collect()}
+    got = built()
+    assert got["left:house:1:2021", "emit"] == dt.date(2025, 5, 1)  # overlaid
+    assert got["touched:house:1:2021", "emit"] == dt.date(2026, 2, 1)  # exempt through its last event's biennium
+    assert got["ghost:house:1:2021", "emit"] == dt.date(2022, 1, 1)
+    assert got["stays:house:1:2019", "emit"] is None  # deepened by the extras
+    assert got["gone:house:1:2025", "tombstone"] is None and ("stays:house:1:2021", "close") in got
+    assert len(got) == 6 and not any("?" in k or k.startswith("old") for k, _ in got)
+
+
+def test_name_reconcile_has_three_guards(spark):
+    def verdicts(before, after):
+        rows = [(2011, k, n) for k, n in before.items()] + [(2013, k, n) for k, n in after.items()]
+        got = T.reconcile_names(spark.createDataFrame(rows, "year int, k string, name string"), "k", "name", "year").filter("year = 2013").collect()
+        return {(r.k, r.before, r.after, r.aborted) for r in got}
+
+    base = {"1": "Ways & Means", "2": "Rules", "3": "Law", "4": "Energy"}
+    assert verdicts(base, base | {"1": "ways and means", "2": "Ethics"}) == {("2", "Rules", "Ethics", None)}
+    assert verdicts({}, base) == {(None, None, None, "empty_pull")}
+    assert verdicts(base, {"1": "Other", "7": "x", "8": "y", "9": "z"}) == {(None, None, None, "low_overlap")}
+    assert verdicts(base, base | {"2": "a", "3": "b"}) == {(None, None, None, "rename_storm")}
+    at = [("1", "A", 2009, 1), ("1", "B", 2013, 2), ("1", "C", 2013, 1), ("2", "D", 2011, 1), ("3", None, 2009, 1)]
+    held = T.standing_names(spark.createDataFrame(at, "k string, name string, year int, at int"), "k", "name", "year", "at")
+    assert {(r.year, r.k, r.name) for r in held.collect()} == {(2009, "1", "A"), (2011, "1", "A"), (2013, "1", "B"), (2011, "2", "D"), (2013, "2", "D")}
+
+
+def test_special_match_differs_from_the_even_year(spark):
+    rows = lambda x: spark.createDataFrame(x, "id int, q string")
+    entries = rows([(i, None) for i in range(1, 6)])
+    got = T.special_matches(entries, rows([(1, "a"), (3, "a"), (4, "a")]), rows([(1, "a"), (2, "b"), (3, "b")]), "id", "q").collect()
+    assert {r.id: (r.even, r.merged, r.special) for r in got} == {1: ("a", "a", False), 2: (None, "b", True), 3: ("a", None, False), 4: ("a", "a", False), 5: (None, None, False)}
