@@ -105,6 +105,16 @@ def src12(t):
     return t.spark.read.format("paged_list").option("fetch", "gavelspark.sources.remote:sample_list").option("pages", "10").option("limit", "10").load()
 
 
+@R.query("src12_table_list", "select slug as id, name from jurisdictions")
+def src12_all(t):
+    """A domain table by pages; src12_paged_list has made-up rows."""
+    from gavelspark.sources.remote import PagedList
+
+    t.spark.dataSource.register(PagedList)
+    pages = -(-t.jurisdictions.count() // 200)
+    return t.spark.read.format("paged_list").option("fetch", "gavelspark.sources.remote:table_list").option("location", f"{t.dir}/jurisdictions.parquet").option("pages", str(pages)).load()
+
+
 @R.query("src14_graph_discovery", "select distinct bill_id, person_id from bill_sponsorships where bill_id in (select bill_id from bill_sponsorships where person_id = (select min(person_id) from bill_sponsorships where length(person_id) = 26)) and person_id is not null")
 def src14(t):
     """Entities reached from one member over two kinds of edges, each edge once."""
@@ -228,10 +238,11 @@ def src33(t):
 
 @R.query("src13_change_feed")
 def src13(t):
-    """The feed source, run to its end once; every change arrives exactly once."""
-    from gavelspark.streaming.feed import drain_sample_feed
+    """The feed source over the events, run to its end once; every change arrives exactly once."""
+    from gavelspark.streaming.feed import drain_source
 
-    return drain_sample_feed(t.spark)
+    # Sequence numbers begin with 0 here, so the cursor begins before it.
+    return drain_source(t.spark, fetch="gavelspark.sources.remote:table_feed", location=f"{t.dir}/events.parquet", after="-1", limit="10000")
 
 
 QUERIES, ORACLE = R.queries, R.oracle

@@ -12,19 +12,24 @@ from pyspark.sql import functions as F
 from gavelspark.session import shared_dir
 
 
-def drain_sample_feed(spark: SparkSession) -> DataFrame:
-    """The sample feed read by a streaming query to its end and written to the shared folder."""
+def drain_source(spark: SparkSession, **options: str) -> DataFrame:
+    """The change-feed source read by a streaming query to its end and written to the shared folder."""
     from gavelspark.sources.remote import ChangeFeed
 
     spark.dataSource.register(ChangeFeed)
     base = f"{shared_dir(spark)}/feed-{uuid.uuid4().hex}"
-    feed = spark.readStream.format("change_feed").option("fetch", "gavelspark.sources.remote:sample_feed").option("limit", "25").load()
+    feed = spark.readStream.format("change_feed").options(**options).load()
     query = feed.writeStream.format("parquet").option("path", f"{base}/rows").option("checkpointLocation", f"{base}/offsets").start()
     query.processAllAvailable()
     query.stop()
     return spark.read.parquet(f"{base}/rows")
 
 
+def drain_sample_feed(spark: SparkSession) -> DataFrame:
+    """The sample feed, read to its end."""
+    return drain_source(spark, fetch="gavelspark.sources.remote:sample_feed", limit="25")
+
+
 def last_write_wins(local: DataFrame, remote: DataFrame, keys: list[str], clock: str, value: str) -> DataFrame:
     """keys, action, value, clock: absent -> insert; local newer -> keep; remote newer ->
     update; equal clocks -> noop.  Of several remote records of a key the newest counts."""

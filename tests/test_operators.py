@@ -218,3 +218,15 @@ def test_special_match_differs_from_the_even_year(spark):
     entries = rows([(i, None) for i in range(1, 6)])
     got = T.special_matches(entries, rows([(1, "a"), (3, "a"), (4, "a")]), rows([(1, "a"), (2, "b"), (3, "b")]), "id", "q").collect()
     assert {r.id: (r.even, r.merged, r.special) for r in got} == {1: ("a", "a", False), 2: (None, "b", True), 3: ("a", None, False), 4: ("a", "a", False), 5: (None, None, False)}
+
+
+def test_feed_and_list_sources_read_tables(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    events = [(i, i % 7, "error" if i % 5 == 0 else "view") for i in range(0, 25_000, 2)]
+    spark.createDataFrame(events[::-1], "event_id bigint, user_id bigint, event_type string").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    got = sorted(map(tuple, entry.queries()["src13_change_feed"](spark, str(tmp_path)).collect()))
+    assert got == [(i, "user", str(u), "deleted" if e == "error" else "updated") for i, u, e in events]
+    names = [(f"s{i:04d}", f"name {i}") for i in range(1103)]
+    spark.createDataFrame(names, "slug string, name string").repartition(3).write.parquet(f"{tmp_path}/jurisdictions.parquet")
+    assert sorted(map(tuple, entry.queries()["src12_table_list"](spark, str(tmp_path)).collect())) == names
