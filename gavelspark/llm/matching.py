@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gavelspark.llm import names as N
-from gavelspark.llm.linkage import MOST_COST, directory
+from gavelspark.llm.linkage import MOST_COST, _pairs, directory, surname_prefixes
 from gavelspark.session import checkpoint
 
 #: MinHash: bands of two rows each.
@@ -97,6 +97,17 @@ def form_buckets(form: pd.Series) -> pd.Series:
     return form.map(of)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def form_grams(form: pd.Series) -> pd.Series:
+    """Two-letter grams of every word and of the run-together name."""
+
+    def of(f: str) -> list[str]:
+        x = read_form(f)
+        return sorted({g for w in [*x.tokens, *(() if x.joined else ("".join(x.tokens),))] for g in _pairs(w)})
+
+    return form.map(of)
+
+
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def whole_buckets(form: pd.Series) -> pd.Series:
     """Buckets of the whole name, its words in alphabetical order: a shared first name is not enough."""
@@ -142,7 +153,11 @@ def readings(rows: DataFrame, persons: DataFrame) -> DataFrame:
     blocked = people.select("assembly", "person_id", F.explode(surname_buckets("name_last")).alias("bucket"))
     forms = rows.select("assembly", "form").distinct()
     probe = forms.select("assembly", "form", F.explode(form_buckets("form")).alias("bucket"))
-    found = probe.join(blocked, ["assembly", "bucket"]).select("assembly", "form", "person_id").distinct()
+    banded = probe.join(blocked, ["assembly", "bucket"]).select("assembly", "form", "person_id")
+    # Bands may miss a surname of one or two slips; the rarest grams of a surname miss none.
+    grams = surname_prefixes(people.withColumnRenamed("assembly", "source")).withColumnRenamed("source", "assembly")
+    spelt = forms.select("assembly", "form", F.explode(form_grams("form")).alias("gram")).join(grams, ["assembly", "gram"]).select("assembly", "form", "person_id")
+    found = banded.unionByName(spelt).distinct()
     cost = found.join(people, ["assembly", "person_id"]).withColumn("cost", form_cost("form", "name_first", "name_middle", "name_last", "name_suffix", "name_used")).filter(F.col("cost") <= MOST_COST + 0.6)
     weighed = cost.select("assembly", "form", "person_id", F.exp(-F.col("cost") / SCALE).alias("w"))
     total = weighed.groupBy("assembly", "form").agg(F.sum("w").alias("total"))

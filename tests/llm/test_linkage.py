@@ -51,6 +51,12 @@ def test_matches(spark):
     assert all(0.5 < r.confidence <= 1 for r in rows)
 
 
+def test_readings_lose_no_surname_of_a_slip(spark):
+    p = spark.createDataFrame([("p1", "s1", "QM-000001:p1", "Gilbert Marossby", "Gilbert", "Marossby", None, None, None, dt.datetime(2020, 1, 1), "", "")], PERSONS)
+    rows = spark.createDataFrame([(1, "c", "QM-1", "tG. Mraossby"), (2, "c", "QM-1", "tNobody Known")], "record_id bigint, kind string, assembly string, form string").withColumn("assembly", M.assembly_code("assembly"))
+    assert [(r.record_id, r.person_id) for r in M.readings(rows, p).collect()] == [(1, "p1")]
+
+
 def test_matches_of_empty_tables(spark):
     c, e, h = records(spark)
     assert M.matched_records(c.limit(0), e.limit(0), h.limit(0), persons(spark)).count() == 0
