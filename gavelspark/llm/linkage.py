@@ -1,23 +1,21 @@
 """Linking the spellings of one member or committee (problem 3).
 
-A prefix-filtered set-similarity join on q-grams finds candidates, a soft weighted
-comparison of the words verifies them.  Only distinct spellings are compared, inside
-one source.
-
-* Members: the directory of the source (persons) is the left side.  A surname of n
-  letters has n - 1 two-letter grams and two slips spoil at most four of them, so a
-  spelling must hold one of the surname's five rarest grams.  A candidate is verified
-  by the cost of reading the spelling as that member; a spelling belongs to the
-  cheapest reading if the next one is clearly dearer, so ambiguous ones stay alone.
-* Committees have no directory: spellings that name no member are joined with each
-  other on the grams, vowel-less words and initials of their topic words, verified by
-  a soft likeness in which rare words weigh more, and every spelling points to its
-  best-established likeness; pointer jumping finds the roots.
+The records of the join are the spellings of a source and the entries of its
+directory (persons), as further evidence.  A prefix-filtered set-similarity join on
+the padded grams of their words (:mod:`gavelspark.llm.wordjoin`) finds the candidates
+without losing an alike word; a soft comparison of the words, in which rare words
+weigh more, verifies them.  Only distinct names are compared, inside one source.
+
+* A spelling that can be read as entries of the directory belongs to the cheapest
+  reading if the next one is clearly dearer, so ambiguous ones stay alone.
+* Spellings that read as no entry, of committees and of people outside the directory,
+  are joined with each other: committees by topic words, abbreviations and initials,
+  people by their words.  Every one points to its best-established likeness; pointer
+  jumping finds the roots.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
@@ -27,14 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gavelspark.llm import names as N
+from gavelspark.llm.wordjoin import similar_words, with_keys, gram_table
 from gavelspark.operators.history import newest
 from gavelspark.session import checkpoint
 
 #: A reading may cost so much, and the next one must cost so much more.
 MOST_COST, MARGIN = 2.6, 0.25
-#: Rarest grams of a surname that a spelling must share one of (lossless for two slips).
-PREFIX = 5
-#: Committees: least likeness.
+#: Least likeness of two committees, or of two people outside the directory.
 LIKENESS = 0.6
 
 MENTIONS = (("bill_sponsorships", "sponsor_name_raw"), ("senate_winners", "ballot_name"), ("deferred_annotations", "member_name"))
@@ -47,37 +44,47 @@ def mentions(tables: dict[str, DataFrame]) -> DataFrame:
     return union.filter("source is not null and mention_id is not null and length(trim(coalesce(text, ''))) > 0").dropDuplicates(["source", "mention_id"])
 
 
-def _pairs(text: str) -> list[str]:
-    return sorted({text[i : i + 2] for i in range(len(text) - 1)} or ({text} if text else set()))
+#: A parsed name: its form (equal for names that read alike), words, possible surnames.
+PARSED = T.StructType([T.StructField("form", T.StringType()), T.StructField("words", T.ArrayType(T.StringType())), T.StructField("runs", T.ArrayType(T.StringType()))])
+
+
+@F.pandas_udf(PARSED)
+def parsed(text: pd.Series) -> pd.DataFrame:
+    """A typed name, parsed."""
+    read = [N.parse(t) for t in text]
+    return pd.DataFrame({"form": [N.encoded(x) for x in read], "words": [x.tokens for x in read], "runs": [N.runs(x) for x in read]})
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def spelling_grams(text: pd.Series) -> pd.Series:
-    """Two-letter grams of the run-together words of a typed name."""
+def surname_words(last: pd.Series) -> pd.Series:
+    """The whole surname and, of a surname of several words, its longest word."""
 
     def of(t: str | None) -> list[str]:
-        x = N.parse(t)
-        return sorted({g for w in [*x.tokens, "".join(x.tokens)] for g in _pairs(w)})
+        p = N.person(None, None, t, None, None)
+        return [w for w in dict.fromkeys((p.last, max(p.last_words, key=len, default=""))) if w]
 
-    return text.map(of)
+    return last.map(of)
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-def surname_grams(last: pd.Series) -> pd.Series:
-    """Grams of the whole surname and, of a surname of several words, of its longest word."""
+@F.pandas_udf(T.DoubleType())
+def reading_cost(form: pd.Series, weights: pd.Series, first: pd.Series, middle: pd.Series, last: pd.Series, suffix: pd.Series, used: pd.Series) -> pd.Series:
+    """Cost of reading a form as a member; null where it cannot be."""
+    return pd.Series([N.reading_cost(N.decoded(t), N.person(a, b, c, d, e), w) for t, w, a, b, c, d, e in zip(form, weights, *(s.where(s.notna(), None) for s in (first, middle, last, suffix, used)))], dtype="float64")
 
-    def of(t: str | None) -> list[list[str]]:
-        p = N.person(None, None, t, None, None)
-        main = max(p.last_words, key=len, default="")
-        return [_pairs(w) for w in dict.fromkeys((p.last, main)) if w]
 
-    return last.map(of)
+# Else the optimizer evaluates it once for a filter on it and once more for its value.
+reading_cost = reading_cost.asNondeterministic()
 
 
-@F.pandas_udf(T.DoubleType())
-def reading_cost(text: pd.Series, first: pd.Series, middle: pd.Series, last: pd.Series, suffix: pd.Series, used: pd.Series) -> pd.Series:
-    """Cost of reading a spelling as a member; null where it cannot be."""
-    return pd.Series([N.reading_cost(N.parse(t), N.person(a, b, c, d, e)) for t, a, b, c, d, e in zip(text, *(s.where(s.notna(), None) for s in (first, middle, last, suffix, used)))], dtype="float64")
+def rarity(forms: DataFrame) -> DataFrame:
+    """scope, form, weights: a weight per word, 1 for one that a single form of the scope has,
+    down to 0.5 for one that all have.  Names are short, so are the lists."""
+    each = forms.select("scope", "form", F.posexplode("words").alias("at", "word"))
+    often = each.select("scope", "form", "word").distinct().groupBy("scope", "word").agg(F.count("*").alias("often"))
+    of_all = forms.groupBy("scope").agg(F.count("*").alias("all"))
+    weight = 0.5 + 0.5 * F.log((F.col("all") + 1) / F.col("often")) / F.log(F.col("all") + 1)
+    listed = each.join(often, ["scope", "word"]).join(of_all, "scope").groupBy("scope", "form").agg(F.array_sort(F.collect_list(F.struct("at", weight.alias("w")))).alias("l"))
+    return listed.select("scope", "form", F.col("l.w").alias("weights"))
 
 
 def directory(persons: DataFrame) -> DataFrame:
@@ -86,30 +93,26 @@ def directory(persons: DataFrame) -> DataFrame:
     return held.filter("source is not null and name_last is not null").select("source", F.col("id").alias("person_id"), "name_first", "name_middle", "name_last", "name_suffix", "name_used")
 
 
-def surname_prefixes(people: DataFrame) -> DataFrame:
-    """source, gram, person_id: the PREFIX rarest grams of each surname.
+def member_readings(forms: DataFrame, people: DataFrame, most: float = MOST_COST) -> DataFrame:
+    """scope, form, person_id, cost: every reading of a form as an entry of its scope's directory.
 
-    The order of grams is their frequency in all surnames; the table has at most as
-    many rows as there are two-letter grams, so it is small whatever the data.
+    ``forms``: scope, form, words, runs (distinct).  ``people``: scope, person_id and the
+    parts of the name.  A reading needs a word alike the surname, so the join of words
+    loses none.
     """
-    each = people.select("source", "person_id", F.posexplode(surname_grams("name_last")).alias("form", "grams")).select("source", "person_id", "form", F.explode("grams").alias("gram"))
-    often = each.groupBy("gram").agg(F.count("*").alias("often"))
-    ranked = each.join(F.broadcast(often), "gram").withColumn("rank", F.row_number().over(W.partitionBy("source", "person_id", "form").orderBy("often", "gram")))
-    return ranked.filter(F.col("rank") <= PREFIX).select("source", "gram", "person_id").distinct()
-
-
-def member_readings(spellings: DataFrame, people: DataFrame) -> DataFrame:
-    """source, text, person_id, cost: every reading of a spelling as a member of its source."""
-    probe = spellings.select("source", "text", F.explode(spelling_grams("text")).alias("gram"))
-    found = probe.join(surname_prefixes(people), ["source", "gram"]).select("source", "text", "person_id").distinct()
-    return found.join(people, ["source", "person_id"]).withColumn("cost", reading_cost("text", "name_first", "name_middle", "name_last", "name_suffix", "name_used")).filter(F.col("cost") <= MOST_COST).select("source", "text", "person_id", "cost")
+    run = forms.select("scope", "form", F.explode("runs").alias("word"))
+    named = people.select("scope", "person_id", F.explode(surname_words("name_last")).alias("other"))
+    alike = similar_words(run.select("scope", "word").distinct(), named.select("scope", F.col("other").alias("word")).distinct())
+    found = run.join(alike.select("scope", "word", "other"), ["scope", "word"]).join(named, ["scope", "other"]).select("scope", "form", "person_id").distinct()
+    weighed = found.join(rarity(forms), ["scope", "form"], "left").join(people, ["scope", "person_id"])
+    return weighed.withColumn("cost", reading_cost("form", "weights", "name_first", "name_middle", "name_last", "name_suffix", "name_used")).filter(F.col("cost") <= most).select("scope", "form", "person_id", "cost")
 
 
 def sure_readings(readings: DataFrame) -> DataFrame:
-    """The cheapest reading of each spelling if it is cheaper than the next by MARGIN."""
-    order = W.partitionBy("source", "text").orderBy("cost", "person_id")
+    """The cheapest reading of each form if it is cheaper than the next by MARGIN."""
+    order = W.partitionBy("scope", "form").orderBy("cost", "person_id")
     ranked = readings.withColumn("next", F.lead("cost").over(order)).withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.expr(f"rank = 1 and (next is null or next - cost >= {MARGIN})")).select("source", "text", "person_id", "cost")
+    return ranked.filter(F.expr(f"rank = 1 and (next is null or next - cost >= {MARGIN})")).select("scope", "form", "person_id", "cost")
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -144,44 +147,47 @@ def topic_keys(words: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.DoubleType())
-def committee_likeness(a: pd.Series, b: pd.Series, weights: pd.Series) -> pd.Series:
-    """Soft weighted likeness of two lists of topic words."""
+def soft_likeness(a: pd.Series, b: pd.Series, weights: pd.Series, name: pd.Series, other: pd.Series) -> pd.Series:
+    """Soft weighted likeness of two lists of topic words, or of two people's names (null if
+    they are no people's), whichever is greater."""
     out = []
-    for x, y, w in zip(a, b, weights):
+    for x, y, w, m, o in zip(a, b, weights, name, other):
         known = dict(w) if w is not None else {}
-        out.append(N.committee_likeness(tuple(x), tuple(y), lambda t: known.get(t, 1.0)))
+        alike = N.committee_likeness(tuple(x), tuple(y), lambda t: known.get(t, 1.0))
+        entry = N.as_person(N.decoded(o)) if m and o else None
+        cost = N.reading_cost(N.decoded(m), entry) if entry else None
+        out.append(max(alike, 0.0 if cost is None else 1 - cost / 4))
     return pd.Series(out, dtype="float64")
 
 
-def committee_classes(spellings: DataFrame) -> DataFrame:
-    """source, text, class of the spellings that name a committee known under two or more."""
-    worded = spellings.withColumn("words", topic_words("text")).filter("size(words) > 0")
-    forms = worded.groupBy("source", "words").agg(F.sum("n").alias("n")).withColumn("form", F.concat_ws(" ", "words"))
+soft_likeness = soft_likeness.asNondeterministic()
+
+
+def unread_classes(spellings: DataFrame) -> DataFrame:
+    """source, text, class of the spellings of committees, and of people outside the directory."""
+    worded = spellings.withColumn("words", topic_words("text")).filter("size(words) > 0").withColumn("form", F.concat_ws(" ", "words"))
+    # Of the names that fold to the same topic words the least text stands for all.
+    forms = worded.groupBy("source", "form").agg(F.first("words").alias("words"), F.sum("n").alias("n"), F.min(F.when(~F.lower("text").rlike(N.BODY), F.col("text"))).alias("name"))
     often = forms.select(F.explode(F.array_distinct("words")).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("often"))
     rated = (
-        forms.select("source", "form", "words", "n", F.explode("words").alias("word"))
+        forms.select("source", "form", "words", "n", "name", F.explode("words").alias("word"))
         .join(often, "word")
         .groupBy("source", "form")
-        .agg(F.first("words").alias("words"), F.first("n").alias("n"), F.min("often").alias("least"), F.map_from_entries(F.collect_set(F.struct("word", (1 / F.log(F.col("often") + 2)).alias("w")))).alias("weights"))
+        .agg(F.first("words").alias("words"), F.first("n").alias("n"), F.first("name").alias("name"), F.min("often").alias("least"), F.map_from_entries(F.collect_set(F.struct("word", (1 / F.log(F.col("often") + 2)).alias("w")))).alias("weights"))
     )
     # A form is better established the more often its rarest word occurs in all forms.
-    rated = checkpoint(rated.withColumn("standing", F.struct("least", "n", "form")))
-    keyed = rated.select("source", F.explode(topic_keys("words")).alias("key"), "form")
-    a, b = keyed.alias("a"), keyed.alias("b")
-    pairs = a.join(b, (F.col("a.source") == F.col("b.source")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.form") != F.col("b.form"))).select("a.source", F.col("a.form").alias("form"), F.col("b.form").alias("other")).distinct()
-    left = rated.select("source", "form", "words", "standing", "weights")
-    right = rated.select("source", F.col("form").alias("other"), F.col("words").alias("other_words"), F.col("standing").alias("other_standing"))
-    liked = (
-        pairs.join(left, ["source", "form"])
-        .join(right, ["source", "other"])
-        .filter("other_standing > standing")
-        .withColumn("likeness", committee_likeness("words", "other_words", "weights"))
-        .filter(F.col("likeness") >= LIKENESS)
-    )
+    rated = checkpoint(rated.withColumn("standing", F.struct("least", "n", "form")).withColumn("name", parsed("name")["form"]))
+    person = rated.filter("name <> ''").select(F.col("source").alias("scope"), F.explode("words").alias("word"), "form", "standing").filter("length(word) > 2")
+    alike_keys = with_keys(person, gram_table(person)).select(F.col("scope").alias("source"), F.concat(F.lit("p"), "key").alias("key"), "form", "standing")
+    keyed = rated.select("source", F.explode(topic_keys("words")).alias("key"), "form", "standing").unionByName(alike_keys)
+    better = keyed.select("source", "key", F.col("form").alias("other"), F.col("standing").alias("other_standing"))
+    pairs = keyed.join(better, ["source", "key"]).filter("other_standing > standing").select("source", "form", "other").distinct()
+    left = rated.select("source", "form", "words", "weights", "name")
+    right = rated.select("source", F.col("form").alias("other"), F.col("words").alias("other_words"), F.col("standing").alias("other_standing"), F.col("name").alias("other_name"))
+    liked = pairs.join(left, ["source", "form"]).join(right, ["source", "other"]).withColumn("likeness", soft_likeness("words", "other_words", "weights", "name", "other_name")).filter(F.col("likeness") >= LIKENESS)
     best = liked.groupBy("source", "form").agg(F.max(F.struct("likeness", "other_standing", "other")).alias("p")).select("source", "form", F.col("p.other").alias("root"))
     links = rated.select("source", "form").join(best, ["source", "form"], "left").select("source", "form", F.coalesce("root", "form").alias("root"))
-    links = roots(links)
-    return worded.withColumn("form", F.concat_ws(" ", "words")).join(links, ["source", "form"]).select("source", "text", F.col("root").alias("class"))
+    return worded.select("source", "text", "form").join(roots(links), ["source", "form"]).select("source", "text", F.col("root").alias("class"))
 
 
 def roots(links: DataFrame, most: int = 40) -> DataFrame:
@@ -202,15 +208,29 @@ def roots(links: DataFrame, most: int = 40) -> DataFrame:
 
 
 def mention_classes(tables: dict[str, DataFrame], persons: DataFrame) -> DataFrame:
-    """source, mention_id, class (a member or a committee of the source)."""
+    """source, mention_id, class: a member or a committee of the source, or a person outside its directory."""
     each = mentions(tables)
-    spellings = checkpoint(each.groupBy("source", "text").agg(F.count("*").alias("n")))
-    members = checkpoint(sure_readings(member_readings(spellings, directory(persons))))
-    rest = spellings.join(members, ["source", "text"], "left_anti")
-    classes = members.select("source", "text", F.concat(F.lit("member:"), "person_id").alias("class")).unionByName(committee_classes(rest).withColumn("class", F.concat(F.lit("committee:"), "class")))
+    spellings = checkpoint(each.groupBy("source", "text").agg(F.count("*").alias("n")).withColumn("p", parsed("text")))
+    forms = spellings.filter("p.form <> ''").select(F.col("source").alias("scope"), "p.form", "p.words", "p.runs").groupBy("scope", "form").agg(F.first("words").alias("words"), F.first("runs").alias("runs"))
+    read = checkpoint(member_readings(forms, directory(persons).withColumnRenamed("source", "scope")))
+    sure = sure_readings(read).select(F.col("scope").alias("source"), "form", F.concat(F.lit("member:"), "person_id").alias("class"))
+    flat = spellings.select("source", "text", "n", "p.form")
+    members = flat.join(sure, ["source", "form"]).select("source", "text", "class")
+    # An ambiguous spelling is no one's; only what reads as no entry at all is joined with its like.
+    any_reading = read.select(F.col("scope").alias("source"), "form").distinct()
+    rest = flat.join(any_reading, ["source", "form"], "left_anti")
+    classes = members.unionByName(unread_classes(rest.select("source", "text", "n")).withColumn("class", F.concat(F.lit("named:"), "class")))
     return each.join(classes, ["source", "text"]).select("source", "mention_id", "class")
 
 
+def linked_classes(tables: dict[str, DataFrame], persons: DataFrame) -> DataFrame:
+    """source, mention_id, class, links: one row per mention that names someone, with the
+    number of other mentions of its class.  Linear in the mentions, however large a class."""
+    classed = checkpoint(mention_classes(tables, persons))
+    sizes = classed.groupBy("source", "class").agg((F.count("*") - 1).alias("links"))
+    return classed.join(sizes, ["source", "class"]).select("source", "mention_id", "class", "links")
+
+
 def linked_mentions(tables: dict[str, DataFrame], persons: DataFrame) -> DataFrame:
     """mention_id_a < mention_id_b: all mentions of one source that mean the same one.
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -14,6 +15,8 @@ from functools import lru_cache
 TITLES = frozenset("the hon honorable mr mrs ms miss dr rep representative sen senator assemblymember member".split())
 SUFFIXES = frozenset("jr sr ii iii iv".split())
 BODY_WORDS = frozenset("committee committees cmte ctte comm comte com standing select joint on the of for and".split())
+#: A text with one of these is no person's name.
+BODY = r"\b(committees?|cmte|ctte|comm|comte|joint|standing|select)\b|&"
 NOBODY = frozenset("tbd none unknown na nobody various anonymous illegible vacant staff attached unnamed pending redacted blank missing withheld unsigned".split())
 #: Phrases in place of a name.
 NOBODY_TEXT = re.compile(r"by request|see attached|several|members? of|on file|not (?:given|stated|known)|no name|withdrawn|\bet al\b|^\W*n\W*a\W*$", re.I)
@@ -133,6 +136,27 @@ def parse_keys(keys) -> Name:
     return out
 
 
+def encoded(x: Name) -> str:
+    """A parsed name as a text, so that names that read alike are one; empty for no name."""
+    if not x.tokens and not x.joined:
+        return ""
+    return "\x1f".join([" ".join(x.tokens), " ".join(x.nick), x.suffix, "\x1e".join(sorted(x.joined))])
+
+
+@lru_cache(maxsize=300_000)
+def decoded(form: str) -> Name:
+    """The name that :func:`encoded` wrote (but its district)."""
+    tokens, nick, suffix, joined = form.split("\x1f")
+    return Name(tokens.split(), nick.split(), suffix, None, frozenset(joined.split("\x1e")) if joined else frozenset())
+
+
+def runs(x: Name) -> list[str]:
+    """The words that may be a surname: joins of one to four neighbouring words, and joined keys."""
+    n = len(x.tokens)
+    own = {"".join(x.tokens[i:j]) for i in range(n) for j in range(i + 1, min(n, i + 4) + 1)}
+    return sorted(own | set(x.joined))
+
+
 def _made_of(text: str, words: frozenset[str]) -> bool:
     if not text:
         return True
@@ -214,12 +238,15 @@ def first_cost(given: str, p: Person) -> float:
     return 0.9 if any(len(s) > 3 and word_cost(given, s) <= 1 for s in shorts) else 9.0
 
 
-def reading_cost(x: Name, p: Person) -> float | None:
+def reading_cost(x: Name, p: Person, weights: Sequence[float] | None = None) -> float | None:
     """Cost of reading the typed name as this person, or None where it cannot be.
 
     A surname (of one or more words, perhaps run together or misspelt) is found among
     the words; the words left over are read as first name, middle name or initials.
+    ``weights`` (one per word, 1 for the rarest) make slips in, and surplus of, rare
+    words count more than those of words that many names have.
     """
+    weight = dict(zip(x.tokens, weights)) if weights is not None else {}
     best: float | None = None
     n = len(x.tokens)
     options: list[tuple[float, list[str]]] = []
@@ -234,7 +261,7 @@ def reading_cost(x: Name, p: Person) -> float | None:
             if cost >= 1 and single and not (single == [i] and j > i + 1 and p.last.startswith(x.tokens[i])):
                 continue
             if cost < 9:
-                options.append((cost, x.tokens[:i] + x.tokens[j:]))
+                options.append((cost * max((weight.get(t, 1.0) for t in x.tokens[i:j]), default=1.0), x.tokens[:i] + x.tokens[j:]))
     if x.joined and not any(c == 0 for c, _ in options):
         for k in x.joined:
             cost = word_cost(k, p.last)
@@ -248,17 +275,17 @@ def reading_cost(x: Name, p: Person) -> float | None:
                 particles = set(p.last_words) - {main}
                 options.append((0.6 + word_cost(t, main), [w for k, w in enumerate(x.tokens) if k != i and w not in particles]))
     for cost, given in options:
-        total = cost + _given_cost(given, x, p)
+        total = cost + _given_cost(given, x, p, weight)
         if total < 9 and (best is None or total < best):
             best = total
     if best is None:
         return None
     if x.suffix and x.suffix != p.suffix:
         return None
-    return best + (0.6 if p.suffix and not x.suffix else 0)
+    return best + (0.9 if p.suffix and not x.suffix else 0)
 
 
-def _given_cost(given: list[str], x: Name, p: Person) -> float:
+def _given_cost(given: list[str], x: Name, p: Person, weight: dict[str, float]) -> float:
     nick = min((first_cost(w, p) for w in x.nick), default=None)
     extra = 0.0 if nick is None else -0.05 if nick < 9 else 0.8
     if not given:
@@ -282,11 +309,18 @@ def _given_cost(given: list[str], x: Name, p: Person) -> float:
             elif w == p.used or w in SHORT.get(p.first, ()):
                 cost += 0.05
             else:
-                cost += 0.35 if not p.middle else 0.9
+                cost += (0.35 if not p.middle else 0.9) * weight.get(w, 1.0)
         best = min(best, cost)
     return best + extra
 
 
+def as_person(x: Name) -> Person | None:
+    """A typed name with a given name and a surname as the entry of a directory; else None."""
+    if not 2 <= len(x.tokens) <= 5 or len(x.tokens[0]) < 2 or len(x.tokens[-1]) < 2:
+        return None
+    return Person(x.tokens[0], "".join(x.tokens[1:-1]), x.tokens[-1], x.suffix, x.nick[0] if x.nick else "", (x.tokens[-1],))
+
+
 def grams(words: list[str], q: int = 3) -> set[str]:
     """Padded q-grams of every word of two or more letters."""
     return {f"^{w}$"[i : i + q] for w in words if len(w) > 1 for i in range(max(1, len(w) + 3 - q))}

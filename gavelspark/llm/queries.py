@@ -15,6 +15,12 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkage.linked_mentions(tables, table(spark, sf_dir, "persons"))
 
 
+def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per mention that names someone: its class and its number of links."""
+    tables = {name: table(spark, sf_dir, name) for name, _ in linkage.MENTIONS}
+    return linkage.linked_classes(tables, table(spark, sf_dir, "persons"))
+
+
 def p4_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of records of one member, with calibrated confidence."""
     return matching.matched_records(*[table(spark, sf_dir, name) for name in ("candidates", "event_proposals", "house_positions", "persons")])
@@ -50,7 +56,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rated_documents(table(spark, sf_dir, "documents"), wanted=[]).filter("rule > 0").select("doc_id")
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_matches": p4_matches, "p6_ids": p6_ids, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_statistics": p8_statistics}
+QUERIES = {"p3_found": p3_found, "p3_classes": p3_classes, "p4_found": p4_found, "p4_matches": p4_matches, "p6_ids": p6_ids, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_statistics": p8_statistics}
 
 # Reference SQL (DuckDB): leaks by a join of all eight-word stretches, quality by lines.
 _INVISIBLE = r"[\x{00AD}\x{034F}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FE00}-\x{FE0F}\x{FEFF}\x{0300}-\x{036F}]"

@@ -51,10 +51,76 @@ def test_matches(spark):
     assert all(0.5 < r.confidence <= 1 for r in rows)
 
 
+def parsed_rows(spark, rows):
+    """record_id, kind, assembly, text with what :func:`M.records` adds."""
+    frame = spark.createDataFrame(rows, "record_id bigint, kind string, assembly string, text string")
+    return frame.withColumn("assembly", M.assembly_code("assembly")).withColumn("p", L.parsed("text")).select("record_id", "kind", "assembly", "p.*")
+
+
 def test_readings_lose_no_surname_of_a_slip(spark):
     p = spark.createDataFrame([("p1", "s1", "QM-000001:p1", "Gilbert Marossby", "Gilbert", "Marossby", None, None, None, dt.datetime(2020, 1, 1), "", "")], PERSONS)
-    rows = spark.createDataFrame([(1, "c", "QM-1", "tG. Mraossby"), (2, "c", "QM-1", "tNobody Known")], "record_id bigint, kind string, assembly string, form string").withColumn("assembly", M.assembly_code("assembly"))
-    assert [(r.record_id, r.person_id) for r in M.readings(rows, p).collect()] == [(1, "p1")]
+    rows = parsed_rows(spark, [(1, "c", "QM-1", "G. Mraossby"), (2, "c", "QM-1", "Nobody Known")])
+    read = M.readings(rows, p).collect()
+    assert [r.form.split("\x1f")[0] for r in read] == ["g mraossby"] and list(read[0].member) == ["p1"]
+
+
+def test_short_surnames_are_blocked(spark):
+    """Directory-free: names of two or three letters meet, as do two slips in a long one."""
+    e = [(1, "e", "QM-1", "Ann Lee"), (2, "e", "QM-1", "Ike Ott"), (3, "e", "QM-1", "Theodora Varselquin")]
+    h = [(11, "h", "QM-1", "Lee, Ann"), (12, "h", "QM-1", "I. Ot"), (13, "h", "QM-1", "Theodora Vraselqiun"), (14, "h", "QM-2", "Ann Lee")]
+    rows = parsed_rows(spark, e + h).selectExpr("*", "cast(null as int) as district", "cast(null as string) as party", "cast(null as int) as year")
+    read = spark.createDataFrame([], "assembly string, form string, member map<string,double>")
+    got = {tuple(r) for r in M.candidate_pairs(rows, read).collect()}
+    assert {(1, 11), (3, 13)} <= got and not any(14 in p for p in got)
+
+
+def test_word_join_equals_all_pairs(spark):
+    """No alike pair is lost: swaps, gaps, surplus letters, scanned shapes, repeated grams, short words."""
+    import itertools
+    import random
+
+    from gavelspark.llm import names as N
+    from gavelspark.llm import wordjoin as J
+
+    rng = random.Random(3)
+    letters = "aabbcdeimnrsvw01"
+    words = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(150)} | {"ababab", "abaabb", "aaaaaa", "aaaa", "bababa", "lee", "lae", "roe", "rce"}
+    for w in list(words):
+        for _ in range(3):
+            v = list(w)
+            for _ in range(rng.randint(1, 2)):
+                i = rng.randrange(len(v)) if v else 0
+                kind = rng.randrange(4)
+                if kind == 0 and len(v) > 1:
+                    del v[i]
+                elif kind == 1:
+                    v.insert(i, rng.choice(letters))
+                elif kind == 2 and len(v) > i + 1:
+                    v[i], v[i + 1] = v[i + 1], v[i]
+                elif v:
+                    v[i] = rng.choice(letters)
+            words.add("".join(v))
+    words = sorted(w for w in words | {"xy" * 9, "xy" * 9 + "x", "yx" * 9, "xy" * 10, "x" * 3000, "x" * 3002} if w)
+    frame = spark.createDataFrame([("s", w) for w in words] + [("t", words[0])], "scope string, word string")
+    got = {(r.word, r.other) for r in J.similar_words(frame).collect()}
+    assert got == {(a, b) for a, b in itertools.combinations(words, 2) if N.word_cost(a, b) < 9}
+    both = {(r.word, r.other) for r in J.similar_words(frame.filter("scope = 's'"), frame).collect()}
+    assert both == {(a, b) for a, b in itertools.product(words, words) if N.word_cost(a, b) < 9}
+    assert J.similar_words(frame.limit(0)).count() == 0 and J.similar_words(frame, frame.limit(0)).count() == 0
+
+
+def test_people_outside_the_directory_are_linked(spark):
+    rows = [(1, "s9", "Robert Quaxel"), (2, "s9", "Quaxel, Robert"), (3, "s9", "R. Quaxel"), (4, "s9", "Rob Quaxle"), (5, "s9", "Ursula Quaxel"), (6, "s8", "Robert Quaxel")]
+    full = tables(spark)
+    mine = {**full, "bill_sponsorships": spark.createDataFrame(rows, "mention_id bigint, source string, sponsor_name_raw string")}
+    classes = {r.mention_id: r["class"] for r in L.mention_classes(mine, persons(spark)).collect()}
+    assert classes[1] == classes[2] == classes[3] == classes[4] != classes[5]
+
+
+def test_classes_hold_the_links(spark):
+    rows = L.linked_classes(tables(spark), persons(spark)).collect()
+    pairs = L.linked_mentions(tables(spark), persons(spark)).count()
+    assert sum(r.links for r in rows) == 2 * pairs and len({r.mention_id for r in rows}) == len(rows)
 
 
 def test_matches_of_empty_tables(spark):
