@@ -105,6 +105,32 @@ def test_shards_change_nothing(spark, monkeypatch):
     assert K.find_leaks(docs, items).count() == 9
 
 
+def test_shards_equal_one_index(spark, monkeypatch):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(300)]
+    passages = [[rng.choice(vocabulary) for _ in range(rng.randint(8, 60))] for _ in range(120)]
+    items = spark.createDataFrame([(i, " ".join(p), "w1 w2", "w3") for i, p in enumerate(passages)], "item_id bigint, passage string, question string, answer string")
+    texts = []
+    for d in range(80):
+        text = [rng.choice(vocabulary) for _ in range(200)]
+        for p in rng.sample(passages, 2):
+            at = rng.randint(0, len(p) - 8)
+            text[50:50] = p[at : at + rng.randint(6, 20)]
+        texts.append((d, " ".join(text)))
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    whole = {tuple(r) for r in K.leak_report(docs, items).collect()}
+    monkeypatch.setattr(K, "SHARD", 25)
+    assert {tuple(r) for r in K.leak_report(docs, items).collect()} == whole and len(whole) > 80
+
+
+def test_long_markup_between_words_does_not_matter(spark):
+    w = PASSAGE.split()
+    text = " ".join(w[:5]) + " <a href='" + "x" * 5000 + "'> " + " ".join(w[5:9]) + " <" * 300
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(70, PASSAGE)], "item_id bigint, passage string")
+    assert K.find_leaks(docs, items).count() == 1
+
+
 PROSE = "The committee on rules met after the recess and agreed that the bill would be read again. "
 TABLE = "| 85,120 | Yaranquist | NP | 1971 |\n"
 
