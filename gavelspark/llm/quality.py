@@ -28,12 +28,15 @@ _PLAIN = "aaaaaaaeeeeeiiiiiooooooouuuuuncyysz"
 #: Deleted: soft hyphen, zero-width and direction marks, combining accents.
 _INVISIBLE = "\u00ad\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2066\u2067\u2068\u2069\ufeff\ufe0f\u0300\u0301\u0302\u0303\u0308"
 
-_SPACES = "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+_SPACES = "\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 
-#: Shares of function words from which a line may be prose.
+#: Shares of function words (per cent) of which a line may have more; a line of many symbols or
+#: of many digits has more than so many per cent of them.
 LEVELS = (6, 10, 14, 18, 22)
+SYMBOLS, DIGITS = 14, 25
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZÁÉÍÓÚÜÑÀÂÄÃÅÈÊËÌÎÏÒÔÖÕØÙÛÇÝŠŽ"
 STATISTICS = (
-    ["n_words", "n_lines", "visible", "mean_word_length", "symbol_ratio", "digit_ratio", "upper_ratio", "punctuated_lines", "common_words", "words_per_line", "single_letters"]
+    ["n_words", "n_lines", "visible", "mean_word_length", "symbol_ratio", "digit_ratio", "upper_ratio", "punctuated_lines", "common_words", "words_per_line", "single_letters", "symbol_lines", "digit_lines"]
     + [f"prose_{k}" for k in LEVELS]
 )
 
@@ -49,7 +52,7 @@ def _line_measures() -> dict[str, str]:
     and digits are counted by what is left without them; that costs less than a pattern."""
     wordly = "a-z0-9\\\\u00aa-\\\\u02ff\\\\u0370-\\\\u1fff\\\\u3040-\\\\ud7ff"
     without = lambda letters: f"length(s.x) - length(translate(s.x, '{letters}', ''))"
-    shown = "length(replace(replace(replace(s.x, ' ', ''), '\\t', ''), '\\u00a0', ''))"
+    shown = "length(replace(s.x, ' ', ''))"
     return {
         "v": shown,
         "n": "size(s.w)",
@@ -65,10 +68,10 @@ def text_statistics(documents: DataFrame, key: str = "doc_id", text: str = "text
     """One row of statistics per row: ``key`` and ``wanted`` (all :data:`STATISTICS`).
 
     Computed in the JVM from the whole text, without a shuffle.  ``visible`` counts
-    characters that are not white space; ``prose_k`` is the share of them in lines of
-    which at least k % of the words are function words and few characters are digits
-    or symbols.  Null, empty and blank texts have ``visible`` 0, counts 0 and null
-    ratios.
+    characters that are not white space; ``prose_k`` is the share of them in lines of three
+    words or more of which at least k % are function words, ``symbol_lines`` and
+    ``digit_lines`` that in lines of many symbols or digits.  Words are parted by blanks
+    of any kind.  Null, empty and blank texts have ``visible`` 0, counts 0 and null ratios.
     """
     wanted = STATISTICS if wanted is None else wanted
     ratios = {
@@ -80,15 +83,17 @@ def text_statistics(documents: DataFrame, key: str = "doc_id", text: str = "text
         "common_words": ("f", "n_words"),
         "words_per_line": ("n_words", "n_lines"),
         "single_letters": ("o", "n_words"),
+        "symbol_lines": ("ys", "visible"),
+        "digit_lines": ("ds", "visible"),
     } | {f"prose_{k}": (f"p{k}", "visible") for k in LEVELS}
     used = {"visible", *wanted, *(x for w in wanted if w in ratios for x in ratios[w])}
     value = F.coalesce(F.col(text), F.lit(""))
-    low = F.lower(value)
+    low = F.replace(F.lower(value), F.lit("\t"), F.lit(" "))
     # A text of one byte per character has no accents and no invisible characters to fold.
     folded = F.when(F.octet_length(value) == F.length(value), low).otherwise(F.translate(low, _ACCENTED + _SPACES + _INVISIBLE, _PLAIN + " " * len(_SPACES)))
     lines = documents.select(F.col(key).alias("_key"), value.alias("raw"), F.split(folded, "[\n\r\u2028\u2029\u0085\u000b\u000c]+").alias("lines"))
     measures = _line_measures()
-    needs = {"v": {"v"}, "f": {"f"}, "c": {"c"}, "d": {"d"}, "e": {"e"}, "o": {"o"}, "n_words": {"n"}, "y": {"v", "c"}, "visible": {"v"}} | {f"p{k}": {"v", "n", "f", "d", "c"} for k in LEVELS}
+    needs = {"v": {"v"}, "f": {"f"}, "c": {"c"}, "d": {"d"}, "e": {"e"}, "o": {"o"}, "n_words": {"n"}, "y": {"v", "c"}, "visible": {"v"}, "ys": {"v", "c"}, "ds": {"v", "d"}} | {f"p{k}": {"v", "n", "f"} for k in LEVELS}
     fields = sorted(set().union({"v"}, *(needs.get(u, set()) for u in used)))
     measured = lines.withColumn(
         "m",
@@ -101,13 +106,15 @@ def text_statistics(documents: DataFrame, key: str = "doc_id", text: str = "text
     total = lambda f, name: F.expr(f"aggregate(m, 0L, (a, s) -> a + {f})").alias(name)
     sums = {
         "n_lines": F.size("m").alias("n_lines"),
-        "up": (F.length("raw") - F.length(F.regexp_replace("raw", r"\p{Lu}+", ""))).alias("up"),
+        "up": (F.length("raw") - F.length(F.translate("raw", _CAPITALS, ""))).alias("up"),
         "visible": total("s.v", "visible"),
         "n_words": total("s.n", "n_words"),
         "y": total("(s.v - s.c)", "y"),
+        "ys": total(f"if((s.v - s.c) * 100 > s.v * {SYMBOLS}, s.v, 0)", "ys"),
+        "ds": total(f"if(s.d * 100 > s.v * {DIGITS}, s.v, 0)", "ds"),
     }
     sums |= {f: total(f"s.{f}", f) for f in "fdcoe"}
-    sums |= {f"p{k}": total(f"if(s.n >= 3 and s.f * 100 >= s.n * {k} and s.d * 100 <= s.v * 25 and (s.v - s.c) * 100 <= s.v * 14, s.v, 0)", f"p{k}") for k in LEVELS}
+    sums |= {f"p{k}": total(f"if(s.n >= 3 and s.f * 100 >= s.n * {k}, s.v, 0)", f"p{k}") for k in LEVELS}
     # Generated columns stop later filters from being pushed below and evaluating all this again.
     one = F.array(F.struct(*[column for name, column in sums.items() if name in used]))
     summed = measured.select("_key", F.inline(one))

@@ -60,7 +60,7 @@ QUERIES = {"p3_found": p3_found, "p3_classes": p3_classes, "p4_found": p4_found,
 
 # Reference SQL (DuckDB): leaks by a join of all eight-word stretches, quality by lines.
 _INVISIBLE = r"[\x{00AD}\x{034F}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FE00}-\x{FE0F}\x{FEFF}\x{0300}-\x{036F}]"
-_MARKUP = "<[/!?a-z][^<>]{0,300}>|&([a-z]{2,8}|#[0-9]{1,6});"
+_MARKUP = "<[/!?a-z][^<>]*>|&([a-z]{2,8}|#[0-9]{1,6});"
 
 
 def _words(column: str) -> str:
@@ -78,23 +78,31 @@ select distinct doc_id, item_id from dk join ik on dk.s = ik.s
 """
 
 
-def _quality_sql() -> str:
-    """p8 by lines: the same words and rules, with joins in place of array functions."""
+def _quality_sql(columns: str, where: str = "") -> str:
+    """p8 by lines: every statistic counted on its own, with patterns and joins in place of array
+    functions; the rules are applied as they are exported."""
     from gavelspark.llm.quality_rules import RULES
     from gavelspark.llm.rules import to_case
 
     quoted = lambda t: "'" + t.replace("'", "''") + "'"
-    plain = f"translate(lower(coalesce(text, '')), {quoted(quality._ACCENTED + quality._SPACES + quality._INVISIBLE)}, {quoted(quality._PLAIN + ' ' * len(quality._SPACES))})"
-    visible = "length(replace(replace(replace(x, ' ', ''), chr(9), ''), chr(160), ''))"
-    prose = ", ".join(f"sum(case when n >= 3 and f * 100 >= n * {k} then v else 0 end) / sum(v) as prose_{k}" for k in quality.LEVELS)
+    plain = f"replace(translate(lower(coalesce(text, '')), {quoted(quality._ACCENTED + quality._SPACES + quality._INVISIBLE)}, {quoted(quality._PLAIN + ' ' * len(quality._SPACES))}), chr(9), ' ')"
+    prose = ", ".join(f"sum(case when n >= 3 and f * 100 >= n * {k} then v else 0 end) / nullif(sum(v), 0) as prose_{k}" for k in quality.LEVELS)
     breaks = r"[\n\r\x{2028}\x{2029}\x{85}\x{0B}\x{0C}]+"
+    letters = r"[^a-z0-9\x{AA}-\x{2FF}\x{370}-\x{1FFF}\x{3040}-\x{D7FF}]+"
+    ending = r"[.!?:;][\x{22})\x{201D}\x{2019}\x{BB}* ]{0,5}$"
     return f"""
 with l as (select doc_id, unnest(regexp_split_to_array({plain}, '{breaks}')) as x from documents),
-  w as (select doc_id, {visible} as v, list_filter(string_split(x, ' '), lambda w: w <> '') as w from l),
-  m as (select doc_id, v, len(w) as n, len(list_filter(w, lambda t: t in ({quality._in_list()}))) as f from w where v > 0),
-  s as (select doc_id, sum(v) as visible, sum(n) as n_words, sum(n) / count(*) as words_per_line, sum(f) / sum(n) as common_words, {prose} from m group by doc_id)
-select doc_id from s where {to_case(RULES)} > 0
+  w as (select doc_id, x, length(replace(x, ' ', '')) as v, list_filter(string_split(x, ' '), lambda w: w <> '') as w,
+      length(regexp_replace(x, '{letters}', '', 'g')) as c, length(regexp_replace(x, '[^0-9]+', '', 'g')) as d, regexp_matches(rtrim(x), '{ending}') as e from l),
+  m as (select *, len(w) as n, len(list_filter(w, lambda t: t in ({quality._in_list()}))) as f, len(list_filter(w, lambda t: length(t) = 1)) as o from w where v > 0),
+  t as (select doc_id, sum(v)::bigint as visible, sum(n)::bigint as n_words, count(*)::bigint as n_lines, sum(c) / nullif(sum(n), 0) as mean_word_length, sum(v - c) / sum(v) as symbol_ratio, sum(d) / sum(v) as digit_ratio,
+      count(*) filter (e) / count(*) as punctuated_lines, sum(f) / nullif(sum(n), 0) as common_words, sum(n) / count(*) as words_per_line, sum(o) / nullif(sum(n), 0) as single_letters,
+      sum(case when (v - c) * 100 > v * {quality.SYMBOLS} then v else 0 end) / sum(v) as symbol_lines, sum(case when d * 100 > v * {quality.DIGITS} then v else 0 end) / sum(v) as digit_lines, {prose} from m group by doc_id),
+  s as (select k.doc_id, coalesce(visible, 0) as visible, coalesce(n_words, 0) as n_words, coalesce(n_lines, 0) as n_lines, t.* exclude (doc_id, visible, n_words, n_lines),
+      length(regexp_replace(coalesce(k.text, ''), '[^{quality._CAPITALS}]+', '', 'g')) / visible as upper_ratio from documents k left join t on k.doc_id = t.doc_id),
+  r as (select *, case when visible > 0 then {to_case(RULES)} end as rule from s)
+select {columns} from r {where}
 """
 
 
-ORACLE: dict[str, str] = {"p7_found": _P7, "p8_found": _quality_sql()}
+ORACLE: dict[str, str] = {"p7_found": _P7, "p8_found": _quality_sql("doc_id", "where rule > 0"), "p8_statistics": _quality_sql("*")}
