@@ -9,6 +9,8 @@ result equals merging snapshot after snapshot.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,24 +35,37 @@ def type_two_merge(dimension: DataFrame | None, updates: DataFrame, keys: list[s
     ``dimension`` has the keys, the attributes, ``valid_from`` and ``valid_to``
     (null = open), or is None for an empty one.  Updates are rows (keys,
     attributes, ``at``); an update whose attribute hash equals that of the version
-    current at its time changes nothing, any other closes that version at ``at``
-    and opens a new one.  Of several updates of one key and time the greatest row
-    counts; updates with a null time or an all-null key do not count; closed
-    versions pass through; updates earlier than the open version's start are kept
-    in order, as the merge is by time and not by arrival.  ``carried`` columns come
-    along with the update that opens a version but are not compared.  ``at`` may be
-    of any ordered type, a struct included.
+    valid at its time changes nothing, any other closes that version at ``at``
+    and opens a new one, which is valid up to the next version there is.  So an update
+    that comes late cuts the closed version of its time, and one within a hole fills it
+    up to the next version.  An update at the very start of a version replaces it.  Of
+    several updates of one key and time the greatest row counts; updates with a null time
+    or an all-null key do not count.  Keys without an update pass through and take no
+    part in the merge.  ``carried`` columns come along with the update that opens a
+    version but are not compared.  ``at`` may be of any ordered type, a struct included.
     """
     attributes, hashed_ones = [*attributes, *(carried or [])], attributes
     cols = [*keys, *attributes]
-    step = updates.select(*cols, F.col(at).alias("valid_from")).filter(F.col("valid_from").isNotNull())
+    some_key = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in keys])
+    step = updates.select(*cols, F.col(at).alias("valid_from")).filter(F.col("valid_from").isNotNull() & some_key)
     step = step.groupBy(*keys, "valid_from").agg(F.max(F.struct(*attributes)).alias("_a")).select(*keys, *[F.col(f"_a.{a}").alias(a) for a in attributes], "valid_from")
-    closed = None
+    step = step.withColumn("_h", attribute_hash(*[F.col(a) for a in hashed_ones])).withColumn("_new", F.lit(1))
+    untouched = None
     if dimension is not None:
-        closed = dimension.filter(F.col("valid_to").isNotNull()).select(*cols, "valid_from", "valid_to")
-        step = dimension.filter(F.col("valid_to").isNull()).select(*cols, "valid_from").unionByName(step)
+        touched = step.select(*[F.col(k).alias(f"_t_{k}") for k in keys]).distinct()
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
+        old = dimension.select(*cols, "valid_from", "valid_to")
+        untouched = old.join(touched, same, "left_anti")
+        held = old.join(touched, same, "left_semi")
+        starts = held.select(*cols, "valid_from").withColumn("_h", attribute_hash(*[F.col(a) for a in hashed_ones])).withColumn("_new", F.lit(0))
+        # The end of a closed version is a point of its own, where nothing is valid.
+        ends = held.filter("valid_to is not null").select(*keys, *[F.lit(None).cast(old.schema[a].dataType).alias(a) for a in attributes], F.col("valid_to").alias("valid_from"), F.lit("").alias("_h"), F.lit(-1).alias("_new"))
+        points = starts.unionByName(ends).unionByName(step)
+        # At one time an update counts before a stored start, and that before an end.
+        step = points.groupBy(*keys, "valid_from").agg(F.max(F.struct("_new", *attributes, "_h")).alias("_p")).select(*keys, *[F.col(f"_p.{a}").alias(a) for a in attributes], "valid_from", F.col("_p._h").alias("_h"))
     order = W.partitionBy(*keys).orderBy(F.col("valid_from").asc_nulls_first())
-    hashed = step.withColumn("_h", attribute_hash(*[F.col(a) for a in hashed_ones]))
-    changed = hashed.withColumn("_before", F.lag("_h").over(order)).filter(F.col("_before").isNull() | (F.col("_h") != F.col("_before")))
-    merged = changed.withColumn("valid_to", F.lead("valid_from").over(order)).select(*cols, "valid_from", "valid_to")
-    return merged if closed is None else closed.unionByName(merged)
+    changed = step.withColumn("_before", F.lag("_h").over(order)).filter(F.coalesce("_before", F.lit("")) != F.col("_h"))
+    merged = changed.withColumn("valid_to", F.lead("valid_from").over(order)).filter("_h <> ''").select(*cols, "valid_from", "valid_to")
+    return merged if untouched is None else untouched.unionByName(merged)

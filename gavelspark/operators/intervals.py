@@ -1,27 +1,27 @@
 """Continuous periods and gaps of overlapping intervals per entity.
 
 The state of one key is an ordered map of disjoint half-open intervals
-(:class:`DisjointIntervals`); every insertion finds the overlapped intervals by
-binary search, merges them and updates the gaps next to them.  The same state
-serves the batch operator (:func:`periods_and_gaps`) and the streaming one
-(:func:`gavelspark.streaming.intervals.stream_periods`).
-
-No task ever holds an unbounded group.  Intervals are cut at the borders of
-fixed calendar buckets (touching pieces merge again, so cutting loses nothing),
-repeats are removed by a map-side aggregation, and a group (entity, bucket) then
-holds at most ``BUCKET_DAYS**2 / 2`` different pieces however many rows an entity
-has.  The last step stitches the disjoint pieces of an entity, of which the
-calendar bounds the number (at most ``BUCKET_DAYS / 2`` per bucket).
+(:class:`DisjointIntervals`); intervals come in no order, and every insertion finds
+the overlapped ones by binary search, merges them and updates the gaps next to them.
+The same state serves the batch operator (:func:`periods_and_gaps`) and the streaming
+one (:func:`gavelspark.streaming.intervals.stream_periods`).
+
+No task ever holds an unbounded group.  Intervals are cut at the borders of fixed
+calendar buckets (touching pieces merge again, so cutting loses nothing) and repeats
+are removed map-side, so a group (entity, bucket) holds at most ``BUCKET_DAYS**2 / 2``
+different pieces however many rows an entity has.  The last step stitches the disjoint
+pieces of an entity, of which the calendar bounds the number (at most
+``BUCKET_DAYS / 2`` per bucket).
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Days of one calendar bucket (four years).
 BUCKET_DAYS = 1461
@@ -58,73 +58,59 @@ class DisjointIntervals:
         return list(zip(self.ends[:-1], self.starts[1:]))
 
 
-def _by_key(frames: Iterator[pd.DataFrame], keys: list[str], emit) -> Iterator[pd.DataFrame]:
-    """Feeds sorted rows to one map per key and emits it when the key ends."""
-    key, state = None, DisjointIntervals()
-    for frame in frames:
-        out: list[tuple] = []
-        for row in frame[[*keys, "lo", "hi"]].itertuples(index=False, name=None):
-            own = row[:-2]
-            if own != key:
-                if key is not None:
-                    out += emit(key, state)
-                key, state = own, DisjointIntervals()
-            state.insert(row[-2], row[-1])
-        if out:
-            yield out
-    if key is not None:
-        yield emit(key, state)
+def packed(lo: Column, hi: Column) -> Column:
+    """Both ends in one number; sets of numbers are smaller than sets of structs."""
+    return F.shiftleft(lo.cast("bigint"), 32) + (hi.cast("bigint") - NEVER)
 
 
-def _pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in _by_key(frames, ["entity", "bucket"], lambda key, state: [(key[0], lo, hi) for lo, hi in state.periods()]):
-        yield pd.DataFrame(rows, columns=["entity", "lo", "hi"])
+def _filled(values) -> DisjointIntervals:
+    """The map of one key after all its intervals, in the order in which they come."""
+    state = DisjointIntervals()
+    for v in values:
+        state.insert(int(v) >> 32, (int(v) & 0xFFFFFFFF) + NEVER)
+    return state
 
 
-def _stitched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def emit(key: tuple, state: DisjointIntervals) -> list[tuple]:
-        return [(key[0], "period", lo, hi) for lo, hi in state.periods()] + [(key[0], "gap", lo, hi) for lo, hi in state.gaps()]
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _merged(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: [(lo << 32) + (hi - NEVER) for lo, hi in _filled(v).periods()])
 
-    for rows in _by_key(frames, ["entity"], emit):
-        yield pd.DataFrame(rows, columns=["entity", "kind", "lo", "hi"])
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _stitched(values: pd.Series) -> pd.Series:
+    """Periods and gaps as texts "kind lo hi"."""
 
-def periods_and_gaps(intervals: DataFrame, entity: str, start: str, end: str) -> DataFrame:
+    def of(v) -> list[str]:
+        state = _filled(v)
+        return [f"period {lo} {hi}" for lo, hi in state.periods()] + [f"gap {lo} {hi}" for lo, hi in state.gaps()]
+
+    return values.map(of)
+
+
+def periods_and_gaps(intervals: DataFrame, entity: str, start: str, end: str, within: list[str] | None = None) -> DataFrame:
     """Continuous periods and the gaps between them, per entity.
 
     ``start`` and ``end`` are dates of half-open intervals [start, end); a null
     start has no beginning, a null end is open.  Intervals that overlap or touch
     are one period; empty and reversed intervals do not count; repeats change
     nothing; a null entity is an entity of its own; an empty table gives no rows.
-    Other columns of the input are ignored.
+    ``within`` names further columns that part entities; others are ignored.
 
-    Returns ``entity string, kind {period, gap}, from_date date, to_date date``
-    (half-open; null = unbounded).
+    Returns ``within``, ``entity string, kind {period, gap}, from_date date, to_date
+    date`` (half-open; null = unbounded).
     """
+    keys = [*(within or []), "entity"]
     day = lambda name, otherwise: F.coalesce(F.datediff(F.col(name), F.lit("1970-01-01").cast("date")), F.lit(otherwise))
-    days = intervals.select(F.col(entity).cast("string").alias("entity"), day(start, NEVER).alias("lo"), day(end, FOREVER).alias("hi")).filter("lo < hi")
-    bounded = days.filter((F.col("lo") > NEVER) & (F.col("hi") < FOREVER))
-    low, high = F.expr(f"floor(lo / {BUCKET_DAYS})"), F.expr(f"floor((hi - 1) / {BUCKET_DAYS})")
-    cut = (
-        bounded.distinct()
-        .select("entity", "lo", "hi", F.explode(F.sequence(low, high)).alias("bucket"))
-        .select(
-            "entity",
-            "bucket",
-            F.greatest("lo", (F.col("bucket") * BUCKET_DAYS).cast("int")).alias("lo"),
-            F.least("hi", ((F.col("bucket") + 1) * BUCKET_DAYS).cast("int")).alias("hi"),
-        )
-        .distinct()
-    )
-    pieces = cut.repartition("entity", "bucket").sortWithinPartitions("entity", "bucket", "lo").mapInPandas(_pieces, "entity string, lo int, hi int")
-    # Of unbounded intervals only the earliest start (or latest end) of an entity matters.
-    ends = (
-        days.filter((F.col("lo") == NEVER) | (F.col("hi") == FOREVER))
-        .groupBy("entity", (F.col("lo") == NEVER).alias("a"), (F.col("hi") == FOREVER).alias("b"))
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        .select("entity", "lo", "hi")
-    )
-    whole = pieces.unionByName(ends).repartition("entity").sortWithinPartitions("entity", "lo").mapInPandas(_stitched, "entity string, kind string, lo int, hi int")
-    date = lambda name, none: F.when(F.col(name) != none, F.date_add(F.lit("1970-01-01").cast("date"), F.col(name)))
-    return whole.select("entity", "kind", date("lo", NEVER).alias("from_date"), date("hi", FOREVER).alias("to_date"))
-
+    days = intervals.select(*(within or []), F.col(entity).cast("string").alias("entity"), day(start, NEVER).alias("lo"), day(end, FOREVER).alias("hi")).filter("lo < hi")
+    # Unbounded intervals, of which an entity has few different ones, are no bucket's (null).
+    bounded = (F.col("lo") > NEVER) & (F.col("hi") < FOREVER)
+    buckets = F.sequence(F.expr(f"floor(lo / {BUCKET_DAYS})"), F.expr(f"floor((hi - 1) / {BUCKET_DAYS})"))
+    cut = days.select(*keys, "lo", "hi", F.explode(F.when(bounded, buckets).otherwise(F.array(F.lit(None).cast("bigint")))).alias("bucket"))
+    # Of those without beginning only the latest end, of those without end the earliest start matters.
+    low = F.when(F.col("bucket").isNull(), F.col("lo")).otherwise(F.greatest("lo", (F.col("bucket") * BUCKET_DAYS).cast("int")))
+    high = F.when(F.col("bucket").isNull(), F.col("hi")).otherwise(F.least("hi", ((F.col("bucket") + 1) * BUCKET_DAYS).cast("int")))
+    grouped = cut.groupBy(*keys, "bucket").agg(F.collect_set(packed(low, high)).alias("own"))
+    pieces = grouped.select(*keys, F.explode(_merged("own")).alias("piece"))
+    whole = pieces.groupBy(*keys).agg(F.collect_list("piece").alias("own")).select(*keys, F.explode(_stitched("own")).alias("row")).withColumn("r", F.split("row", " "))
+    date = lambda k, none: F.when(F.col("r")[k].cast("int") != none, F.date_add(F.lit("1970-01-01").cast("date"), F.col("r")[k].cast("int")))
+    return whole.select(*keys, F.col("r")[0].alias("kind"), date(1, NEVER).alias("from_date"), date(2, FOREVER).alias("to_date"))

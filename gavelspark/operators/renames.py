@@ -46,6 +46,14 @@ def counted_changes(renames: DataFrame) -> DataFrame:
     return held.withColumn("former_key", key("former_name")).withColumn("legal_key", key("legal_name")).filter("former_key <> legal_key")
 
 
+def name_updates(counted: DataFrame) -> DataFrame:
+    """source_id, name_key, name, at: of each change the former name (step 0) and the legal one (step 1)."""
+    at = lambda step: F.struct(F.col("start_year"), F.lit(step).alias("step")).alias("at")
+    former = F.struct(F.col("former_key").alias("name_key"), F.col("former_name").alias("name"), at(0))
+    legal = F.struct(F.col("legal_key").alias("name_key"), F.col("legal_name").alias("name"), at(1))
+    return counted.select("source_id", F.explode(F.array(former, legal)).alias("u")).select("source_id", "u.*")
+
+
 def name_versions(renames: DataFrame) -> DataFrame:
     """Every version of every committee's name: source_id, name, valid_from, valid_to
     (start years; null = unknown or open).
@@ -57,16 +65,7 @@ def name_versions(renames: DataFrame) -> DataFrame:
     committee without a change that counts has one version without bounds.
     """
     counted = counted_changes(renames)
-    at = lambda step: F.struct(F.col("start_year"), F.lit(step).alias("step")).alias("at")
-    updates = counted.select(
-        "source_id",
-        F.explode(
-            F.array(
-                F.struct(F.col("former_key").alias("name_key"), F.col("former_name").alias("name"), at(0)),
-                F.struct(F.col("legal_key").alias("name_key"), F.col("legal_name").alias("name"), at(1)),
-            )
-        ).alias("u"),
-    ).select("source_id", "u.*")
+    updates = name_updates(counted)
     merged = type_two_merge(None, updates, ["source_id"], ["name_key"], "at", carried=["name"])
     year = lambda c: F.when(F.col(f"{c}.step") == 1, F.col(f"{c}.start_year")).alias(c)
     versions = merged.select("source_id", "name", year("valid_from"), year("valid_to"))

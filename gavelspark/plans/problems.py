@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavelspark.functions.ids import id_key, present
-from gavelspark.operators.history import newest
+from gavelspark.operators.history import newest, type_two_merge
 from gavelspark.operators.intervals import periods_and_gaps
 from gavelspark.operators.orphans import find_orphans
-from gavelspark.operators.renames import biennium_label, name_terms, name_versions
-from gavelspark.session import table
+from gavelspark.operators.renames import biennium_label, counted_changes, name_terms, name_updates, name_versions
+from gavelspark.session import stored, table
 
 
 def sittings(sessions: DataFrame) -> DataFrame:
@@ -29,45 +31,35 @@ def sittings(sessions: DataFrame) -> DataFrame:
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Continuous periods and gaps of assemblies and of committees' names."""
+    named = lambda df, name: df.toDF("entity", "from", "to").withColumn("table_name", F.lit(name))
+    terms = named(sittings(table(spark, sf_dir, "legislative_sessions")), "legislative_sessions").unionByName(named(name_terms(table(spark, sf_dir, "rename_transitions")), "rename_transitions"))
+    found = periods_and_gaps(terms, "entity", "from", "to", ["table_name"])
+    # Days of sittings are inclusive: the last one is one before the half-open end.
+    last = F.when(F.col("table_name") == "legislative_sessions", F.date_sub("to_date", 1)).otherwise(F.col("to_date"))
     iso = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit(""))
-    assemblies = periods_and_gaps(sittings(table(spark, sf_dir, "legislative_sessions")), "organization_id", "from", "to")
-    # Days are inclusive here: the last day of a period and of a gap is one before the half-open end.
-    days = assemblies.select(F.lit("legislative_sessions").alias("table_name"), F.col("entity").alias("entity_id"), "kind", iso("from_date").alias("from_date"), iso(F.date_sub("to_date", 1)).alias("to_date"))
-    committees = periods_and_gaps(name_terms(table(spark, sf_dir, "rename_transitions")), "source_id", "from", "to")
-    terms = committees.select(F.lit("rename_transitions").alias("table_name"), F.col("entity").alias("entity_id"), "kind", iso("from_date").alias("from_date"), iso("to_date").alias("to_date"))
-    return days.unionByName(terms)
+    return found.select("table_name", F.col("entity").alias("entity_id"), "kind", iso("from_date").alias("from_date"), iso(last).alias("to_date"))
+
+
+#: What refers: the table and field that the number ``ref`` of a reference stands for.
+REFERRING = [("citations", "entity_id"), ("citations", "fetch_event_id"), ("bill_sponsorships", "person_id"), ("fact_citations", "entity")]
 
 
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every reference that is neither null nor blank, with its target's typed key and month."""
-
-    def of(df: DataFrame, name: str, field: str, ref_id, kind, value, made) -> DataFrame:
-        return df.select(
-            F.lit(name).alias("ref_table"),
-            F.lit(field).alias("ref_field"),
-            ref_id.cast("string").alias("ref_id"),
-            value.alias("value"),
-            id_key(kind, value).alias("key"),
-            made.alias("made_at"),
-        ).filter(present(F.col("value"))).drop("value")
-
-    cited = table(spark, sf_dir, "citations")
-    bills = table(spark, sf_dir, "bill_sponsorships")
-    facts = table(spark, sf_dir, "fact_citations")
+    """ref, ref_id, key, made_at: every reference that is neither null nor blank, with its target's
+    typed key.  Both references of a citation come from one scan."""
     c = F.col
+
+    def of(df: DataFrame, ref_id, made, *values) -> DataFrame:
+        each = F.array(*[F.struct(F.lit(n).cast("tinyint").alias("ref"), kind.alias("kind"), value.alias("value")) for n, kind, value in values])
+        rows = df.select(ref_id.cast("string").alias("ref_id"), made.alias("made_at"), F.explode(F.filter(each, lambda x: present(x["value"]))).alias("r"))
+        return rows.select("r.ref", "ref_id", id_key(c("r.kind"), c("r.value")).alias("key"), "made_at")
+
     entity = F.split(c("entity"), ":", 2)
-    facts_refs = facts.filter(present(c("entity"))).select(
-        F.lit("fact_citations").alias("ref_table"),
-        F.lit("entity").alias("ref_field"),
-        c("fact_id").cast("string").alias("ref_id"),
-        id_key(type_code(F.trim(entity[0])), F.get(entity, F.lit(1))).alias("key"),
-        c("emitted_at").alias("made_at"),
-    )
+    facts = table(spark, sf_dir, "fact_citations").filter(present(c("entity")))
     return (
-        of(cited, "citations", "entity_id", c("id"), type_code(c("entity_type")), c("entity_id"), c("asserted_at"))
-        .unionByName(of(cited, "citations", "fetch_event_id", c("id"), F.lit("f"), c("fetch_event_id"), c("asserted_at")))
-        .unionByName(of(bills, "bill_sponsorships", "person_id", c("id"), F.lit("p"), c("person_id"), c("created_at")))
-        .unionByName(facts_refs)
+        of(table(spark, sf_dir, "citations"), c("id"), c("asserted_at"), (0, type_code(c("entity_type")), c("entity_id")), (1, F.lit("f"), c("fetch_event_id")))
+        .unionByName(of(table(spark, sf_dir, "bill_sponsorships"), c("id"), c("created_at"), (2, F.lit("p"), c("person_id"))))
+        .unionByName(facts.select(F.lit(3).cast("tinyint").alias("ref"), c("fact_id").cast("string").alias("ref_id"), id_key(type_code(F.trim(entity[0])), F.get(entity, F.lit(1))).alias("key"), c("emitted_at").alias("made_at")))
     )
 
 
@@ -80,25 +72,23 @@ def type_code(kind):
     return code
 
 
-def parents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    """Typed keys of all records that can be referred to, and about how many there are."""
-    rows, count = [], 0
+def parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """key, born, dead: typed keys of all records that can be referred to, newest versions."""
+    rows = []
     for name, code, born in (("persons", "p", "created_at"), ("legislative_sessions", "l", "created_at"), ("bill_sponsorships", "b", "created_at"), ("jurisdictions", "j", "created_at"), ("fetch_events", "f", "fetched_at")):
         df = table(spark, sf_dir, name)
-        count += df.count()
         version = F.col("updated_at") if "updated_at" in df.columns else F.col(born)
         gone = F.col("deleted_at").isNotNull() if name == "persons" else F.lit(False)
         rows.append(df.filter("id is not null").select(id_key(F.lit(code), F.col("id")).alias("key"), version.alias("version"), F.col(born).alias("born"), gone.alias("dead")))
-    union = rows[0]
-    for r in rows[1:]:
-        union = union.unionByName(r)
-    held = union.groupBy("key").agg(F.max(F.struct("version", "born", "dead")).alias("v"))
-    return held.select("key", F.col("v.born").alias("born"), F.col("v.dead").alias("dead")), count
+    held = reduce(DataFrame.unionByName, rows).groupBy("key").agg(F.max(F.struct("version", "born", "dead")).alias("v"))
+    return held.select("key", F.col("v.born").alias("born"), F.col("v.dead").alias("dead"))
 
 
 def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held, count = parents(spark, sf_dir)
-    return find_orphans(references(spark, sf_dir), held, count)
+    """ref_table, ref_field, ref_id, made_at, reason."""
+    found = find_orphans(references(spark, sf_dir), parents(spark, sf_dir))
+    name = lambda k: F.array(*[F.lit(r[k]) for r in REFERRING])[F.col("ref").cast("int")]
+    return found.select(name(0).alias("ref_table"), name(1).alias("ref_field"), "ref_id", "made_at", "reason")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +114,23 @@ def p5_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return name_versions(table(spark, sf_dir, "rename_transitions")).select("source_id", "name", text("valid_from"), text("valid_to"))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_report": p2_report, "p5_found": p5_found, "p5_versions": p5_versions}
+#: The boundary between the two snapshots of :func:`p5_snapshots`.
+SNAPSHOT = 2001
+
+
+def p5_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versions, built from two snapshots: the changes before SNAPSHOT make a stored
+    dimension, into which the later ones are merged."""
+    renames = table(spark, sf_dir, "rename_transitions")
+    updates = name_updates(counted_changes(renames)).select("source_id", "name_key", "name", "at")
+    first = updates.filter(F.col("at.start_year") < SNAPSHOT)
+    dimension = stored(type_two_merge(None, first, ["source_id"], ["name_key"], "at", carried=["name"]))
+    merged = type_two_merge(dimension, updates.filter(F.col("at.start_year") >= SNAPSHOT), ["source_id"], ["name_key"], "at", carried=["name"])
+    text = lambda c: F.coalesce(biennium_label(F.when(F.col(f"{c}.step") == 1, F.col(f"{c}.start_year"))), F.lit("")).alias(c)
+    return merged.select("source_id", "name", text("valid_from"), text("valid_to"))
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_report": p2_report, "p5_found": p5_found, "p5_versions": p5_versions, "p5_snapshots": p5_snapshots}
 
 
 # Reference SQL (DuckDB).  Sessions and changes are as in TESTDATA.md; islands by running maximum.
@@ -227,4 +233,19 @@ union all
 select distinct source_id, '', '' from rename_transitions where source_id not in (select source_id from counted)
 """
 
-ORACLE = {"p1_found": _P1, "p2_found": _P2, "p2_report": _P2_REPORT, "p5_found": _P5}
+_P5_NAMED = f"""
+with {_COUNTED},
+  chain as (select source_id, y, fk, lk, former_name, legal_name, lag(lk) over w as before, lead(fk) over w as nf, lead(y) over w as ny, row_number() over w as n
+    from counted window w as (partition by source_id order by y)),
+  label as (select y, cast(y as varchar) || '-' || lpad(cast((y + 1) % 100 as varchar), 2, '0') as text from (select distinct y from typed))
+select c.source_id, c.legal_name as name, l.text as valid_from, case when c.nf = c.lk then n.text else '' end as valid_to
+from chain c join label l on c.y = l.y left join label n on c.ny = n.y
+union all
+select c.source_id, c.former_name, '', l.text from chain c join label l on c.y = l.y where c.n = 1 or c.before <> c.fk
+"""
+_P5_STILL = """
+union all
+select source_id, arg_max(legal_name, (recorded_at, legal_name)), '', '' from rename_transitions where source_id not in (select source_id from counted) group by 1
+"""
+
+ORACLE = {"p1_found": _P1, "p2_found": _P2, "p2_report": _P2_REPORT, "p5_found": _P5, "p5_versions": _P5_NAMED + _P5_STILL, "p5_snapshots": _P5_NAMED}

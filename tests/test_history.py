@@ -80,3 +80,29 @@ def test_terms(spark):
 def test_label(spark):
     df = spark.createDataFrame([(1999,), (2013,), (None,)], "y int")
     assert [r[0] for r in df.select(biennium_label(F.col("y"))).collect()] == ["1999-00", "2013-14", None]
+
+
+def test_late_updates_cut_closed_versions(spark):
+    """Stored: A 2000 to 2005, B from 2005; a hole after 2010 of another key; a third key without updates."""
+    dim = spark.createDataFrame([("k", "A", 2000, 2005), ("k", "B", 2005, None), ("h", "A", 2000, 2010), ("u", "A", 1990, None), ("u", "A", 1980, 1985)], "k string, v string, valid_from int, valid_to int")
+    merge = lambda *rows: sorted((tuple(r) for r in type_two_merge(dim, spark.createDataFrame(list(rows), "k string, v string, t int"), ["k"], ["v"], "t").collect()), key=repr)
+    same = [("u", "A", 1980, 1985), ("u", "A", 1990, None)]
+    whole = [("k", "A", 2000, 2005), ("k", "B", 2005, None)]
+    assert merge(("k", "C", 2003)) == sorted([("h", "A", 2000, 2010), ("k", "A", 2000, 2003), ("k", "C", 2003, 2005), ("k", "B", 2005, None), *same], key=repr)
+    assert merge(("k", "A", 2003), ("k", "B", 2009), ("k", None, None), (None, "X", 2001)) == sorted([("h", "A", 2000, 2010), *whole, *same], key=repr)  # nothing new
+    assert merge(("k", "C", 2005)) == sorted([("h", "A", 2000, 2010), ("k", "A", 2000, 2005), ("k", "C", 2005, None), *same], key=repr)  # replaces
+    assert merge(("k", "B", 2003)) == sorted([("h", "A", 2000, 2010), ("k", "A", 2000, 2003), ("k", "B", 2003, None), *same], key=repr)  # earlier start
+    assert merge(("k", "Z", 1999)) == sorted([("h", "A", 2000, 2010), ("k", "Z", 1999, 2000), *whole, *same], key=repr)
+    assert merge(("h", "B", 2012), ("h", None, 2011)) == sorted([("h", "A", 2000, 2010), ("h", None, 2011, 2012), ("h", "B", 2012, None), *whole, *same], key=repr)
+    assert merge() == sorted([("h", "A", 2000, 2010), *whole, *same], key=repr)
+
+
+def test_late_updates_in_any_order_equal_a_replay_by_time(spark):
+    """Distinct values at distinct times: the order of arrival makes no difference."""
+    rng = random.Random(4)
+    rows = [(f"k{i % 3}", f"v{i}", t) for i, t in enumerate(rng.sample(range(200), 40))]
+    whole = sorted(map(tuple, type_two_merge(None, spark.createDataFrame(rows, "k string, v string, t int"), ["k"], ["v"], "t").collect()), key=repr)
+    dim = None
+    for part in (rows[:15], rows[15:20], rows[20:]):
+        dim = type_two_merge(dim, spark.createDataFrame(part, "k string, v string, t int"), ["k"], ["v"], "t")
+    assert sorted(map(tuple, dim.collect()), key=repr) == whole
