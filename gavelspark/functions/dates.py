@@ -71,21 +71,58 @@ def backoff_seconds(attempts: Column) -> Column:
     return F.least(60 * F.pow(F.lit(2.0), attempts - 1), F.lit(3600.0)).cast("bigint")
 
 
-# Plausible years of an annotation; month names.
+def election_years(start: Column) -> Column:
+    """The years whose November can decide a biennium's House: the even one that seats it, then the
+    odd one of specials."""
+    return F.array(start - 1, start)
+
+
+def senate_election_years(start: Column) -> Column:
+    """The years whose winners sit in a biennium's Senate (terms of four years, half at a time): the
+    two last even ones and the odd one of specials."""
+    return F.array(start - 1, start - 3, start)
+
+
+def seated_biennium(year: Column) -> Column:
+    """The biennium that an election's winners sit in: an even year seats the next one, an odd one its own."""
+    return biennium_label(year + F.when(year % 2 == 0, 1).otherwise(0))
+
+
+# Plausible years of an annotation; month names; phrases whose years name a session
+# or a district's history and no date.
 YEAR_FLOOR, YEAR_CEILING = 1889, 2049
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
-_MONTH = r"(January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept?|Oct|Nov|Dec)\.?"
+SESSION_NOISE = [r"to\s+serve\s+(?:the\s+)?\d{4}[^;]*", r"\b\d{4}\s+(?:\d(?:st|nd|rd|th)\s+)?ex\.?\s*s\.?", r"\b\d{4}\s+session\b", r"from\s+district\s+\d+[^;]*"]
+_MONTH = r"(?:January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept?|Oct|Nov|Dec)"
+
+
+def _parts(text: Column) -> tuple[Column, Column, Column, Column]:
+    """Day (a date), month and year of the most precise date that a text states, and its precision."""
+    bare = F.regexp_replace(text, "(?i)" + "|".join(SESSION_NOISE), " ")
+    number = lambda name: F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.substring(name, 1, 3))).cast("int"), F.lit(0))
+    # Between day and year the print has a comma, a full stop, both or neither.
+    full = rf"(?i)\b({_MONTH})\.?\s+(\d{{1,2}})\s*[.,]?\s*,?\s*(\d{{4}})\b"
+    year = F.regexp_extract(bare, full, 3).try_cast("int")
+    iso = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(number(F.regexp_extract(bare, full, 1)).cast("string"), 2, "0"), F.lpad(F.regexp_extract(bare, full, 2), 2, "0"))
+    day = F.when(year.between(YEAR_FLOOR, YEAR_CEILING), iso.try_cast("date"))
+    half = rf"(?i)\b({_MONTH})\.?\s*,?\s+(\d{{4}})\b"
+    month, month_year = number(F.regexp_extract(bare, half, 1)), F.regexp_extract(bare, half, 2).try_cast("int")
+    alone = F.regexp_extract(bare, r"\b((?:1[89]|20)\d{2})\b", 1).try_cast("int")
+    precision = F.when(day.isNotNull(), "day").when(month.isNotNull(), "month").when(alone.isNotNull(), "year").otherwise("none")
+    of_day = day.isNotNull()
+    return day, F.when(of_day, F.month(day)).otherwise(month), F.when(of_day, F.year(day)).when(month.isNotNull(), month_year).otherwise(alone), precision
 
 
 def mixed_date(text: Column) -> Column:
     """struct(value, precision): the most precise date a clause states; impossible days and
     implausible years fall to a coarser one; session references are removed first."""
-    bare = F.regexp_replace(text, r"(?i)\b\d{4}\s+(?:\d\w*\s+)?(?:regular|special|extraordinary)\s+session\b", " ")
-    day = rf"(?i)\b{_MONTH}\s+(\d{{1,2}}),?\s+(\d{{4}})\b"
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.substring(F.regexp_extract(bare, day, 1), 1, 3))).cast("int")
-    year = F.regexp_extract(bare, day, 3).try_cast("int")
-    number = F.regexp_extract(bare, day, 2)
-    iso = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(number, 2, "0"))
-    value = F.when(year.between(YEAR_FLOOR, YEAR_CEILING), iso.try_cast("date"))
-    precision = F.when(value.isNotNull(), "day").when(bare.rlike(rf"(?i)\b{_MONTH}\s+(?:\d{{1,2}},?\s+)?\d{{4}}\b"), "month").when(bare.rlike(r"\b(?:1[89]|20)\d{2}\b"), "year").otherwise("none")
-    return F.when(text.isNotNull(), F.struct(value.alias("value"), precision.alias("precision")))
+    day, _, _, precision = _parts(text)
+    return F.when(text.isNotNull(), F.struct(day.alias("value"), precision.alias("precision")))
+
+
+def partial_date(text: Column) -> Column:
+    """struct(year, month, day, hour, minute, second): what a text states of a time, a clock time
+    only after a full date; the rest null, never filled in."""
+    day, month, year, _ = _parts(text)
+    clock = lambda k: F.when(day.isNotNull(), F.regexp_extract(text, r"\b([01]?\d|2[0-3]):([0-5]\d)(?::([0-5]\d))?\b", k).try_cast("int"))
+    return F.struct(year.alias("year"), month.alias("month"), F.dayofmonth(day).alias("day"), clock(1).alias("hour"), clock(2).alias("minute"), clock(3).alias("second"))

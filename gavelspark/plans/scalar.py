@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from gavelspark.functions import dates as D
 from gavelspark.functions import strings as S
+from gavelspark.functions.json import canonical_json
 from gavelspark.functions.ids import id_hex, id_text
 from gavelspark.functions.folding import unaccent
 from gavelspark.plans.registry import Registry
@@ -181,20 +182,28 @@ def str21(t):
     return rows.select("member_name", S.strip_position_suffix(F.concat("member_name", lit(" – "), F.coalesce(c("district"), lit(1)).cast("string"), lit("B"))).alias("name")).distinct()
 
 
-@R.query("str22_split_annotation", "select distinct record_id, trim(member_name) as name, 'Resigned May 11, 1981' as annotation from event_proposals where not regexp_matches(member_name, '\\((?i:appointed|elected|resigned)')")
+_CUES = "|".join(S.CUES)
+
+
+@R.query(
+    "str22_split_annotation",
+    f"""with x as (select distinct record_id, member_name || case when evidence like '(%' then ' ' || evidence else ' (' || evidence || ')' end as raw from event_proposals),
+  y as (select *, '^(.*?)\\(\\s*((?i:{_CUES}|to serve)\\b.*)$' as p from x)
+select record_id, trim(case when regexp_matches(raw, p) then regexp_extract(raw, p, 1) else raw end) as name, case when regexp_matches(raw, p) then trim(rtrim(trim(regexp_extract(raw, p, 2)), ')')) end as annotation from y""",
+)
 def str22(t):
-    raw = F.concat("member_name", lit(" (Resigned May 11, 1981)"))
-    rows = t.event_proposals.filter(~c("member_name").rlike(r"(?i)\((?:appointed|elected|resigned)")).select("record_id", S.split_annotation(raw).alias("s")).distinct()
-    return rows.select("record_id", "s.name", "s.annotation")
+    raw = F.concat("member_name", F.when(c("evidence").startswith("("), F.concat(lit(" "), "evidence")).otherwise(F.concat(lit(" ("), "evidence", lit(")"))))
+    rows = t.event_proposals.select("record_id", raw.alias("raw")).distinct()
+    return rows.select("record_id", S.split_annotation(c("raw")).alias("s")).select("record_id", "s.name", "s.annotation")
 
 
 @R.query(
     "str23_clauses",
-    """with p as (select distinct record_id, evidence, regexp_replace(regexp_replace(evidence, '\\)\\s*\\(', ';', 'g'), ';\\s+', ';', 'g') as e from event_proposals),
-  s as (select record_id, unnest(string_split(e, ';')) as part from p),
+    """with p as (select distinct record_id, regexp_replace(replace(evidence, ';', chr(31)), '\\)(\\s*[A-Za-z(])', chr(31) || '\\1', 'g') as e from event_proposals),
+  s as (select record_id, unnest(string_split(e, chr(31))) as part from p),
   q as (select record_id, trim(part, ' ()') as text from s)
-select record_id, text, case when regexp_matches(text, '(?i)\\b(died|deceased)\\b') then 'died' when regexp_matches(text, '(?i)\\bresigned\\b') then 'resigned' when regexp_matches(text, '(?i)\\b(sworn in|seated)\\b') then 'sworn_in'
-  when regexp_matches(text, '(?i)\\bappointed\\b') then 'appointed' when regexp_matches(text, '(?i)\\belected\\b') then 'elected' when regexp_matches(text, '(?i)\\bchanged party\\b') then 'party_change' when regexp_matches(text, '(?i)\\b(vacant|vacated)\\b') then 'vacated' end as verb
+select record_id, text, case when regexp_matches(text, '^(?i:died|deceased)\\b') then 'deceased' when regexp_matches(text, '^(?i:sworn\\s+in)\\b') then 'sworn_in' when regexp_matches(text, '^(?i:appointed)\\b') then 'appointed'
+  when regexp_matches(text, '^(?i:resigned)\\b') then 'resigned' when regexp_matches(text, '^(?i:elected)\\b') then 'elected' when regexp_matches(text, '^(?i:redistricted)\\b') then 'redistricted' when regexp_matches(text, '^(?i:holdover)\\b') then 'holdover' when regexp_matches(text, '^(?i:changed\\s+party)\\b') then 'changed_party' end as verb
 from q where text <> ''""",
 )
 def str23(t):
@@ -202,22 +211,30 @@ def str23(t):
     return rows.select("record_id", F.explode(S.clauses(c("evidence"))).alias("p")).select("record_id", "p.text", "p.verb")
 
 
+# Both forms, a token's other spelling, and two notes that must be refused; the rest as it stands.
+_NOTE = "case record_id % 6 when 0 then 'Changed party affiliation, ' || session_year || ') ... R' when 1 then 'Changed party affiliation to Democrat, February 13, ' || session_year when 2 then 'Changed party affiliation ' || session_year || ') . Silver R' when 3 then 'Changed party affiliation to Martian, February 13, ' || session_year when 4 then 'Changed party affiliation Foo 33, ' || session_year else evidence end"
+
+
 @R.query(
     "str24_party_change",
-    """with x as (select distinct record_id, session_year, case record_id % 3 when 0 then 'Changed party affiliation, ' || session_year || ') ... R' when 1 then 'Changed party affiliation to Democrat, February 13, ' || session_year else evidence end as note from event_proposals)
-select record_id, case record_id % 3 when 0 then 'year' when 1 then 'dated' else case when note ilike '%changed party%' then 'unparsed' end end as state,
-  case when record_id % 3 < 2 then session_year end as year, case record_id % 3 when 0 then 'R' when 1 then 'Democrat' end as token from x""",
+    f"""with x as (select distinct record_id, session_year, {_NOTE} as note from event_proposals)
+select record_id, case when record_id % 6 in (0, 2) then 'year' when record_id % 6 = 1 then 'dated' when note ilike '%changed party%' then 'unparsed' end as state, case when record_id % 6 < 3 then session_year end as year,
+  case when record_id % 6 = 1 then make_date(session_year, 2, 13) end as day, case record_id % 6 when 0 then 'R' when 1 then 'D' when 2 then 'Silver Rep.' end as token from x""",
 )
 def str24(t):
-    note = F.expr("case record_id % 3 when 0 then 'Changed party affiliation, ' || session_year || ') ... R' when 1 then 'Changed party affiliation to Democrat, February 13, ' || session_year else evidence end")
-    rows = t.event_proposals.select("record_id", note.alias("note")).distinct()
-    return rows.withColumn("p", S.party_change(c("note"))).select("record_id", "p.state", "p.year", "p.token")
+    rows = t.event_proposals.select("record_id", F.expr(_NOTE).alias("note")).distinct()
+    return rows.withColumn("p", S.party_change(c("note"))).select("record_id", "p.state", "p.year", "p.day", "p.token")
 
 
-@R.query("str25_row_shape", "select distinct record_id, record_id % 2 = 1 as undeclared from event_proposals")
+@R.query(
+    "str25_row_shape",
+    """with x as (select distinct record_id, list_filter(regexp_split_to_array(member_name, '\\s+'), lambda w: w <> '') as w from event_proposals)
+select record_id, record_id % 2 = 1 as undeclared, len(w) > 0 and len(list_filter(w, lambda v: not (v[1] in ('“', '”', '"', chr(39), '(') or (upper(v[1]) = v[1] and lower(v[1]) <> v[1])))) = 0 as awaits from x""",
+)
 def str25(t):
     body = F.concat("member_name", lit(" ........ "), F.expr("case when record_id % 2 = 1 then 'Whig' else 'R' end"))
-    return t.event_proposals.select("record_id", S.undeclared_party_tail(body, list(S.ROSTER_PARTIES)).alias("undeclared")).distinct()
+    led = F.concat_ws(" ", c("session_year").cast("string"), "member_name")
+    return t.event_proposals.select("record_id", S.undeclared_party_tail(body, list(S.ROSTER_PARTIES)).alias("undeclared"), S.awaits_leader(led).alias("awaits")).distinct()
 
 
 @R.query("str26_reason_and_url", "select distinct record_id, left(evidence, 120) as reason, 'https://archive.invalid/roster.pdf#page=' || page_number as url from event_proposals")
@@ -273,10 +290,13 @@ def date6(t):
     return labels(t).select("b").distinct().select("b", D.biennium_window(c("b")).alias("w")).select("b", "w.from", "w.to")
 
 
-@R.query("date7_calendar", f"select b, y - 1 as election, s.d as senate_year from (select distinct b, y from {_LABELS}), (values (-3), (-1), (1)) s(d)")
+@R.query("date7_calendar", f"select b, y - 1 as election, {label_sql('y + 2')} as seats_next, unnest([y - 1, y]) as house_year, unnest([y - 1, y - 3, y]) as senate_year from (select distinct b, y from {_LABELS})")
 def date7(t):
     y = F.substring("b", 1, 4).cast("int")
-    return labels(t).select("b").distinct().select("b", D.election_year(y).alias("election"), F.explode(F.array(lit(-3), lit(-1), lit(1))).alias("senate_year"))
+    rows = labels(t).select("b").distinct()
+    # Both lists side by side, the shorter one filled with nulls.
+    both = F.arrays_zip(D.election_years(y), D.senate_election_years(y))
+    return rows.select("b", D.election_year(y).alias("election"), D.seated_biennium(y + 1).alias("seats_next"), F.explode(both).alias("z")).select("b", "election", "seats_next", c("z.0").alias("house_year"), c("z.1").alias("senate_year"))
 
 
 @R.query("date8_election_date", "select distinct election_year, (make_date(election_year, 11, 1) + ((8 - isodow(make_date(election_year, 11, 1))) % 7)::integer + 1)::date as day from senate_winners")
@@ -284,12 +304,13 @@ def date8(t):
     return t.senate_winners.select("election_year").distinct().select("election_year", D.general_election_date(c("election_year")).alias("day"))
 
 
-@R.query(
-    "date9_mixed_precision",
-    """with x as (select distinct evidence as e, regexp_extract(evidence, '([A-Z][a-z]+) (\\d{1,2}), (\\d{4})', 0) as d from event_proposals)
-select e as text, case when d <> '' then try_strptime(d, '%B %d, %Y')::date end as value,
-  case when d <> '' then 'day' when regexp_matches(e, '(January|February|March|April|May|June|July|August|September|October|November|December) \\d{4}') then 'month' when regexp_matches(e, '\\b(18|19|20)\\d{2}\\b') then 'year' else 'none' end as precision from x""",
-)
+_MONTH_SQL = D._MONTH.replace("(?:", "(", 1)
+_DATED = f"""with x as (select distinct evidence as e, regexp_replace(evidence, '(?i:{"|".join(D.SESSION_NOISE)})', ' ', 'g') as b from event_proposals),
+  p as (select e, b, regexp_extract(b, '(?i:\\b{_MONTH_SQL}\\.?\\s+(\\d{{1,2}})\\s*[.,]?\\s*,?\\s*(\\d{{4}})\\b)', ['m', 'd', 'y']) as f, regexp_extract(b, '(?i:\\b{_MONTH_SQL}\\.?\\s*,?\\s+(\\d{{4}})\\b)', ['m', 'y']) as h, regexp_extract(b, '\\b((1[89]|20)\\d{{2}})\\b', 1) as y from x),
+  q as (select *, case when try_cast(f.y as integer) between 1889 and 2049 then try_strptime(left(f.m, 3) || ' ' || f.d || ' ' || f.y, '%b %d %Y')::date end as day from p)"""
+
+
+@R.query("date9_mixed_precision", f"{_DATED} select e as text, day as value, case when day is not null then 'day' when h.y <> '' then 'month' when y <> '' then 'year' else 'none' end as precision from q")
 def date9(t):
     rows = t.event_proposals.select(c("evidence").alias("text")).distinct()
     return rows.withColumn("p", D.mixed_date(c("text"))).select("text", "p.value", "p.precision")
@@ -312,11 +333,14 @@ def date12(t):
     return t.jurisdictions.select("id", F.to_timestamp(wire).cast("timestamp_ntz").alias("at")).distinct()
 
 
-@R.query("date13_partial_date", "select distinct source_id, boundary_biennium, year(effective_start) as year, case when month(effective_start) > 1 or day(effective_start) > 1 then month(effective_start) end as month from rename_transitions")
+@R.query(
+    "date13_partial_date",
+    f"{_DATED} select e as text, case when day is not null then year(day) when h.y <> '' then try_cast(h.y as integer) when y <> '' then try_cast(y as integer) end as year, case when day is not null then month(day) when h.y <> '' then month(try_strptime(left(h.m, 3), '%b')) end as month, day(day) as day, case when day is not null then 9 end as hour, case when day is not null then 30 end as minute, null::integer as second from q",
+)
 def date13(t):
-    known = (F.month("effective_start") > 1) | (F.dayofmonth("effective_start") > 1)
-    part = F.struct(F.year("effective_start").alias("year"), F.when(known, F.month("effective_start")).alias("month"), lit(None).cast("int").alias("day"))
-    return t.rename_transitions.select("source_id", "boundary_biennium", part.alias("p")).select("source_id", "boundary_biennium", "p.year", "p.month").distinct()
+    """Of a note and a clock time: hours count after a full date only, and seconds are not stated."""
+    rows = t.event_proposals.select(c("evidence").alias("text")).distinct()
+    return rows.withColumn("p", D.partial_date(F.concat("text", lit(" at 9:30")))).select("text", "p.*")
 
 
 # Arrays and JSON -------------------------------------------------------------------------------------
@@ -349,21 +373,23 @@ def arr5(t):
     return t.events.filter(F.size(F.json_object_keys("props")) > 0).select("event_id", F.try_element_at(fields, first).alias("value"))
 
 
+_ESCAPED = "array_to_string(list_transform(string_split({}, ''), lambda ch: case when ch = '\"' then '\\\"' when ch = '\\' then '\\\\' when ch = chr(9) then '\\t' when ch = chr(10) then '\\n' when ch = chr(13) then '\\r' when unicode(ch) between 32 and 126 then ch else printf('\\u%04x', unicode(ch)) end), '')"
+
+
 @R.query(
     "arr6_canonical_json",
-    """select distinct record_id, sha256('{"district":' || district || ',"kind":"' || kind || '","member":"' || replace(replace(member_name, '\\', '\\\\'), '"', '\\"') || '"}') as digest from event_proposals where not regexp_matches(member_name, '[\\x00-\\x1f\\\\/]')""",
+    f"""select distinct record_id, sha256('{{"district": ' || coalesce(district::varchar, 'null') || ', "kind": "' || kind || '", "member": ' || coalesce('"' || {_ESCAPED.format('member_name')} || '"', 'null') || '}}') as digest from event_proposals""",
 )
 def arr6(t):
-    rows = t.event_proposals.filter(~c("member_name").rlike(r"[\x00-\x1f\\/]"))
-    document = F.to_json(F.struct("district", "kind", c("member_name").alias("member")))
-    return rows.select("record_id", F.sha2(document, 256).alias("digest")).distinct()
+    document = canonical_json(F.struct("district", "kind", c("member_name").alias("member")))
+    return t.event_proposals.select("record_id", F.sha2(document, 256).alias("digest")).distinct()
 
 
-@R.query("arr7_structs_to_map", "select distinct record_id, array_to_string(list_transform(identifier_slugs, lambda s: s || '=' || record_id), ',') as identifiers from candidates")
+@R.query("arr7_structs_to_map", "select record_id, slug, record_id::varchar as value, len(identifier_slugs) as n from (select distinct record_id, identifier_slugs, unnest(identifier_slugs) as slug from candidates)")
 def arr7(t):
     structs = F.transform("identifier_slugs", lambda s: F.struct(s.alias("scheme"), c("record_id").cast("string").alias("value")))
-    joined = F.array_join(F.transform(structs, lambda s: F.concat(s["scheme"], lit("="), s["value"])), ",")
-    return t.candidates.select("record_id", joined.alias("identifiers")).distinct()
+    mapped = t.candidates.dropDuplicates(["record_id"]).select("record_id", F.map_from_entries(structs).alias("by_scheme"))
+    return mapped.select("record_id", F.explode("by_scheme").alias("slug", "value"), F.size("by_scheme").alias("n"))
 
 
 @R.query("arr8_any_match", "select distinct record_id, list_contains(identifier_slugs, 'person_ballot_name') as has from candidates")
