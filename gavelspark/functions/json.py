@@ -18,6 +18,10 @@ def canonical_json(document: pd.DataFrame) -> pd.Series:
     def plain(value):
         if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
             return None
+        if isinstance(value, dict):
+            return {k: plain(v) for k, v in value.items()}
+        if isinstance(value, (list, tuple)) or hasattr(value, "tolist") and getattr(value, "ndim", 0):
+            return [plain(v) for v in value]
         if hasattr(value, "isoformat"):
             return value.isoformat()
         return int(value) if isinstance(value, float) and value.is_integer() else value.item() if hasattr(value, "item") else value

@@ -36,18 +36,21 @@ def unique_match(candidates: DataFrame, keys: list[str], value: str, tie: str |
 
 
 def top_or_refuse(df: DataFrame, keys: list[str], votes: str, value: str) -> DataFrame:
-    """keys, winner: a sole row wins; any null vote or a tie at the top gives null."""
-    top = df.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.count(votes).alias("known"),
-        F.max(F.struct(F.col(votes), F.col(value))).alias("best"),
-        F.min(value).alias("sole"),
-        F.max(votes).alias("most"),
-    )
-    leaders = df.join(top.select(*keys, "most"), keys).groupBy(*keys).agg(F.count_if(F.col(votes) == F.col("most")).alias("leaders"))
-    refused = F.lit(None)
-    winner = F.when(F.col("n") == 1, F.col("sole")).when(F.col("n") > F.col("known"), refused).when(F.col("leaders") == 1, F.col(f"best.{value}")).otherwise(refused)
-    return top.join(leaders, keys).select(*keys, winner.alias("winner"))
+    """keys, winner: a sole row wins; any null vote or a tie at the top gives null.  Two partial
+    aggregations on the way down, no join: a hot key is counted map-side."""
+    tallied = df.groupBy(*keys, votes).agg(F.count("*").alias("_n"), F.min(value).alias("_v"))
+    top = tallied.groupBy(*keys).agg(F.sum("_n").alias("_rows"), F.sum(F.when(F.col(votes).isNull(), F.col("_n"))).alias("_unknown"), F.max(F.struct(F.col(votes), "_n", "_v")).alias("_best"))
+    sure = (F.col("_rows") == 1) | (F.col("_unknown").isNull() & (F.col("_best._n") == 1))
+    return top.select(*keys, F.when(sure, F.col("_best._v")).alias("winner"))
+
+
+def single_match(rows: DataFrame, table: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``rows`` with the one ``value`` that ``table`` has for their keys; none or several is an error."""
+    held = table.groupBy(*keys).agg(F.count_distinct(value).alias("_n"), F.min(value).alias(value))
+    found = rows.join(held, keys, "left")
+    fail = lambda what: F.raise_error(F.concat(F.lit(f"{what} for "), F.concat_ws("/", *keys))).cast(table.schema[value].dataType)
+    one = F.when(F.col("_n").isNull(), fail("no match")).when(F.col("_n") > 1, fail("several matches")).otherwise(F.col(value))
+    return found.withColumn(value, one).drop("_n")
 
 
 def full_outer_actions(desired: DataFrame, existing: DataFrame, keys: list[str], values: list[str], overwrite: bool = False) -> DataFrame:
@@ -59,6 +62,31 @@ def full_outer_actions(desired: DataFrame, existing: DataFrame, keys: list[str],
     return d.join(e, keys, "full_outer").select(*keys, action.alias("action"))
 
 
+def reconcile(desired: DataFrame, existing: DataFrame, keys: list[str], values: list[str], owner: str, ours: str, anchor: str) -> DataFrame:
+    """keys, action of a full-outer reconcile that touches only its own: what another ``owner``
+    holds is skipped, and a row that is no longer desired is deleted only if it has an
+    ``anchor``; without one it is left alone."""
+    d = desired.select(*keys, F.struct(*values).alias("_d"), F.lit(True).alias("_in"))
+    e = existing.select(*keys, F.struct(*values).alias("_e"), F.lit(True).alias("_had"), F.col(owner).alias("_owner"), F.col(anchor).alias("_anchor"))
+    action = (
+        F.when(F.col("_had").isNull(), "insert")
+        .when(~F.col("_owner").eqNullSafe(F.lit(ours)), "owned_elsewhere")
+        .when(F.col("_in").isNull(), F.when(F.col("_anchor").isNull(), "left_alone").otherwise("delete"))
+        .when(F.col("_d").eqNullSafe(F.col("_e")), "keep")
+        .otherwise("update")
+    )
+    return d.join(e, keys, "full_outer").select(*keys, action.alias("action"))
+
+
+def extent(years: DataFrame, year: str, empties: int, step: int = 2) -> DataFrame:
+    """year, reached: walking back from the last year, whether a year is reached before
+    ``empties`` empty steps in a row end the walk.  A row per year of the calendar."""
+    own = years.filter(F.col(year).isNotNull()).select(year).distinct()
+    gap = F.col(year) - F.lag(year).over(W.orderBy(year)) > step * empties
+    last = own.withColumn("_g", gap).agg(F.max(F.when(F.col("_g"), F.col(year))).alias("_from"))
+    return own.join(F.broadcast(last), F.lit(True)).select(year, (F.col("_from").isNull() | (F.col(year) >= F.col("_from"))).alias("reached"))
+
+
 def guarded(changes: DataFrame, scope: DataFrame, most_fraction: float, floor: int) -> DataFrame:
     """The changes, or none of them: an empty scope changes nothing, and more than ``floor``
     changes that are more than ``most_fraction`` of the scope abort.  The guard is one

@@ -138,7 +138,7 @@ def sort4(t):
 @R.query("sort5_priority", f"select id, entity_type from {_CITES} order by case entity_type when 'person' then 1 when 'jurisdiction' then 0 else 2 end, created_at, id limit 100")
 def sort5(t):
     rank = F.when(c("entity_type") == "person", 1).when(c("entity_type") == "jurisdiction", 0).otherwise(2)
-    return t.citations.distinct().orderBy(rank, "created_at", "id").limit(100).select("id", "entity_type")
+    return t.citations.select("id", "entity_type", "created_at").distinct().orderBy(rank, "created_at", "id").limit(100).select("id", "entity_type")
 
 
 @R.query("sort6_limited_update", f"with o as (select id from {_EVENTS} where status = 'error' order by fetched_at, id limit 20) select id, case when id in (select id from o) then 'pending' else status end as status from {_EVENTS}")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from gavelspark.functions import dates as D
 from gavelspark.functions import strings as S
+from gavelspark.functions.json import canonical_json
 from gavelspark.operators import relational as O
+from gavelspark.operators.history import newest
 from gavelspark.plans.registry import Registry
 
 R = Registry()
@@ -25,11 +27,11 @@ _PROPOSALS = "(select distinct * from event_proposals)"
 
 
 def persons(t):
-    return O.first_per_key(t.persons, ["id"], c("updated_at").desc())
+    return newest(t.persons, ["id"], "updated_at")
 
 
 def sessions(t):
-    return O.first_per_key(t.legislative_sessions, ["id"], c("updated_at").desc())
+    return newest(t.legislative_sessions, ["id"], "updated_at")
 
 
 # Projections -----------------------------------------------------------------------------------------
@@ -53,7 +55,7 @@ def prj3(t):
 
 @R.query("prj4_entity_dedup", "select entity_type, entity_id, min(id) as id from citations group by entity_type, entity_id")
 def prj4(t):
-    return O.first_per_key(t.citations.select("entity_type", "entity_id", "id"), ["entity_type", "entity_id"], c("id"))
+    return t.citations.groupBy("entity_type", "entity_id").agg(F.min("id").alias("id"))
 
 
 @R.query("prj5_wire_committee", "select distinct source_id, trim(legal_name) as name, upper(left(legal_name, 4)) as acronym from rename_transitions where nullif(trim(legal_name), '') is not null")
@@ -81,7 +83,11 @@ def prj7(t):
 
 @R.query("prj8_refs_flatten", "select distinct record_id, unnest(case when len(identifier_slugs) = 0 then [null] else identifier_slugs end) as ref from candidates")
 def prj8(t):
-    return t.candidates.select("record_id", F.explode_outer("identifier_slugs").alias("ref")).distinct()
+    """The wire has nothing for no reference, one object for one, a list for more."""
+    slugs = F.transform("identifier_slugs", lambda x: F.struct(x.alias("slug")))
+    wire = F.when(F.size(slugs) == 1, F.to_json(F.get(slugs, lit(0)))).when(F.size(slugs) > 1, F.to_json(slugs))
+    rows = t.candidates.select("record_id", wire.alias("wire")).distinct()
+    return rows.select("record_id", F.explode_outer(S.wire_list(c("wire"))).alias("r")).select("record_id", F.get_json_object("r", "$.slug").alias("ref"))
 
 
 @R.query("prj9_first_ref", "select slug, min(record_id) as record_id from (select record_id, unnest(identifier_slugs) as slug from candidates) where slug in ('person_ballot_name', 'person_roster_key') group by slug")
@@ -92,7 +98,7 @@ def prj9(t):
 
 @R.query("prj10_clean_field", f"select id, nullif(trim(sponsor_name_raw), '') as name from {_BILLS}")
 def prj10(t):
-    return t.bill_sponsorships.distinct().select("id", S.clean(c("sponsor_name_raw")).alias("name"))
+    return t.bill_sponsorships.select("id", S.clean(c("sponsor_name_raw")).alias("name")).distinct()
 
 
 @R.query("prj11_live_rows", f"select id from {_PERSONS} where archived_at is null and deleted_at is null")
@@ -110,27 +116,38 @@ def prj13(t):
     return persons(t).filter(c("name_full").ilike("%el%")).select("id", "name_full")
 
 
-@R.query("prj14_span_key", "select distinct id, source_id || ':house:' || left(id, 4) as key from persons where len(string_split(source_id || ':house:' || left(id, 4), ':')) = 4")
+_SPAN_KEY = "concat_ws(':', assembly, chamber, seat_discriminator, " + "(session_year - case when session_year % 2 = 0 then 1 else 0 end)::varchar || '-' || lpad(((session_year + case when session_year % 2 = 0 then 0 else 1 end) % 100)::varchar, 2, '0'))"
+
+
+def span_keys(t):
+    """record_id and the key of the span that a proposal is about: member:kind:discriminator:start."""
+    start = D.biennium_label(c("session_year") - F.when(c("session_year") % 2 == 0, 1).otherwise(0))
+    return t.event_proposals.select("record_id", "assembly", "chamber", "seat_discriminator", start.alias("start")).distinct().withColumn("key", F.concat_ws(":", "assembly", "chamber", "seat_discriminator", "start"))
+
+
+@R.query("prj14_span_key", f"select distinct record_id, {_SPAN_KEY} as key from event_proposals where chamber = 'house' and seat_discriminator is not null")
 def prj14(t):
-    rows = t.persons.select("id", F.concat("source_id", lit(":house:"), F.substring("id", 1, 4)).alias("key")).distinct()
-    return rows.filter((F.size(F.split("key", ":")) == 4) & (F.split_part("key", lit(":"), lit(3)) == "house"))
+    parts = F.split("key", ":")
+    return span_keys(t).filter((F.size(parts) == 4) & (parts[1] == "house")).select("record_id", "key")
 
 
-@R.query("prj15_span_key_parts", "select distinct id, source_id as member, 'house' as kind, 'ld-1' as discriminator, '2013-14' as start from persons")
+@R.query("prj15_span_key_parts", f"select distinct record_id, assembly as member, chamber as kind, seat_discriminator as discriminator, right({_SPAN_KEY}, 7) as start from event_proposals where seat_discriminator is not null")
 def prj15(t):
-    key = F.concat("source_id", lit(":house:ld-1:2013-14"))
     shape = "^(.*):([^:]*):([^:]*):([^:]*)$"
-    part = lambda i: F.regexp_extract(key, shape, i)
-    return t.persons.select("id", part(1).alias("member"), part(2).alias("kind"), part(3).alias("discriminator"), part(4).alias("start")).distinct()
+    part = lambda i: F.regexp_extract("key", shape, i)
+    keys = span_keys(t).select("record_id", "key").filter(c("key").rlike(shape))
+    return keys.select("record_id", part(1).alias("member"), part(2).alias("kind"), part(3).alias("discriminator"), part(4).alias("start"))
 
 
 @R.query(
     "prj16_job_health",
-    "select distinct id, withdrawn_at is null as in_flight, floor(epoch(timestamp '2026-12-31 00:00:00') - epoch(coalesce(withdrawn_at, created_at)))::bigint as age_seconds from bill_sponsorships",
+    "select distinct id, withdrawn_at is null as in_flight, date_diff('second', created_at, withdrawn_at) as duration, floor(epoch(timestamp '2026-12-31 00:00:00') - epoch(coalesce(withdrawn_at, created_at)))::bigint as age_seconds from (select id, date_trunc('second', created_at) as created_at, date_trunc('second', withdrawn_at) as withdrawn_at from bill_sponsorships)",
 )
 def prj16(t):
-    end = F.coalesce("withdrawn_at", "created_at")
-    return t.bill_sponsorships.select("id", c("withdrawn_at").isNull().alias("in_flight"), F.timestamp_diff("SECOND", end, lit("2026-12-31 00:00:00").cast("timestamp_ntz")).alias("age_seconds")).distinct()
+    rows = t.bill_sponsorships.select("id", F.date_trunc("second", "created_at").alias("begun"), F.date_trunc("second", "withdrawn_at").alias("ended"))
+    now = lit("2026-12-31 00:00:00").cast("timestamp_ntz")
+    age = F.timestamp_diff("SECOND", F.coalesce("ended", "begun"), now)
+    return rows.select("id", c("ended").isNull().alias("in_flight"), F.timestamp_diff("SECOND", "begun", "ended").alias("duration"), age.alias("age_seconds")).distinct()
 
 
 @R.query("prj17_hash_hex", f"select id, lower(content_hash) as hash from {_EVENTS}")
@@ -138,15 +155,19 @@ def prj17(t):
     return t.fetch_events.distinct().select("id", F.lower(F.hex(F.unhex("content_hash"))).alias("hash"))
 
 
-@R.query("prj18_dimensions", "select source_id, string_agg(distinct status, ',' order by status) as statuses from fetch_events group by source_id")
+@R.query("prj18_dimensions", "with d as (select distinct source_id, status from fetch_events where status is not null), s as (select distinct source_id from d), k as (select distinct status from d) select s.source_id, string_agg(case when d.status is not null then k.status end, ',' order by k.status) as statuses, coalesce(string_agg(case when d.status is null then k.status end, ',' order by k.status), '') as known_gaps from s cross join k left join d on d.source_id = s.source_id and d.status = k.status group by 1")
 def prj18(t):
-    return t.fetch_events.groupBy("source_id").agg(F.array_join(F.array_sort(F.collect_set("status")), ",").alias("statuses"))
+    """The statuses that a source has had, and of all statuses those it has not."""
+    own = t.fetch_events.groupBy("source_id").agg(F.collect_set("status").alias("s"))
+    every = t.fetch_events.agg(F.collect_set("status").alias("every"))  # statuses are a handful
+    text = lambda a: F.array_join(F.array_sort(a), ",")
+    return own.join(F.broadcast(every), lit(True)).select("source_id", text(c("s")).alias("statuses"), text(F.array_except("every", "s")).alias("known_gaps"))
 
 
-@R.query("prj19_single_match", "select entity_type, entity_id, min(fetch_event_id) as claim from (select distinct entity_type, entity_id, fetch_event_id from citations) group by 1, 2 having count(*) = 1")
+@R.query("prj19_single_match", "select n_nationkey, n_name, r_name from nation join region on n_regionkey = r_regionkey")
 def prj19(t):
-    pairs = t.citations.select("entity_type", "entity_id", "fetch_event_id").distinct()
-    return pairs.groupBy("entity_type", "entity_id").agg(F.count("*").alias("n"), F.min("fetch_event_id").alias("claim")).filter("n = 1").drop("n")
+    """No region or several would be an error, as the tests show; never a silent drop."""
+    return O.single_match(t.nation.select("n_nationkey", "n_name", c("n_regionkey").alias("r_regionkey")), t.region, ["r_regionkey"], "r_name").drop("r_regionkey")
 
 
 @R.query("prj20_row_validation", f"select id, nullif(trim(name), '') is not null as named, coalesce(end_date >= start_date, true) as ordered, coalesce(year(start_date) >= 1889, false) as plausible from {_SESSIONS}")
@@ -175,10 +196,12 @@ def prj24(t):
     return persons(t).filter(c("name_used").isNotNull() | c("gender").isNotNull()).select("id")
 
 
-@R.query("prj25_same_district", "select distinct mention_id, district is not distinct from case when mention_id % 3 > 0 then district end as same from deferred_annotations")
+@R.query("prj25_same_district", "select distinct w.mention_id as a, d.mention_id as b, w.ld is not distinct from d.district as same from senate_winners w join deferred_annotations d on w.source = d.source and w.election_year + 1 = d.session_year")
 def prj25(t):
-    other = F.when(c("mention_id") % 3 > 0, c("district"))
-    return t.deferred_annotations.select("mention_id", c("district").eqNullSafe(other).alias("same")).distinct()
+    """Winners and the annotations of the year after in one assembly; null matches null."""
+    w = t.senate_winners.select("source", (c("election_year") + 1).alias("session_year"), c("mention_id").alias("a"), "ld").distinct()
+    d = t.deferred_annotations.select("source", "session_year", c("mention_id").alias("b"), "district").distinct()
+    return w.join(d, ["source", "session_year"]).select("a", "b", c("ld").eqNullSafe(c("district")).alias("same")).distinct()
 
 
 # Joins -------------------------------------------------------------------------------------------------
@@ -186,7 +209,8 @@ def prj25(t):
 
 @R.query("join1_inner", f"select c.id, f.source_id, f.status from {_CITES} c join {_EVENTS} f on c.fetch_event_id = f.id")
 def join1(t):
-    return t.citations.distinct().select("id", "fetch_event_id").join(t.fetch_events.distinct().select(c("id").alias("fetch_event_id"), "source_id", "status"), "fetch_event_id").select("id", "source_id", "status")
+    # Repeats are whole rows, so they are repeats of these columns too; the rest is not shuffled.
+    return t.citations.select("id", "fetch_event_id").distinct().join(t.fetch_events.select(c("id").alias("fetch_event_id"), "source_id", "status").distinct(), "fetch_event_id").select("id", "source_id", "status")
 
 
 @R.query("join2_polymorphic", f"select c.id, p.source from {_CITES} c join {_PERSONS} p on c.entity_type = 'person' and c.entity_id = p.id")
@@ -219,10 +243,19 @@ def join4(t):
 _MATCHES = f"(select distinct e.record_id, h.qualifier, h.party_slug = 'republican' as own from {_SURNAMED} e join {_HOUSE} h on e.assembly = h.assembly and e.district = h.ld and list_contains(h.name_keys, e.surname) where h.qualifier is not null)"
 
 
-@R.query("join5_unique_match", f"select record_id, case when count(distinct qualifier) = 1 then min(qualifier) when count(distinct case when own then qualifier end) = 1 then min(case when own then qualifier end) end as match from {_MATCHES} group by record_id")
+_CODE = "upper(regexp_extract(assembly, '^\\s*([A-Za-z]{2})\\W*0*(\\d+)\\s*$', 1)) || '-' || lpad(regexp_extract(assembly, '^\\s*([A-Za-z]{2})\\W*0*(\\d+)\\s*$', 2), 6, '0')"
+_REGISTERED = f"(select distinct record_id, {_CODE} as assembly, district_hint as district, case lower(trim(party_label)) when 'r' then 'republican' when 'republican' then 'republican' when 'd' then 'democratic' when 'democrat' then 'democratic' when 'democratic' then 'democratic' end as party, regexp_replace(lower(case when contains(display_name, ',') then split_part(display_name, ',', 1) else list_extract(regexp_split_to_array(trim(display_name), '\\s+'), -1) end), '[^a-z]', '', 'g') as surname from candidates)"
+
+
+@R.query("join5_unique_match", f"select r.record_id, case when count(distinct qualifier) = 1 then min(qualifier) when count(distinct case when party = party_slug then qualifier end) = 1 then min(case when party = party_slug then qualifier end) end as match from {_REGISTERED} r join {_HOUSE} h on r.assembly = h.assembly and r.district = h.ld and list_contains(h.name_keys, r.surname) where h.qualifier is not null group by 1")
 def join5(t):
-    keys = t.house_positions.filter("qualifier is not null").select("assembly", c("ld").alias("district"), F.explode("name_keys").alias("surname"), "qualifier", (c("party_slug") == "republican").alias("own")).distinct()
-    return O.unique_match(surnamed(t).join(keys, ["assembly", "district", "surname"]), ["record_id"], "qualifier", "own")
+    """A registered member's ballot position: the only one, or the only one of the member's own party."""
+    name = c("display_name")
+    last = F.when(name.contains(","), F.split(name, ",")[0]).otherwise(F.element_at(F.split(F.trim(name), r"\s+"), -1))
+    members = t.candidates.select("record_id", S.assembly_code(c("assembly")).alias("assembly"), c("district_hint").alias("district"), S.canonicalize_party(c("party_label")).alias("party"), F.regexp_replace(F.lower(last), "[^a-z]", "").alias("surname")).distinct()
+    keys = t.house_positions.filter("qualifier is not null").select("assembly", c("ld").alias("district"), F.explode("name_keys").alias("surname"), "qualifier", "party_slug").distinct()
+    hits = members.join(keys, ["assembly", "district", "surname"]).withColumn("own", F.coalesce(c("party") == c("party_slug"), lit(False)))
+    return O.unique_match(hits, ["record_id"], "qualifier", "own")
 
 
 @R.query("join6_set_intersection", f"select distinct w.mention_id, h.record_id from {_WINNERS} w join {_HOUSE} h on w.ld = h.ld and w.election_year = h.election_year and list_has_any(w.name_keys, h.name_keys)")
@@ -232,12 +265,19 @@ def join6(t):
     return left.join(right, ["ld", "election_year"]).filter(F.arrays_overlap("name_keys", "keys")).select("mention_id", "record_id").distinct()
 
 
-@R.query("join7_initials", f"select a.id as a, b.id as b from {_PERSONS} a join {_PERSONS} b on a.source = b.source and a.name_last = b.name_last and a.id < b.id and (left(a.name_first, 1) = left(b.name_first, 1) or a.name_middle is null or b.name_middle is null)")
+_INITIALS = "list_distinct(list_transform(list_filter(regexp_split_to_array(strip_accents(lower(concat_ws(' ', name_first, name_middle, name_used))), '[^a-z0-9]+'), lambda w: w <> ''), lambda w: w[1]))"
+
+
+@R.query("join7_initials", f"with p as (select id, source, name_last, {_INITIALS} as i from {_PERSONS}) select a.id as a, b.id as b from p a join p b on a.source = b.source and a.name_last = b.name_last and a.id < b.id and (len(a.i) = 0 or len(b.i) = 0 or list_has_any(a.i, b.i))")
 def join7(t):
-    p = persons(t).select("id", "source", "name_last", F.substring("name_first", 1, 1).alias("i"), "name_middle")
+    """Bearers of one surname whose given names share an initial; a missing given name is never
+    evidence against."""
+    given = S.folded_tokens(F.translate(F.concat_ws(" ", "name_first", "name_middle", "name_used"), "-'.’", "    "))
+    p = persons(t).select("id", "source", "name_last", S.given_initials(given, lit("")).alias("i"))
     a, b = p.alias("a"), p.alias("b")
     pairs = a.join(b, (c("a.source") == c("b.source")) & (c("a.name_last") == c("b.name_last")) & (c("a.id") < c("b.id")))
-    return pairs.filter("a.i = b.i or a.name_middle is null or b.name_middle is null").select(c("a.id").alias("a"), c("b.id").alias("b"))
+    fits = (F.size("a.i") == 0) | (F.size("b.i") == 0) | F.arrays_overlap("a.i", "b.i")
+    return pairs.filter(fits).select(c("a.id").alias("a"), c("b.id").alias("b"))
 
 
 _TENURE = f"(select assembly, ld, min(election_year) as a, max(election_year) as z from {_HOUSE} group by 1, 2)"
@@ -264,11 +304,17 @@ def join10(t):
     return s.withColumn("before", before).filter("before >= u").select("id")
 
 
-@R.query("join11_term_window", f"select e.record_id, exists (select 1 from {_WINNERS} w where w.ld = e.district and e.session_year >= w.election_year + 1 and e.session_year < w.election_year + 5) as backed from {_PROPOSALS} e where e.chamber = 'senate'")
+@R.query("join11_term_window", f"select e.record_id, case e.chamber when 'senate' then exists (select 1 from {_WINNERS} w where w.ld = e.district and e.session_year >= w.election_year + 1 and e.session_year < w.election_year + 5) else exists (select 1 from {_HOUSE} h where h.assembly = e.assembly and h.ld = e.district and e.session_year >= h.election_year + 1 and e.session_year < h.election_year + 3) end as backed from {_PROPOSALS} e where e.chamber in ('senate', 'house')")
 def join11(t):
-    claims = t.senate_winners.select(c("ld").alias("district"), F.explode(F.sequence(c("election_year") + 1, c("election_year") + 4)).alias("session_year")).distinct().withColumn("backed", lit(True))
-    e = t.event_proposals.distinct().filter("chamber = 'senate'").select("record_id", "district", "session_year")
-    return e.join(claims, ["district", "session_year"], "left").select("record_id", F.coalesce("backed", lit(False)).alias("backed"))
+    """A Senate term is four years, a House term two; the years of a term are spread, so the join is by equality."""
+    years = lambda n: F.explode(F.sequence(c("election_year") + 1, c("election_year") + n)).alias("session_year")
+    hit = lit(True).alias("hit")
+    senate = t.senate_winners.select(lit("senate").alias("chamber"), c("ld").alias("district"), years(4), hit).distinct()
+    house = t.house_positions.select(lit("house").alias("chamber"), "assembly", c("ld").alias("district"), years(2), hit).distinct()
+    e = t.event_proposals.distinct().select("record_id", "assembly", "chamber", "district", "session_year")
+    backed = lambda rows, claims, keys: rows.join(claims, keys, "left").select("record_id", F.coalesce("hit", lit(False)).alias("backed"))
+    keys = ["chamber", "district", "session_year"]
+    return backed(e.filter("chamber = 'senate'"), senate, keys).unionByName(backed(e.filter("chamber = 'house'"), house, ["assembly", *keys]))
 
 
 @R.query("join12_semi_in", f"select id from {_PERSONS} where id in (select entity_id from citations where entity_type = 'person')")
@@ -294,21 +340,20 @@ def join15(t):
     return t.house_positions.select(*keys).distinct().join(t.senate_winners.select(*keys), keys, "left_anti")
 
 
+_STOPPED = "('" + "', '".join(S.STOPWORDS) + "')"
+
+
 @R.query(
     "join16_similar_pairs",
-    """with n as (select distinct source_id, list_sort(list_distinct(regexp_split_to_array(trim(regexp_replace(lower(legal_name), '[^a-z]+', ' ', 'g')), ' '))) as w from rename_transitions where boundary_biennium = '2013-14')
-select a.source_id as a, b.source_id as b, round(max(len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w)))), 6) as similarity from n a, n b where a.source_id < b.source_id and len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) >= 0.5 group by 1, 2""",
+    f"""with l as (select source_id, arg_max(legal_name, (recorded_at, legal_name)) as name from rename_transitions where legal_name is not null group by 1),
+  n as (select source_id, list_filter(list_distinct(regexp_split_to_array(lower(name), '[^a-z0-9]+')), lambda x: x <> '' and x not in {_STOPPED}) as w from l)
+select a.source_id as a, b.source_id as b, round(len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))), 6) as similarity from n a, n b where a.source_id < b.source_id and len(list_intersect(a.w, b.w)) > 0 and len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) >= 0.34""",
 )
 def join16(t):
-    """Pairs over a similarity floor, found by shared words: at 0.5 two sets share a word."""
-    words = F.array_distinct(F.split(F.trim(F.regexp_replace(F.lower("legal_name"), "[^a-z]+", " ")), " "))
-    n = t.rename_transitions.filter("boundary_biennium = '2013-14'").select("source_id", words.alias("w")).distinct()
-    each = n.select("source_id", "w", F.explode("w").alias("k"))
-    a = each.select(c("source_id").alias("a"), c("w").alias("wa"), "k")
-    b = each.select(c("source_id").alias("b"), c("w").alias("wb"), "k")
-    pairs = a.join(b, "k").filter("a < b").groupBy("a", "b", "wa", "wb").agg(F.count("*").alias("n"))
-    rated = pairs.withColumn("s", c("n") / (F.size("wa") + F.size("wb") - c("n"))).filter("s >= 0.5")
-    return rated.groupBy("a", "b").agg(F.round(F.max("s"), 6).alias("similarity"))
+    """All pairs of committees (by their newest names) whose significant words overlap by 0.34 or more."""
+    name = F.max_by("legal_name", F.struct("recorded_at", "legal_name")).alias("name")
+    n = t.rename_transitions.filter("legal_name is not null").groupBy("source_id").agg(name)
+    return O.similar_pairs(n.select("source_id", S.significant_tokens(c("name")).alias("w")), "source_id", "w", 0.34)
 
 
 @R.query(
@@ -318,7 +363,7 @@ def join16(t):
 select a.source_id as a, b.source_id as b, round(len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))), 6) as similarity from n a, n b where a.source_id < b.source_id and len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) >= 0.5""",
 )
 def join16_all(t):
-    """All committees by their newest names, whatever the biennium; join16_similar_pairs is one slice."""
+    """All words of the names, at a floor of 0.5."""
     name = F.max_by("legal_name", F.struct("recorded_at", "legal_name")).alias("name")
     n = t.rename_transitions.filter("legal_name is not null").groupBy("source_id").agg(name)
     words = F.array_distinct(F.split(F.trim(F.regexp_replace(F.lower("name"), "[^a-z]+", " ")), " "))
@@ -337,35 +382,76 @@ def join17(t):
     return cohort("2011", "before").join(cohort("2013", "after"), "source_id").filter("lower(before) <> lower(after)")
 
 
-@R.query("join18_full_outer", f"select coalesce(a.id, b.id) as id, case when b.id is null then 'insert' when a.id is null then 'delete' when a.gender is distinct from b.gender then 'update' else 'keep' end as action from (select id, gender from {_PERSONS} where right(id, 1) > '8') a full outer join (select id, case when right(id, 1) < 'F' then gender end as gender from {_PERSONS} where right(id, 1) < 'T') b on a.id = b.id")
+@R.query("join18_full_outer", f"select coalesce(a.id, b.id) as id, case when b.id is null then 'insert' when b.owner <> 'feed' then 'owned_elsewhere' when a.id is null then case when b.anchor is null then 'left_alone' else 'delete' end when a.gender is distinct from b.gender then 'update' else 'keep' end as action from (select id, gender from {_PERSONS} where right(id, 1) > '8') a full outer join (select id, case when right(id, 1) < 'F' then gender end as gender, name_used as anchor, case when archived_at is null then 'feed' else 'curator' end as owner from {_PERSONS} where right(id, 1) < 'T') b on a.id = b.id")
 def join18(t):
-    p = persons(t).select("id", "gender")
-    desired = p.filter(F.substring("id", -1, 1) > "8")
-    existing = p.filter(F.substring("id", -1, 1) < "T").withColumn("gender", F.when(F.substring("id", -1, 1) < "F", c("gender")))
-    return O.full_outer_actions(desired, existing, ["id"], ["gender"])
+    last = F.substring("id", -1, 1)
+    desired = persons(t).filter(last > "8").select("id", "gender")
+    owner = F.when(c("archived_at").isNull(), "feed").otherwise("curator")
+    existing = persons(t).filter(last < "T").select("id", F.when(last < "F", c("gender")).alias("gender"), c("name_used").alias("anchor"), owner.alias("owner"))
+    return O.reconcile(desired, existing, ["id"], ["gender"], "owner", "feed", "anchor")
 
 
 @R.query(
     "join19_match_cascade",
-    f"""with q as (select distinct mention_id, source, lower(sponsor_name_raw) as n from bill_sponsorships where sponsor_name_raw is not null),
-  tiers as (select q.mention_id, 1 as tier, p.id from q join {_PERSONS} p on q.source = p.source and q.n = lower(p.name_full)
-    union all select q.mention_id, 2, p.id from q join {_PERSONS} p on q.source = p.source and q.n = lower(p.name_first || ' ' || p.name_last)),
+    f"""with q as (select distinct mention_id, source, person_id, lower(sponsor_name_raw) as n from bill_sponsorships),
+  p as (select id, source, lower(name_full) as f, lower(name_first || ' ' || name_last) as s from {_PERSONS}),
+  tiers as (select q.mention_id, 1 as tier, p.id from q join p on q.person_id = p.id
+    union all select q.mention_id, 2, p.id from q join p on q.source = p.source and q.n = p.f
+    union all select q.mention_id, 3, p.id from q join p on q.source = p.source and q.n = p.s
+    union all select q.mention_id, 4, p.id from q join p on q.n = p.f),
   best as (select mention_id, tier, count(distinct id) as k, min(id) as id from tiers group by 1, 2 qualify tier = min(tier) over (partition by mention_id))
 select mention_id, tier, case when k = 1 then id end as person from best""",
 )
 def join19(t):
-    q = t.bill_sponsorships.filter("sponsor_name_raw is not null").select("mention_id", "source", F.lower("sponsor_name_raw").alias("n")).distinct()
-    p = persons(t)
-    keys = p.select("source", "id", F.explode(F.array(F.struct(lit(1).alias("tier"), F.lower("name_full").alias("n")), F.struct(lit(2).alias("tier"), F.lower(F.concat("name_first", lit(" "), "name_last")).alias("n")))).alias("k")).select("source", "id", "k.tier", "k.n")
-    tiers = q.join(keys, ["source", "n"]).groupBy("mention_id", "tier").agg(F.count_distinct("id").alias("k"), F.min("id").alias("id"))
-    best = O.first_per_key(tiers, ["mention_id"], c("tier"))
-    return best.select("mention_id", "tier", F.when(c("k") == 1, c("id")).alias("person"))
+    """By identifier, by full name within the feed, by first and last name within it, by full name
+    anywhere: the first tier with a hit decides, and several hits there are refused."""
+    q = t.bill_sponsorships.select("mention_id", "source", "person_id", F.lower("sponsor_name_raw").alias("n")).distinct()
+    p = persons(t).select("id", "source", F.lower("name_full").alias("f"), F.lower(F.concat("name_first", lit(" "), "name_last")).alias("s"))
+    key = lambda tier, scope, value: F.struct(lit(tier).alias("tier"), F.coalesce(scope, lit("")).alias("scope"), value.alias("value"))
+    anywhere = lit("")
+    asked = q.select("mention_id", F.explode(F.array(key(1, anywhere, c("person_id")), key(2, c("source"), c("n")), key(3, c("source"), c("n")), key(4, anywhere, c("n")))).alias("k")).select("mention_id", "k.*").filter("value is not null")
+    held = p.select("id", F.explode(F.array(key(1, anywhere, c("id")), key(2, c("source"), c("f")), key(3, c("source"), c("s")), key(4, anywhere, c("f")))).alias("k")).select("id", "k.*").filter("value is not null")
+    tiers = asked.join(held, ["tier", "scope", "value"]).groupBy("mention_id", "tier").agg(F.count_distinct("id").alias("k"), F.min("id").alias("id"))
+    best = tiers.groupBy("mention_id").agg(F.min(F.struct("tier", "k", "id")).alias("b"))
+    return best.select("mention_id", "b.tier", F.when(c("b.k") == 1, c("b.id")).alias("person"))
+
+
+_BARE = "array_to_string(list_filter(regexp_split_to_array(trim(regexp_replace(regexp_replace({0}, '\\([^)]*\\)', ' ', 'g'), '[“\"][^”\"]*[”\"]', ' ', 'g')), '\\s+'), lambda w: w <> '' and regexp_replace(lower(w), '[^a-z0-9]', '', 'g') not in ('" + "', '".join(S.HONORIFICS) + "')), ' ')"
+_PLAINED = "trim(regexp_replace(replace(strip_accents(lower({0})), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
+_WORDS = "list_filter(list_transform(regexp_split_to_array({0}, '[\\s(),]+'), lambda w: regexp_replace(strip_accents(lower(w)), '[^a-z0-9]', '', 'g')), lambda w: w <> '')"
+_SURNAME = "nullif(list_extract(string_split(regexp_replace(array_to_string({0}, ' '), '( ?\\b(jr|sr|ii|iii|iv))+$', ''), ' '), -1), '')"
 
 
-@R.query("join20_adjudicate", f"select source, name_last, case when count(*) = 1 then 'exact' when count(*) filter (name_suffix is null) = 1 then 'guarded' else 'ambiguous' end as verdict from {_PERSONS} group by 1, 2")
+@R.query(
+    "join20_adjudicate",
+    f"""with l as (select id, upper(left(source_id, 2)) || '-' || lpad(regexp_extract(source_id, '^[A-Za-z]{{2}}\\W*0*(\\d+)', 1), 6, '0') as assembly, {_BARE.format('name_full')} as bare from {_PERSONS}),
+  p as (select *, {_PLAINED.format('bare')} as plain, {_WORDS.format('bare')} as w, {_SURNAME.format(_WORDS.format('bare'))} as surname from l),
+  c0 as (select distinct pm_id, {_CODE} as assembly, {_BARE.format('display_name')} as bare, list_contains(identifier_slugs, 'person_registry_member_id') as owned from candidates),
+  c1 as (select *, {_PLAINED.format('bare')} as plain, {_WORDS.format('bare')} as w from c0),
+  c2 as (select *, list_distinct(flatten(list_transform(range(1, len(w) + 1), lambda i: list_transform(range(i, len(w) + 1), lambda j: array_to_string(w[i:j], ''))))) as keys from c1),
+  j as (select p.id, c2.pm_id, not coalesce(owned, false) and p.plain = c2.plain as exact, not coalesce(owned, false) and list_contains(c2.keys, p.surname)
+      and list_has_any(list_transform(list_filter(p.w, lambda x: x <> p.surname), lambda x: x[1]), list_transform(list_filter(c2.w, lambda x: x <> p.surname), lambda x: x[1])) as guarded
+    from p join c2 on p.assembly = c2.assembly where p.surname is not null),
+  g as (select id, count(distinct case when exact then pm_id end) as e, count(distinct case when guarded then pm_id end) as k, min(case when exact then pm_id end) as em, min(case when guarded then pm_id end) as gm from j group by 1)
+select p.id, case when coalesce(e, 0) = 1 then 'exact' when e > 1 then 'ambiguous' when k = 1 then 'guarded' when k > 1 then 'ambiguous' else 'new' end as verdict, case when e = 1 then em when coalesce(e, 0) = 0 and k = 1 then gm end as pm_id from p left join g on p.id = g.id""",
+)
 def join20(t):
-    n = F.count("*")
-    return persons(t).groupBy("source", "name_last").agg(F.when(n == 1, "exact").when(F.count_if(c("name_suffix").isNull()) == 1, "guarded").otherwise("ambiguous").alias("verdict"))
+    """A local person against the registry's people of the assembly: one equal name attaches, one
+    that shares surname and an initial is only reported, several are ambiguous, none is new.
+    What the registry already owns is no candidate."""
+    local = persons(t).select("id", S.assembly_code(F.split_part("source_id", lit(":"), lit(1))).alias("assembly"), S.strip_non_name_parts(c("name_full")).alias("bare"))
+    local = local.select("id", "assembly", S.normalize_name(c("bare")).alias("plain"), S.folded_tokens(c("bare")).alias("w"), S.probe_surname(c("bare")).alias("surname"))
+    owned = F.coalesce(F.array_contains("identifier_slugs", "person_registry_member_id"), lit(False))
+    theirs = t.candidates.select("pm_id", S.assembly_code(c("assembly")).alias("assembly"), S.strip_non_name_parts(c("display_name")).alias("bare"), owned.alias("owned")).distinct().filter("not owned")
+    theirs = theirs.select("pm_id", "assembly", S.normalize_name(c("bare")).alias("their_plain"), S.folded_tokens(c("bare")).alias("their_w")).withColumn("keys", S.surname_keys(c("their_w")))
+    # Candidates meet by the whole name or by the surname among their words, so the join is by equality.
+    exact = local.join(theirs.select("assembly", c("their_plain").alias("plain"), "pm_id"), ["assembly", "plain"]).filter("surname is not null").groupBy("id").agg(F.count_distinct("pm_id").alias("e"), F.min("pm_id").alias("em"))
+    shared = local.join(theirs.select("assembly", F.explode("keys").alias("surname"), "pm_id", "their_w"), ["assembly", "surname"])
+    fits = F.arrays_overlap(S.given_initials(c("w"), c("surname")), S.given_initials(c("their_w"), c("surname")))
+    near = shared.filter(fits).groupBy("id").agg(F.count_distinct("pm_id").alias("k"), F.min("pm_id").alias("gm"))
+    e, k = F.coalesce("e", lit(0)), F.coalesce("k", lit(0))
+    verdict = F.when(e == 1, "exact").when((e > 1) | ((e == 0) & (k > 1)), "ambiguous").when(k == 1, "guarded").otherwise("new")
+    return local.join(exact, "id", "left").join(near, "id", "left").select("id", verdict.alias("verdict"), F.when(e == 1, c("em")).when((e == 0) & (k == 1), c("gm")).alias("pm_id"))
 
 
 @R.query("join21_left_lookup", f"select count(*) as n, count(p.id) as resolved from {_BILLS} b left join {_PERSONS} p on b.person_id = p.id where b.person_id is not null")
@@ -374,11 +460,14 @@ def join21(t):
     return b.join(persons(t).select(c("id").alias("person_id"), lit(1).alias("hit")), "person_id", "left").agg(F.count("*").alias("n"), F.count("hit").alias("resolved"))
 
 
-@R.query("join22_left_outer", f"select e.id, case when r.h is null then 'skip' else 'hash' end as outcome from {_EVENTS} e left join (select resource_id, source_id, min(content_hash) as h from fetch_events where content_hash is not null group by 1, 2) r on e.resource_id = r.resource_id and e.source_id = r.source_id where e.content_hash is null")
+@R.query("join22_left_outer", f"select e.id, case when r.n is null then 'skip' else 'hash' end as outcome, case when r.n is not null then sha256(coalesce(e.url, '')) end as hash from {_EVENTS} e left join (select resource_id, source_id, count(*) as n from fetch_events where content_hash is not null group by 1, 2) r on e.resource_id = r.resource_id and e.source_id = r.source_id where e.content_hash is null")
 def join22(t):
+    """Events without a hash: computed where the resource has a payload, of its address, as the
+    test tables have no bodies."""
     keys = ["resource_id", "source_id"]
-    known = t.fetch_events.filter("content_hash is not null").groupBy(*keys).agg(F.min("content_hash").alias("h"))
-    return t.fetch_events.distinct().filter("content_hash is null").join(known, keys, "left").select("id", F.when(c("h").isNull(), "skip").otherwise("hash").alias("outcome"))
+    known = t.fetch_events.filter("content_hash is not null").select(*keys).distinct().withColumn("has", lit(True))
+    bare = t.fetch_events.filter("content_hash is null").select("id", "url", *keys).distinct().join(known, keys, "left")
+    return bare.select("id", F.when(c("has"), "hash").otherwise("skip").alias("outcome"), F.when(c("has"), F.sha2(F.coalesce("url", lit("")), 256)).alias("hash"))
 
 
 @R.query("join23_nested_semi", f"select id from {_PERSONS} where id in (select entity_id from citations where entity_type = 'person' and fetch_event_id in (select id from fetch_events where status = 'ok' and resource_id like 'sponsors:%'))")
@@ -478,10 +567,10 @@ def agg13(t):
     return named.join(seen, keys, "left_anti").join(covered.select("source"), "source").select(*keys)
 
 
-@R.query("agg14_tail_rule", "select distinct source_id, legal_name from rename_transitions r where left(trim(boundary_biennium), 4) = (select max(left(trim(boundary_biennium), 4)) from rename_transitions x where x.source_id = r.source_id)")
+@R.query("agg14_tail_rule", "select distinct source_id, legal_name from rename_transitions r where left(trim(boundary_biennium), 4) = (select max(left(trim(boundary_biennium), 4)) from rename_transitions x where x.source_id = r.source_id and left(trim(x.boundary_biennium), 4) <= '2013')")
 def agg14(t):
-    y = F.substring(F.trim("boundary_biennium"), 1, 4)
-    rows = t.rename_transitions.withColumn("y", y)
+    """The names of the last biennium up to this one (2013); later ones do not count."""
+    rows = t.rename_transitions.withColumn("y", F.substring(F.trim("boundary_biennium"), 1, 4)).filter("y <= '2013'").select("source_id", "legal_name", "y")
     return rows.join(rows.groupBy("source_id").agg(F.max("y").alias("y")), ["source_id", "y"]).select("source_id", "legal_name").distinct()
 
 
@@ -522,16 +611,25 @@ def agg20(t):
     return a.join(b, ["source", "k"]).groupBy("source").agg(F.count_if(c("id") == c("other")).alias("same"), F.count_if(c("id") != c("other")).alias("divergent"))
 
 
-@R.query("agg21_extent", "with k as (select biennium_label as b, count(*) as n, count(*) filter (classification = 'special') as s from legislative_sessions where biennium_label is not null group by 1) select b, n, s, sum(n) over () as total, min(b) filter (s > 0) over () as earliest from k")
+@R.query("agg21_extent", "with k as (select biennium_label as b, left(biennium_label, 4)::integer as y, count(*) as n, count(*) filter (classification = 'special') as s from legislative_sessions where biennium_label is not null group by 1, 2), g as (select y, y - lag(y) over (order by y) > 6 as gap from (select distinct y from k)) select b, n, s, sum(n) over () as total, min(b) filter (s > 0) over () as earliest, y >= coalesce((select max(y) from g where gap), 0) as reached from k")
 def agg21(t):
-    k = t.legislative_sessions.filter("biennium_label is not null").groupBy(c("biennium_label").alias("b")).agg(F.count("*").alias("n"), F.count_if(c("classification") == "special").alias("s"))
+    """Counts per biennium, and whether a walk back that three empty biennia end reaches it."""
+    y = F.substring("biennium_label", 1, 4).cast("int")
+    k = t.legislative_sessions.filter("biennium_label is not null").groupBy(c("biennium_label").alias("b"), y.alias("y")).agg(F.count("*").alias("n"), F.count_if(c("classification") == "special").alias("s"))
     whole = k.agg(F.sum("n").alias("total"), F.min(F.when(c("s") > 0, c("b"))).alias("earliest"))
-    return k.join(F.broadcast(whole), lit(True))
+    return k.join(F.broadcast(whole), lit(True)).join(F.broadcast(O.extent(k, "y", 3)), "y").drop("y")
 
 
-@R.query("agg22_fingerprint", "select record_id, sha256(array_to_string(list_sort(any_value(name_keys)), ',')) as digest from house_positions group by record_id")
+@R.query(
+    "agg22_fingerprint",
+    """select record_id, sha256('{"ld": ' || coalesce(any_value(ld)::varchar, 'null') || ', "names": {"keys": [' || array_to_string(list_transform(list_sort(any_value(name_keys)), lambda k: '"' || array_to_string(list_transform(string_split(k, ''), lambda ch: case when ch = '"' then '\\"' when ch = '\\' then '\\\\' when unicode(ch) between 32 and 126 then ch else printf('\\u%04x', unicode(ch)) end), '') || '"'), ', ') || '], "n": ' || len(any_value(name_keys)) || '}}') as digest from house_positions where name_keys is not null group by record_id""",
+)
 def agg22(t):
-    return t.house_positions.select("record_id", F.sha2(F.array_join(F.array_sort("name_keys"), ","), 256).alias("digest")).distinct()
+    """The hash of a nested payload in canonical JSON."""
+    keys = F.array_sort("name_keys")
+    rows = t.house_positions.filter("name_keys is not null").select("record_id", "ld", keys.alias("keys"), F.size("name_keys").alias("n")).distinct()
+    nested = rows.select("record_id", "ld", F.struct("keys", "n").alias("names"))
+    return nested.select("record_id", F.sha2(canonical_json(F.struct("ld", "names")), 256).alias("digest"))
 
 
 @R.query("agg23_partition_oracle", f"select count(*) as input, count(*) filter (seat_kind is not null) as placed, count(*) filter (seat_kind is null) as refused, true as whole from {_PROPOSALS}")

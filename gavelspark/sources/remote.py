@@ -96,7 +96,7 @@ class ChangeFeed(DataSource):
 
 
 def sample_list(offset: int, limit: int) -> list[tuple]:
-    """A list of 95 made-up rows, for tests and the registered query."""
+    """A list of 95 made-up rows, for tests."""
     return [(f"id-{i:04d}", f"name {i}") for i in range(offset, min(offset + limit, 95))]
 
 

@@ -61,6 +61,12 @@ def legislative_href(html: Column) -> Column:
     return F.nullif(F.regexp_extract(html, r"""(?i)href\s*=\s*["']([^"']*legislative[^"']*\.csv)["']""", 1), F.lit(""))
 
 
+def required_href(html: Column, page: Column) -> Column:
+    """The link of :func:`legislative_href`; a page without one is an error."""
+    href = legislative_href(html)
+    return F.when(href.isNotNull(), href).otherwise(F.raise_error(F.concat(F.lit("results link not found: "), page)).cast("string"))
+
+
 def json_params(office: str, year: int, limit: int = 5000) -> dict[str, str]:
     """Predicates pushed to a remote JSON service."""
     return {"office": office, "election_year": str(year), "$where": "general_election_status = 'Won in general'", "$limit": str(limit)}

@@ -229,7 +229,7 @@ def test_feed_and_list_sources_read_tables(spark, tmp_path):
     assert got == [(i, "user", str(u), "deleted" if e == "error" else "updated") for i, u, e in events]
     names = [(f"s{i:04d}", f"name {i}") for i in range(1103)]
     spark.createDataFrame(names, "slug string, name string").repartition(3).write.parquet(f"{tmp_path}/jurisdictions.parquet")
-    assert sorted(map(tuple, entry.queries()["src12_table_list"](spark, str(tmp_path)).collect())) == names
+    assert sorted(map(tuple, entry.queries()["src12_paged_list"](spark, str(tmp_path)).collect())) == names
 
 
 def test_annotations(spark):
@@ -271,3 +271,63 @@ def test_folding_is_the_decomposition_without_marks(spark):
 
     assert one(spark, unaccent, *texts, None) == [*map(plain, texts), None]
     assert one(spark, S.fold_token, "Łukasz") == ["ukasz"]
+
+
+def test_single_match_raises_on_none_and_several(spark):
+    held = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("a", 1)], "k string, v int")
+    ask = lambda k: O.single_match(spark.createDataFrame([(k,)], "k string"), held, ["k"], "v").collect()
+    assert ask("a")[0].v == 1
+    for key, why in (("b", "several matches for b"), ("x", "no match for x")):
+        with pytest.raises(Exception, match=why):
+            ask(key)
+
+
+def test_reconcile_touches_only_its_own(spark):
+    want = spark.createDataFrame([("a", 1), ("b", 2), ("c", None), ("n", 5)], "k string, v int")
+    have = spark.createDataFrame([("a", 1, "us", "x"), ("b", 9, "us", None), ("c", None, "them", "x"), ("d", 4, "us", "x"), ("e", 4, "us", None), ("f", 4, None, "x")], "k string, v int, owner string, anchor string")
+    got = {r.k: r.action for r in O.reconcile(want, have, ["k"], ["v"], "owner", "us", "anchor").collect()}
+    assert got == {"a": "keep", "b": "update", "c": "owned_elsewhere", "d": "delete", "e": "left_alone", "f": "owned_elsewhere", "n": "insert"}
+
+
+def test_extent_stops_after_empties(spark):
+    years = spark.createDataFrame([(y,) for y in (1971, 1973, 1985, 1989, 1991, None, 1991)], "y int")
+    assert {r.y: r.reached for r in O.extent(years, "y", 3).collect()} == {1971: False, 1973: False, 1985: True, 1989: True, 1991: True}
+    assert O.extent(years.limit(0), "y", 3).count() == 0
+
+
+def test_wire_lists(spark):
+    assert one(spark, S.wire_list, None, "null", '{"a":1}', '[{"a":1},{"a":2}]', "[]", "") == [[], [], ['{"a":1}'], ['{"a":1}', '{"a":2}'], [], []]
+
+
+def test_guards_of_sources(spark):
+    pages = spark.createDataFrame([("u", "<a href='/x/Legislative_1.csv'>")], "url string, page string")
+    assert pages.select(wire.required_href(F.col("page"), F.col("url"))).first()[0] == "/x/Legislative_1.csv"
+    with pytest.raises(Exception, match="results link not found: u"):
+        pages.select(wire.required_href(F.lit("<p>"), F.col("url"))).collect()
+    rows = spark.createDataFrame([("a", "2015-16"), ("b", None)], "id string, stamp string")
+    assert [r.edition for r in A.guard_edition(rows, F.lit("2015-16"), F.col("stamp")).orderBy("id").collect()] == ["ok", "unreadable"]
+    with pytest.raises(Exception, match="edition mismatch: 2015-16"):
+        A.guard_edition(rows, F.lit("2013-14"), F.col("stamp")).collect()
+
+
+def test_discovery_is_bounded(spark):
+    edges = spark.createDataFrame([("p", "1", "b", "x"), ("p", "2", "b", "x"), ("p", "2", "b", "y"), ("p", "3", "b", "y"), ("p", "4", "b", None)], "kind string, node string, to_kind string, `to` string")
+    root = spark.createDataFrame([("p", "1"), ("p", None)], "kind string, node string")
+    got = {(r.kind, r.node, r.hop) for r in A.discover(edges, root, 3, 100).collect()}
+    assert got == {("p", "1", 0), ("b", "x", 1), ("p", "2", 2), ("b", "y", 3)}
+    cut = A.discover(edges, root, 9, 1).collect()
+    assert {r.node for r in cut} == {"1", "x"} and all(r.truncated for r in cut)
+    assert A.discover(edges, root.limit(0), 2, 9).count() == 0
+
+
+def test_seeds_with_sidecars(spark):
+    from gavelspark.session import shared_path
+
+    base = shared_path(spark, "seeds")
+    A.write_seed(spark, f"{base}/a.json", b"[1]", {"table": "a"})
+    assert [bytes(r.content) for r in A.verified(*A.seed_files(spark, base)).collect()] == [b"[1]"]
+    with pytest.raises(ValueError):
+        A.write_seed(spark, f"{base}/b.json", b"", {"bytes": "0"})
+    A._write_shared(spark, f"{base}/a.json", b"[2]")
+    with pytest.raises(Exception, match="bad checksum"):
+        A.verified(*A.seed_files(spark, base)).collect()
