@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gavelspark.operators.relational import guarded, spans_of, unique_match
+from gavelspark.operators.paging import _running
 
 SPAN = "member string, kind string, discriminator string, valid_from date, valid_to date, is_active boolean, origin string"
 
@@ -175,10 +176,56 @@ def special_matches(entries: DataFrame, even: DataFrame, odd: DataFrame, key: st
     return entries.select(key).distinct().join(a, key, "left").join(b, key, "left").withColumn("special", special)
 
 
-def retire(spans: DataFrame, asserted: DataFrame, keys: list[str], anchored: str) -> DataFrame:
-    """Unasserted spans: retired, or kept and counted where an outside anchor holds them."""
+def retire(spans: DataFrame, asserted: DataFrame, keys: list[str], anchored: str, most_fraction: float = 0.5, floor: int = 5) -> DataFrame:
+    """Unasserted spans: retired, or kept and counted where an outside anchor holds them, under the
+    guards of :func:`stale_close`: an empty assertion retires nothing, and more than
+    ``floor`` that are more than the fraction of all abort."""
     stale = spans.join(asserted.select(*keys).distinct(), keys, "left_anti")
-    return stale.withColumn("outcome", F.when(F.col(anchored), "kept_anchored").otherwise("retired"))
+    nonempty = asserted.limit(1).select(F.lit(True).alias("_any"))
+    swept = guarded(stale.join(F.broadcast(nonempty), F.lit(True)).drop("_any"), spans, most_fraction, floor)
+    return swept.withColumn("outcome", F.when(F.col(anchored), "kept_anchored").otherwise("retired"))
+
+
+def reconcile_active(cohort: DataFrame, present: DataFrame, prior: DataFrame, group: list[str], key: str, active: str, most_absent: float = 0.34) -> DataFrame:
+    """group, key, action {retire, reactivate} or, with a null key, {empty_pull, cohort_floor}.
+
+    ``cohort`` holds all that was ever produced, with its flag; of it only the live era
+    counts, what is on the present or the prior roster.  Active and no longer present is
+    retired, inactive and present again reactivated.  A group whose present roster is empty, or
+    of whose active members more than ``most_absent`` are absent, changes nothing."""
+    mark = lambda df, name: df.select(*group, key).distinct().withColumn(name, F.lit(True))
+    era = cohort.select(*group, key, active).join(mark(present, "_now"), [*group, key], "left").join(mark(prior, "_then"), [*group, key], "left").filter("_now or _then")
+    absent = F.col(active) & F.col("_now").isNull()
+    sums = era.groupBy(*group).agg(F.count_if(F.col(active)).alias("_active"), F.count_if(absent).alias("_absent"))
+    pulled = present.select(*group).distinct().withColumn("_pulled", F.lit(True))
+    verdict = F.when(F.col("_pulled").isNull(), "empty_pull").when(F.col("_absent") > F.col("_active") * most_absent, "cohort_floor")
+    rated = sums.join(pulled, group, "left").select(*group, verdict.alias("aborted"))
+    moved = era.withColumn("action", F.when(absent, "retire").when(~F.col(active) & F.col("_now"), "reactivate")).filter("action is not null")
+    passed = moved.join(rated.filter("aborted is null").select(*group), group).select(*group, key, "action")
+    none = F.lit(None).cast(cohort.schema[key].dataType).alias(key)
+    return passed.unionByName(rated.filter("aborted is not null").select(*group, none, F.col("aborted").alias("action")))
+
+
+def event_items(desired: DataFrame, existing: DataFrame) -> DataFrame:
+    """org, slug, linked, year, action of desired events against the mirrored ones: create, refine
+    (an anchored one of another year), noop, unresolved (its link has no anchor) and
+    retracted (which is terminal, so nothing is emitted again).
+
+    ``desired``: org, slug, link, linked, year (``link``: the local id, null for none; ``linked``:
+    its remote id).  ``existing``: org, slug, linked, year, anchor, retracted."""
+    keys = ["org", "slug"]
+    live = existing.filter("not retracted").groupBy(*keys, "linked").agg(F.max(F.struct("anchor", "year")).alias("_e")).select(*keys, F.col("linked").alias("_l"), "_e")
+    gone = existing.filter("retracted").select(*keys, F.col("linked").alias("_g"), F.lit(True).alias("_gone")).distinct()
+    joined = desired.join(live, [*[desired[k] == live[k] for k in keys], desired["linked"].eqNullSafe(live["_l"])], "left").select(*[desired[c] for c in desired.columns], "_e")
+    joined = joined.join(gone, [*[joined[k] == gone[k] for k in keys], joined["linked"].eqNullSafe(gone["_g"])], "left").select(*[joined[c] for c in joined.columns], "_gone")
+    action = (
+        F.when(F.col("link").isNotNull() & F.col("linked").isNull(), "unresolved")
+        .when(F.col("_gone"), "retracted")
+        .when(F.col("_e.anchor").isNull(), "create")
+        .when(F.col("_e.year").eqNullSafe(F.col("year")), "noop")
+        .otherwise("refine")
+    )
+    return joined.select(*keys, "linked", "year", action.alias("action"))
 
 
 def supersede(attestations: DataFrame, keys: list[str], order: list[str], digest: str) -> DataFrame:
@@ -220,11 +267,46 @@ def proposals(rows: DataFrame, clauses: Column) -> DataFrame:
     return c.withColumn("start", first(["sworn_in", "appointed"])).withColumn("end", first(["died", "resigned", "vacated"])).drop("_c")
 
 
-def org_issues(local: Column, remote: Column, fields: dict[str, tuple[Column, Column]]) -> Column:
-    """Labels of what differs between a local and a remote record."""
-    labels = [F.when(local.isNull(), "missing_local"), F.when(remote.isNull(), "missing_remote")]
-    labels += [F.when(local.isNotNull() & remote.isNotNull() & ~a.eqNullSafe(b), f"{name}_differs") for name, (a, b) in fields.items()]
-    return F.array_compact(F.array(*labels))
+def classify_orgs(local: DataFrame, remote: DataFrame) -> DataFrame:
+    """id, issues, reconciled of local organizations against the remote records they are anchored to.
+
+    ``local``: id, anchor, name, acronym, windows, acronyms, parent.  ``remote``: anchor,
+    merged_into, name, acronym, windows, acronyms, parent, former.  Unlinked, missing and
+    merged stand alone; else every drift counts: name, acronym (only where the remote has
+    a canonical one), name windows, acronyms, parent.  ``reconciled`` is a clean one with a
+    curated former name.  Sets compare in no order; blank and null names are equal."""
+    r = remote.select("anchor", F.struct(*[c for c in remote.columns if c != "anchor"]).alias("r"))
+    both = local.join(r, "anchor", "left")
+    text = lambda c: F.trim(F.coalesce(c, F.lit("")))
+    alike = lambda a, b: F.array_sort(F.array_distinct(F.coalesce(a, F.array()))) == F.array_sort(F.array_distinct(F.coalesce(b, F.array())))
+    c = F.col
+    drifts = F.array_compact(
+        F.array(
+            F.when(text(c("name")) != text(c("r.name")), "name_drift"),
+            F.when(c("r.acronym").isNotNull() & ~F.nullif("acronym", F.lit("")).eqNullSafe(c("r.acronym")), "acronym_drift"),
+            F.when(~alike(c("windows"), c("r.windows")), "names_window_drift"),
+            F.when(~alike(c("acronyms"), c("r.acronyms")), "acronyms_drift"),
+            F.when(~c("parent").eqNullSafe(c("r.parent")), "parent_drift"),
+        )
+    )
+    alone = F.when(c("anchor").isNull(), "unlinked").when(c("r").isNull(), "missing").when(c("r.merged_into").isNotNull(), "merged")
+    issues = F.when(alone.isNotNull(), F.array(alone)).otherwise(drifts)
+    return both.select("id", issues.alias("issues"), (F.size(issues) == 0) & F.coalesce(c("r.former"), F.lit(False))).toDF("id", "issues", "reconciled")
+
+
+def sweep_slices(payloads: DataFrame, key: str, body: str, digest: str, budget: int) -> DataFrame:
+    """key, slice, outcome {verified, mismatched, unbaselined}: every payload hashed again against
+    its stored digest, in slices of ``budget`` bytes behind a cursor over the keys; a
+    payload belongs to the slice in which it begins, so the one that crosses a border ends
+    its slice, and an oversized one is read whole.
+
+    The bodies are read once and hashed where they are; only keys and sizes are ordered, by
+    range partitions and their totals."""
+    size = F.coalesce(F.octet_length(body), F.lit(0)).cast("bigint")
+    outcome = F.when(F.col(digest).isNull(), "unbaselined").when(F.sha2(body, 256) == F.col(digest), "verified").otherwise("mismatched")
+    told = payloads.select(key, size.alias("_size"), outcome.alias("outcome"))
+    total = _running(told, [key], F.col("_size"), "_sum")
+    return total.select(key, F.floor((F.col("_sum") - F.col("_size")) / budget).alias("slice"), "outcome")
 
 
 def adopt(rows: DataFrame, spans: DataFrame, key: str) -> DataFrame:

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from gavelspark.functions import dates as D
 from gavelspark.functions import strings as S
+from gavelspark.operators import identity as I
 from gavelspark.operators import relational as O
 from gavelspark.operators import temporal as T
 from gavelspark.plans.registry import Registry
-from gavelspark.plans.relational import _CITES, _EVENTS, _HOUSE, _MATCHES, _PERSONS, _PROPOSALS, _SURNAMED, _WINNERS, persons, surnamed
+from gavelspark.plans.relational import _CITES, _EVENTS, _HOUSE, _MATCHES, _PERSONS, _PROPOSALS, _STOPPED, _SURNAMED, _WINNERS, persons, surnamed
+from gavelspark.session import stored
 
 R = Registry()
 c, lit = F.col, F.lit
@@ -69,7 +71,7 @@ def tmp4(t):
     return T.stale_close(tenures(t), asserted, ["member"], CURRENT, most_fraction=0.95).select("member", "discriminator", "outcome", "valid_to")
 
 
-@R.query("tmp5_retire", f"select member, discriminator, valid_from, case when member in (select member from {_EV}) then 'kept_anchored' else 'retired' end as outcome from {_TENURES} where member not in (select member from {_OBS} where year >= 2015)")
+@R.query("tmp5_retire", f"with s as (select * from {_TENURES} where member not in (select member from {_OBS} where year >= 2015)) select member, discriminator, valid_from, case when member in (select member from {_EV}) then 'kept_anchored' else 'retired' end as outcome from s where (select count(*) from {_OBS} where year >= 2015) > 0 and not ((select count(*) from s) > 5 and (select count(*) from s) > 0.5 * (select count(*) from {_TENURES}))")
 def tmp5(t):
     anchored = tenures(t).join(events(t).select("member").distinct().withColumn("a", lit(True)), "member", "left").withColumn("anchored", F.coalesce("a", lit(False)))
     return T.retire(anchored, observations(t).filter("year >= 2015"), ["member"], "anchored").select("member", "discriminator", "valid_from", "outcome")
@@ -113,11 +115,39 @@ def tmp10(t):
     return rows.withColumn("n", n).withColumn("same", same).select("record_id", F.when(c("n") == 1, "write").when(c("same") > 1, "skip").otherwise("conflict").alias("outcome"))
 
 
-@R.query("tmp11_identity_resolution", f"with f as (select assembly, surname, count(*) as n, min(session_year) as a, max(session_year) as z, count(distinct district) as k from {_SURNAMED} group by 1, 2) select assembly, surname, n, case when z - a > 20 then 'wide_gap' when k = 1 then 'join' when k = 2 then 'adjudicate' else 'mint' end as disposition from f")
+_FLOOR = 2009
+_SEATINGS = f"(select distinct assembly as scope, k as fold, ld as seat, election_year + d as year, qualifier as member from (select assembly, ld, election_year, qualifier, unnest(name_keys) as k from {_HOUSE} where qualifier is not null), (values (1), (2)) y(d) where election_year + d >= {_FLOOR})"
+_IDENTITIES = f"""with r as (select assembly as scope, surname as fold, record_id as id, session_year as year, district as seat from {_SURNAMED} where surname <> ''),
+  pre as (select * from r where year < {_FLOOR}),
+  seated as (select * from {_SEATINGS}),
+  splits as (select scope, fold, min(year) as boundary from pre where fold like 'mc%' and year >= 2000 group by 1, 2),
+  decided as (select distinct scope, fold, case when length(fold) % 2 = 0 then 'Position 1' end as member from r where fold like 'van%'),
+  g as (select scope, fold, min(year) as first, coalesce(max(year - before) > 20, false) as wide from (select *, lag(year) over (partition by scope, fold order by year) as before from (select distinct scope, fold, year from pre)) group by 1, 2),
+  post as (select p.scope, p.fold, count(distinct s.member) as n, min(s.member) as member from (select distinct scope, fold, seat, year from r where year >= {_FLOOR}) p left join seated s using (scope, fold, seat, year) group by 1, 2),
+  probe as (select p.scope, p.fold, count(distinct s.member) as n, min(s.member) as member from (select distinct scope, fold, seat, {_FLOOR} as year from pre where year > {_FLOOR} - 4) p left join seated s using (scope, fold, seat, year) group by 1, 2),
+  v as (select g.*, s.boundary, d.fold is not null as is_decided, d.member as decided, p.fold is not null as crossing, coalesce(p.n, 0) as pn, p.member as pm, coalesce(q.n, 0) as qn, q.member as qm
+    from g left join splits s using (scope, fold) left join decided d on g.scope = d.scope and g.fold = d.fold left join post p on g.scope = p.scope and g.fold = p.fold left join probe q on g.scope = q.scope and g.fold = q.fold),
+  w as (select *, case when boundary is not null then null when wide then 'wide_gap' when crossing and is_decided then null when crossing and pn > 1 then 'ambiguous' when crossing and pn = 0 then 'unresolved' when not crossing and qn > 1 then 'ambiguous' end as reason,
+    case when boundary is not null or wide then null when crossing and is_decided then decided when crossing and pn = 1 then pm when not crossing and qn = 1 then qm end as member from v),
+  x as (select pre.*, w.boundary, w.first, w.reason, w.member, case when pre.year >= w.boundary then 1 else 0 end as part from pre join w using (scope, fold)),
+  identities as (select scope, fold, id, year, case when reason is not null then 'refused' when member is not null then 'joined' else 'minted' end as disposition, reason,
+    case when reason is not null then null when member is not null then member else fold || ':' || case when boundary is not null then min(year) over (partition by scope, fold, part) else first end end as identity from x)"""
+
+
+def identities(t):
+    """Every listing from before 2009 and its identity.  Folds that begin with mc are taken as split, with
+    van as adjudicated, so that the tables hold every disposition."""
+    r = surnamed(t).filter("surname <> ''").select(c("assembly").alias("scope"), c("surname").alias("fold"), c("record_id").alias("id"), c("session_year").alias("year"), c("district").alias("seat"))
+    years = F.explode(F.array(c("election_year") + 1, c("election_year") + 2)).alias("year")
+    seated = t.house_positions.filter("qualifier is not null").select(c("assembly").alias("scope"), F.explode("name_keys").alias("fold"), c("ld").alias("seat"), c("qualifier").alias("member"), "election_year").select("scope", "fold", "seat", years, "member").filter(c("year") >= _FLOOR)
+    splits = r.filter(f"fold like 'mc%' and year >= 2000 and year < {_FLOOR}").groupBy("scope", "fold").agg(F.min("year").alias("boundary"))
+    decided = r.filter("fold like 'van%'").select("scope", "fold", F.when(F.length("fold") % 2 == 0, "Position 1").alias("member")).distinct()
+    return I.resolve_identities(r, seated, _FLOOR, splits, decided)
+
+
+@R.query("tmp11_identity_resolution", f"{_IDENTITIES} select * from identities")
 def tmp11(t):
-    f = surnamed(t).groupBy("assembly", "surname").agg(F.count("*").alias("n"), F.min("session_year").alias("a"), F.max("session_year").alias("z"), F.count_distinct("district").alias("k"))
-    verdict = F.when(c("z") - c("a") > 20, "wide_gap").when(c("k") == 1, "join").when(c("k") == 2, "adjudicate").otherwise("mint")
-    return f.select("assembly", "surname", "n", verdict.alias("disposition"))
+    return identities(t)
 
 
 _YRS = f"(select e.record_id, h.qualifier as cand, count(distinct h.election_year) as years from {_SURNAMED} e join {_HOUSE} h on e.assembly = h.assembly and e.district = h.ld and list_contains(h.name_keys, e.surname) where h.qualifier is not null group by 1, 2)"
@@ -143,12 +173,38 @@ def tmp13(t):
     return T.positions_by_elimination(roster, matched, seeds, group)
 
 
-@R.query("tmp14_winner_projection", f"select w.mention_id, case when count(h.record_id) = 0 then 'deferred' when count(distinct h.assembly) = 1 then 'direct' else 'ambiguous' end as outcome from {_WINNERS} w left join {_HOUSE} h on w.ld = h.ld and w.election_year = h.election_year and w.party_slug = h.party_slug group by 1")
+_COHORTS = f"""with w as (select assembly || '/' || election_year as cohort, ld as seat, record_id as id, name_keys as keys, qualifier from {_HOUSE}),
+  m as (select distinct assembly || '/' || (session_year - 1) as cohort, district as seat, record_id as member, surname, chamber from (select s.*, p.chamber from {_SURNAMED} s join (select distinct record_id, chamber from event_proposals) p using (record_id)) where district is not null),
+  h as (select w.cohort, w.seat, w.id, count(distinct m.member) as n, min(m.member) as member from w join m on w.cohort = m.cohort and w.seat = m.seat and m.chamber = 'house' and list_contains(w.keys, m.surname) group by 1, 2, 3),
+  s as (select w.cohort, w.seat, w.id, count(distinct m.member) as n from w join m on w.cohort = m.cohort and w.seat = m.seat and m.chamber = 'senate' and list_contains(w.keys, m.surname) group by 1, 2, 3),
+  r as (select w.cohort, w.seat, w.id, w.qualifier, coalesce(h.n, 0) as hn, case when h.n = 1 then h.member end as direct, coalesce(s.n, 0) as sn from w left join h using (cohort, seat, id) left join s using (cohort, seat, id)),
+  told as (select *, case when direct is not null and row_number() over (partition by cohort, direct order by id) > 1 then 'duplicate' when direct is not null then case when qualifier is null then 'matched' else 'direct' end when sn = 1 then 'mover' when qualifier is not null then 'unresolved' when hn > 1 then 'ambiguous' else 'unmatched' end as outcome from r)"""
+
+
+def winner_cohorts(t):
+    """Winners of each House election, and the listings of the year after as the rosters."""
+    won = t.house_positions.select(F.concat_ws("/", "assembly", "election_year").alias("cohort"), c("ld").alias("seat"), c("record_id").alias("id"), c("name_keys").alias("keys"), "qualifier").distinct()
+    chambers = t.event_proposals.select("record_id", "chamber").distinct()
+    listed = surnamed(t).join(chambers, "record_id").filter("district is not null").select(F.concat_ws("/", "assembly", c("session_year") - 1).alias("cohort"), c("district").alias("seat"), c("record_id").alias("member"), "surname", "chamber").distinct()
+    return I.project_winners(won, listed.filter("chamber = 'house'"), listed.filter("chamber = 'senate'"))
+
+
+@R.query("tmp14_winner_projection", f"{_COHORTS} select cohort, seat, id, outcome from told")
 def tmp14(t):
-    keys = ["ld", "election_year", "party_slug"]
-    h = t.house_positions.select(*keys, "assembly").distinct()
-    g = t.senate_winners.distinct().join(h, keys, "left").groupBy("mention_id").agg(F.count_distinct("assembly").alias("k"))
-    return g.select("mention_id", F.when(c("k") == 0, "deferred").when(c("k") == 1, "direct").otherwise("ambiguous").alias("outcome"))
+    return winner_cohorts(t)[0]
+
+
+@R.query(
+    "tmp14_seats",
+    f"""{_COHORTS}, seen as (select cohort, direct as member from told where outcome in ('direct', 'matched')),
+  open as (select m.cohort, m.seat, count(distinct m.member) as n, min(m.member) as member from m left join seen on m.cohort = seen.cohort and m.member = seen.member where m.chamber = 'house' and seen.member is null group by 1, 2),
+  d as (select cohort, seat, count(*) as n, count(*) filter (outcome = 'mover') as movers, min(qualifier) as qualifier, min(id) as id from told where direct is null group by 1, 2)
+select cohort, seat, id, direct as member, qualifier, false as inferred from told where outcome = 'direct'
+union all select d.cohort, d.seat, d.id, o.member, d.qualifier, true from d join open o on d.cohort = o.cohort and d.seat = o.seat where d.n = 1 and d.movers = 1 and o.n = 1 and d.qualifier is not null""",
+)
+def tmp14_seats(t):
+    """The members that the winners seat, with the one-for-one replacement of a winner who moved."""
+    return winner_cohorts(t)[1]
 
 
 @R.query("tmp15_roster_builder", f"select record_id from {_PROPOSALS} where chamber = 'house' and ((assembly, district) not in (select assembly, district from event_proposals where kind = 'departed') or record_id % 10 = 0)")
@@ -185,22 +241,43 @@ def tmp19(t):
     return j.groupBy("ld", "election_year").agg(F.when(ok, "ok").when(F.max(F.coalesce("hit", lit(False))), "mismatched").otherwise("missing").alias("gate"))
 
 
-@R.query("tmp20_invariants", "select assembly, election_year, count(distinct ld) as seats, count(*) filter (k > 1) as duplicates from (select assembly, election_year, ld, qualifier, count(distinct record_id) as k from house_positions where qualifier is not null group by 1, 2, 3, 4) group by 1, 2")
+@R.query(
+    "tmp20_invariants",
+    """with p as (select distinct assembly, election_year, ld, qualifier, record_id, array_to_string(list_sort(name_keys), ',') as member from house_positions where qualifier is not null),
+  s as (select assembly, election_year, ld, qualifier, count(distinct record_id) as k from p group by 1, 2, 3, 4),
+  m as (select assembly, election_year, member, count(distinct (ld, qualifier)) as k from p where member is not null group by 1, 2, 3)
+select s.assembly, s.election_year, count(distinct ld) as districts, count(*) as seats, count(*) filter (s.k > 1) as held_twice, coalesce(any_value(d.n), 0) as members_twice, count(distinct ld) = 49 and count(*) = 98 and count(*) filter (s.k > 1) = 0 and coalesce(any_value(d.n), 0) = 0 as whole
+from s left join (select assembly, election_year, count(*) filter (k > 1) as n from m group by 1, 2) d on s.assembly = d.assembly and s.election_year = d.election_year group by 1, 2""",
+)
 def tmp20(t):
-    seats = t.house_positions.filter("qualifier is not null").groupBy("assembly", "election_year", "ld", "qualifier").agg(F.count_distinct("record_id").alias("k"))
-    return seats.groupBy("assembly", "election_year").agg(F.count_distinct("ld").alias("seats"), F.count_if(c("k") > 1).alias("duplicates"))
+    """A whole chamber has 49 districts of two seats, no seat twice and no member in two seats."""
+    keys = ["assembly", "election_year"]
+    p = t.house_positions.filter("qualifier is not null").select(*keys, "ld", "qualifier", "record_id", F.array_join(F.array_sort("name_keys"), ",").alias("member")).distinct()
+    seats = p.groupBy(*keys, "ld", "qualifier").agg(F.count_distinct("record_id").alias("k"))
+    twice = p.filter("member is not null").groupBy(*keys, "member").agg(F.count_distinct("ld", "qualifier").alias("m")).groupBy(*keys).agg(F.count_if(c("m") > 1).alias("members_twice"))
+    sums = seats.groupBy(*keys).agg(F.count_distinct("ld").alias("districts"), F.count("*").alias("seats"), F.count_if(c("k") > 1).alias("held_twice"))
+    rated = sums.join(twice, keys, "left").withColumn("members_twice", F.coalesce("members_twice", lit(0)))
+    return rated.withColumn("whole", (c("districts") == 49) & (c("seats") == 98) & (c("held_twice") == 0) & (c("members_twice") == 0))
 
 
-_COH = "(select distinct source_id from rename_transitions where left(trim(boundary_biennium), 4) {})"
+_SEEN = "(select distinct assembly, ld from house_positions where election_year {})"
 
 
-@R.query("tmp21_active_reconcile", f"select source_id, case when source_id in {_COH.format(chr(61) + chr(32) + chr(39) + '2013' + chr(39))} then 'active' else 'retire' end as action from {_COH.format(chr(60) + chr(61) + chr(32) + chr(39) + '2013' + chr(39))} where (select count(*) from {_COH.format(chr(61) + chr(32) + chr(39) + '2013' + chr(39))}) > 0")
+@R.query(
+    "tmp21_active_reconcile",
+    f"""with k as {_SEEN.format('<= 2012')}, now as {_SEEN.format('in (2011, 2012)')}, prior as {_SEEN.format('in (2009, 2010)')},
+  era as (select k.*, prior.ld is not null as active, now.ld is not null as present from k left join now on k.assembly = now.assembly and k.ld = now.ld left join prior on k.assembly = prior.assembly and k.ld = prior.ld where now.ld is not null or prior.ld is not null),
+  g as (select assembly, count(*) filter (active) as n, count(*) filter (active and not present) as gone, bool_or(present) as pulled from era group by 1),
+  v as (select assembly, case when not pulled then 'empty_pull' when gone > 0.34 * n then 'cohort_floor' end as aborted from g)
+select e.assembly, e.ld, case when active then 'retire' else 'reactivate' end as action from era e join v on e.assembly = v.assembly where v.aborted is null and active <> present
+union all select assembly, null, aborted from v where aborted is not null""",
+)
 def tmp21(t):
-    y = F.substring(F.trim("boundary_biennium"), 1, 4)
-    known = t.rename_transitions.filter(y <= "2013").select("source_id").distinct()
-    present = t.rename_transitions.filter(y == "2013").select("source_id").distinct().withColumn("hit", lit(True))
-    nonempty = present.limit(1).select(lit(1).alias("one"))
-    return known.join(present, "source_id", "left").join(F.broadcast(nonempty), lit(True)).select("source_id", F.when(c("hit"), "active").otherwise("retire").alias("action"))
+    """Districts of each assembly: on the roster of 2012 or not, active if they were on that of 2010."""
+    seen = lambda condition: t.house_positions.filter(condition).select("assembly", "ld").distinct()
+    present, prior = seen("election_year in (2011, 2012)"), seen("election_year in (2009, 2010)")
+    cohort = seen("election_year <= 2012").join(prior.withColumn("a", lit(True)), ["assembly", "ld"], "left").select("assembly", "ld", F.coalesce("a", lit(False)).alias("active"))
+    return T.reconcile_active(cohort, present, prior, ["assembly"], "ld", "active")
 
 
 @R.query("tmp22_rename_reconcile", "with x as (select source_id, count(*) as n, count(*) filter (lower(former_name) <> lower(legal_name)) as renamed from rename_transitions group by 1) select source_id, renamed, case when renamed > 0.34 * n and n >= 5 then 'abort_storm' when renamed = 0 then 'noop' else 'rename' end as action from x")
@@ -217,28 +294,68 @@ def tmp22_all(t):
     return T.reconcile_names(T.standing_names(rows, "source_id", "legal_name", "year", "recorded_at"), "source_id", "legal_name", "year")
 
 
-_DES = "(select source_id as slug, max(effective_start) as d from rename_transitions where source_id::bigint % 3 > 0 group by 1)"
-_EXI = "(select source_id as slug, min(effective_start) as d from rename_transitions where source_id::bigint % 4 > 0 group by 1)"
+_YEAR = "cast(left(trim(boundary_biennium), 4) as integer)"
+_ITEMS = f"""(select source_id as org, 'founded' as slug, null as link, null as linked, min({_YEAR}) as year from rename_transitions group by 1
+  union all select source_id, 'dissolved', null, null, max({_YEAR}) from rename_transitions group by 1
+  union all select a.source_id, 'succeeded_by', b.source_id, case when b.source_id::bigint % 5 > 0 then 'r' || b.source_id end, min(a.y) from (select distinct source_id, {_YEAR} as y, legal_name from rename_transitions) a join (select distinct source_id, former_name from rename_transitions) b on a.legal_name = b.former_name and a.source_id < b.source_id group by 1, 3)"""
+# What the remote side holds is what the records of before 2021 told.
+_MIRROR = f"""(select source_id as org, 'founded' as slug, null as linked, min({_YEAR}) as year, case when source_id::bigint % 3 > 0 then source_id end as anchor, source_id::bigint % 7 = 0 as retracted from rename_transitions where recorded_at < timestamp '2021-01-01' group by 1
+  union all select source_id, 'dissolved', null, max({_YEAR}), source_id, false from rename_transitions where recorded_at < timestamp '2021-01-01' group by 1)"""
 
 
-@R.query("tmp23_event_diff", f"select coalesce(a.slug, b.slug) as slug, case when b.slug is null then 'insert' when a.slug is null then 'delete' when a.d is distinct from b.d then 'update' else 'keep' end as action from {_DES} a full outer join {_EXI} b on a.slug = b.slug")
+@R.query("tmp23_event_diff", f"select d.org, d.slug, d.linked, d.year, case when d.link is not null and d.linked is null then 'unresolved' when e.retracted then 'retracted' when e.anchor is null then 'create' when e.year is not distinct from d.year then 'noop' else 'refine' end as action from {_ITEMS} d left join {_MIRROR} e on d.org = e.org and d.slug = e.slug and d.linked is not distinct from e.linked")
 def tmp23(t):
-    r = t.rename_transitions.select(c("source_id").alias("slug"), "effective_start")
-    desired = r.filter("cast(slug as bigint) % 3 > 0").groupBy("slug").agg(F.max("effective_start").alias("d"))
-    existing = r.filter("cast(slug as bigint) % 4 > 0").groupBy("slug").agg(F.min("effective_start").alias("d"))
-    return O.full_outer_actions(desired, existing, ["slug"], ["d"])
+    """Founded, dissolved and succession events against those mirrored from the records of before 2021."""
+    y = F.substring(F.trim("boundary_biennium"), 1, 4).cast("int")
+    r = t.rename_transitions.select(c("source_id").alias("org"), y.alias("y"), "former_name", "legal_name", "recorded_at")
+    null = lit(None).cast("string")
+    ends = lambda rows: rows.groupBy("org").agg(F.min("y").alias("founded"), F.max("y").alias("dissolved"))
+    spread = lambda rows: rows.select("org", F.explode(F.create_map(lit("founded"), c("founded"), lit("dissolved"), c("dissolved"))).alias("slug", "year"))
+    after = r.select("org", "y", c("legal_name").alias("name")).distinct().join(r.select(c("org").alias("link"), c("former_name").alias("name")).distinct(), "name").filter("org < link")
+    remote_id = F.when(c("link").cast("bigint") % 5 > 0, F.concat(lit("r"), "link"))
+    links = after.groupBy("org", "link").agg(F.min("y").alias("year")).select("org", lit("succeeded_by").alias("slug"), "link", remote_id.alias("linked"), "year")
+    desired = spread(ends(r)).select("org", "slug", null.alias("link"), null.alias("linked"), "year").unionByName(links)
+    number = c("org").cast("bigint")
+    anchor = F.when((c("slug") == "dissolved") | (number % 3 > 0), c("org"))
+    mirrored = spread(ends(r.filter("recorded_at < '2021-01-01'"))).select("org", "slug", null.alias("linked"), "year", anchor.alias("anchor"), ((c("slug") == "founded") & (number % 7 == 0)).alias("retracted"))
+    return T.event_items(desired, mirrored)
 
 
-@R.query("tmp24_classification", f"with a as (select source_id, min(legal_name) as n, count(*) as k from rename_transitions where source_id::bigint % 3 > 0 group by 1), b as (select source_id, max(legal_name) as n, count(*) as k from rename_transitions where source_id::bigint % 4 > 0 group by 1) select coalesce(a.source_id, b.source_id) as source_id, concat_ws(',', case when a.source_id is null then 'missing_local' end, case when b.source_id is null then 'missing_remote' end, case when a.n <> b.n then 'name_differs' end, case when a.k <> b.k then 'count_differs' end) as issues from a full outer join b on a.source_id = b.source_id")
+def _org_sql(cut: str) -> str:
+    return f"(select source_id as id, arg_max(legal_name, (recorded_at, legal_name)) as name, upper(left(arg_max(legal_name, (recorded_at, legal_name)), 1)) as acronym, list_sort(list(distinct legal_name || '@' || {_YEAR})) as windows, list_sort(list(distinct upper(left(legal_name, 1)))) as acronyms, max({_YEAR}) % 4 as parent, bool_or(former_name is not null) as former from rename_transitions where legal_name is not null {cut} group by 1)"
+
+
+@R.query(
+    "tmp24_classification",
+    f"""with l as (select *, case when id::bigint % 9 > 0 then id end as anchor from {_org_sql('')}), r as (select * from {_org_sql("and recorded_at < timestamp '2022-01-01'")} where id::bigint % 10 > 0),
+  j as (select l.id, l.anchor, r.id as rid, r.id::bigint % 11 = 0 as merged, r.former, list_filter([case when trim(l.name) <> trim(r.name) then 'name_drift' end, case when l.acronym <> r.acronym then 'acronym_drift' end, case when l.windows <> r.windows then 'names_window_drift' end, case when l.acronyms <> r.acronyms then 'acronyms_drift' end, case when l.parent <> r.parent then 'parent_drift' end], lambda x: x is not null) as d from l left join r on l.anchor = r.id)
+select id, case when anchor is null then 'unlinked' when rid is null then 'missing' when merged then 'merged' else array_to_string(d, ',') end as issues, anchor is not null and rid is not null and not merged and len(d) = 0 and former as reconciled from j""",
+)
 def tmp24(t):
-    r = t.rename_transitions
-    a = r.filter("cast(source_id as bigint) % 3 > 0").groupBy("source_id").agg(F.min("legal_name").alias("n"), F.count("*").alias("k")).select("source_id", F.struct("n", "k").alias("a"))
-    b = r.filter("cast(source_id as bigint) % 4 > 0").groupBy("source_id").agg(F.max("legal_name").alias("n"), F.count("*").alias("k")).select("source_id", F.struct("n", "k").alias("b"))
-    issues = T.org_issues(c("a"), c("b"), {"name": (c("a.n"), c("b.n")), "count": (c("a.k"), c("b.k"))})
-    return a.join(b, "source_id", "full_outer").select("source_id", F.array_join(issues, ",").alias("issues"))
+    """Committees as of all records against the same as of those recorded before 2022; every ninth has no
+    anchor, the remote side lacks every tenth and has merged every eleventh."""
+    y = F.substring(F.trim("boundary_biennium"), 1, 4).cast("int")
 
+    def orgs(rows):
+        name = F.max_by("legal_name", F.struct("recorded_at", "legal_name"))
+        initial = F.upper(F.substring("legal_name", 1, 1))
+        agg = rows.filter("legal_name is not null").withColumn("y", y).groupBy(c("source_id").alias("id")).agg(name.alias("name"), F.collect_set(F.concat("legal_name", lit("@"), "y")).alias("windows"), F.collect_set(initial).alias("acronyms"), (F.max("y") % 4).alias("parent"), F.max(c("former_name").isNotNull()).alias("former"))
+        return agg.withColumn("acronym", F.upper(F.substring("name", 1, 1))).withColumn("n", c("id").cast("bigint"))
 
-@R.query("tmp25_lineage_scoring")
+    local = orgs(t.rename_transitions).withColumn("anchor", F.when(c("n") % 9 > 0, c("id")))
+    remote = orgs(t.rename_transitions.filter("recorded_at < '2022-01-01'")).filter("n % 10 > 0").withColumn("merged_into", F.when(c("n") % 11 == 0, lit("other"))).withColumnRenamed("id", "anchor")
+    fields = ["name", "acronym", "windows", "acronyms", "parent"]
+    told = T.classify_orgs(local.select("id", "anchor", *fields), remote.select("anchor", "merged_into", *fields, "former"))
+    return told.select("id", F.array_join("issues", ",").alias("issues"), "reconciled")
+
+
+_LINEAGE = f"""with l as (select source_id, arg_max(legal_name, (recorded_at, legal_name)) as name, min({_YEAR}) as founded, max({_YEAR}) as dissolved from rename_transitions group by 1),
+  n as (select *, list_filter(list_distinct(regexp_split_to_array(lower(name), '[^a-z0-9]+')), lambda x: x <> '' and x not in {_STOPPED}) as w from l),
+  p as (select a.source_id as a, b.source_id as b, len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) as s, b.founded - a.dissolved between 0 and 2 or a.founded - b.dissolved between 0 and 2 as near, a.dissolved <> b.dissolved as sure from n a join n b on a.source_id < b.source_id and len(list_intersect(a.w, b.w)) > 0)
+select a, b, round(s + case when near then 0.5 else 0 end, 3) as score, sure as direction_certain from p where s >= 0.34"""
+
+
+@R.query("tmp25_lineage_scoring", _LINEAGE)
 def tmp25(t):
     """Similar pairs scored by shared words, adjacent windows and shared years."""
     y = F.substring(F.trim("boundary_biennium"), 1, 4).cast("int")
@@ -258,16 +375,24 @@ def stranded(t):
     return rows, spans
 
 
-@R.query("tmp26_source_migration")
+_ADOPTED = f"""with r as (select distinct assembly || '/' || district as member, record_id as id, effective_date as at, case when record_id % 2 = 0 then record_id end as anchor from event_proposals),
+  s as (select member, concat_ws(':', member, discriminator, valid_from::varchar) as id, valid_from, valid_to from {_TENURES}),
+  k as (select r.id, r.anchor, arg_min(s.id, (s.valid_from, s.id)) as keeper from r left join s on r.member = s.member and s.valid_from <= r.at and (s.valid_to is null or s.valid_to >= r.at) group by 1, 2),
+  m as (select *, anchor is not null and row_number() over (partition by keeper order by anchor is null, id) = 1 as moves from k)
+select id, keeper, case when keeper is null then 'stays' when anchor is null then 'retired' when moves then 'anchor_moved' else 'anchor_dropped' end as outcome from m"""
+
+
+@R.query("tmp26_source_migration", _ADOPTED)
 def tmp26(t):
     return T.adopt(*stranded(t), "member")
 
 
-@R.query("tmp27_integrity", "select doc_id, case when text is null then 'unbaselined' when doc_id % 7 = 0 then 'mismatched' else 'verified' end as outcome from documents")
+@R.query("tmp27_integrity", "select doc_id, floor((sum(n) over (order by doc_id) - n) / 1048576)::bigint as slice, case when doc_id % 13 = 0 then 'unbaselined' when text is null then 'mismatched' else 'verified' end as outcome from (select doc_id, text, coalesce(strlen(text), 0) as n from documents)")
 def tmp27(t):
-    stored = F.when(c("doc_id") % 7 == 0, F.sha2(F.concat("text", lit("x")), 256)).otherwise(F.sha2("text", 256))
-    ok = F.sha2("text", 256) == stored
-    return t.documents.select("doc_id", F.when(stored.isNull(), "unbaselined").when(ok, "verified").otherwise("mismatched").alias("outcome"))
+    """All bodies hashed again, a megabyte at a time, against the digests stored when they came: a
+    body that is gone is a mismatch; every thirteenth had no baseline."""
+    archive = stored(t.documents.select("doc_id", F.when(c("doc_id") % 13 > 0, F.sha2(F.coalesce("text", lit("gone")), 256)).alias("digest")))
+    return T.sweep_slices(t.documents.select("doc_id", "text").join(archive, "doc_id"), "doc_id", "text", "digest", 1_048_576)
 
 
 @R.query("tmp28_clock_heal", f"select a.id, b.updated_at from {_PERSONS} a join (select id, name_full, min(updated_at) as updated_at from persons group by 1, 2) b on a.id = b.id and a.name_full = b.name_full and b.updated_at < a.updated_at")
@@ -305,10 +430,10 @@ def tmp30(t):
     return T.tenure_spans(scoped, CURRENT).select("member", "discriminator", "valid_from")
 
 
-@R.query("tmp31_roster_build", f"select split, count(*) as n from (select case when k = 1 then 'joined' else 'minted' end as split from (select assembly, surname, count(distinct district) as k from {_SURNAMED} group by 1, 2)) group by 1")
+@R.query("tmp31_roster_build", f"{_IDENTITIES} select scope, fold, disposition, identity, reason, count(*) as listings, min(year) as first, max(year) as last from identities group by 1, 2, 3, 4, 5")
 def tmp31(t):
-    g = surnamed(t).groupBy("assembly", "surname").agg(F.count_distinct("district").alias("k"))
-    return g.groupBy(F.when(c("k") == 1, "joined").otherwise("minted").alias("split")).agg(F.count("*").alias("n"))
+    """One row per identity (or refusal) with its listings; the joined ones carry their member."""
+    return identities(t).groupBy("scope", "fold", "disposition", "identity", "reason").agg(F.count("*").alias("listings"), F.min("year").alias("first"), F.max("year").alias("last"))
 
 
 @R.query("tmp32_house_build", f"select coalesce(a.record_id, b.record_id) as record_id, a.q is distinct from b.q as special from (select record_id, min(qualifier) as q from {_MATCHES} group by 1) a full outer join (select record_id, max(qualifier) as q from {_MATCHES} group by 1) b on a.record_id = b.record_id")
