@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -10,11 +11,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gavelspark.operators import relational as O
+from gavelspark.plans.problems import _P1
 from gavelspark.plans.registry import Registry
 from gavelspark.plans.relational import _BILLS, _EVENTS, _PERSONS, persons
+from gavelspark.session import stored
 from gavelspark.streaming import feed as X
 
 R = Registry()
+log = logging.getLogger(__name__)
 c, lit = F.col, F.lit
 
 _LOCAL = "(select user_id, max(ts) as ts, arg_max(event_type, (ts, event_id)) as v from events where event_type <> 'purchase' group by 1)"
@@ -31,42 +35,46 @@ def stm1(t):
     return X.last_write_wins(local, remote, ["user_id"], "ts", "v").select("user_id", "action", "v")
 
 
-@R.query("stm2_feed_batch", "select user_id, max(event_id) as seq from events where event_id > 100 and event_id <= 600 group by 1")
-def stm2(t):
-    return t.events.filter("event_id > 100 and event_id <= 600").groupBy("user_id").agg(F.max("event_id").alias("seq"))
-
-
 @R.query("stm2_feed_to_end", "select user_id, max(event_id) as seq from events group by 1")
 def stm2_all(t):
-    """The whole feed, batch by batch behind an advancing cursor; stm2_feed_batch is one fixed batch."""
+    """The whole feed, batch by batch behind an advancing cursor."""
     return X.drain_feed(t.events, "user_id", "event_id").select("user_id", c("event_id").alias("seq"))
 
 
-_DEAD = "(select user_id, min(event_id) as d from events where event_type = 'error' group by 1)"
+_PAGE = "(select user_id, event_id, event_type = 'error' as dead, case when event_id % 3 = 0 then user_id + 1 end as into_, user_id % 50 as n from events)"
 
 
-@R.query("stm3_page_with_deletes", f"select e.user_id, max(e.event_id) as seq, case when max(d.d) is null then arg_max(case e.event_type when 'error' then 'deleted' else 'updated' end, e.event_id) else 'deleted' end as change from events e left join {_DEAD} d on e.user_id = d.user_id where d.d is null or e.event_id <= d.d group by 1")
+@R.query(
+    "stm3_page_with_deletes",
+    f"""with o as (select user_id, n, min(event_id) filter (dead) as d, max(event_id) as z, arg_min(into_, event_id) filter (dead) as into_ from {_PAGE} group by 1, 2),
+  first as (select o.*, case when d % 3 = 0 then user_id + 1 end as target from o),
+  live as (select n, count(*) as k, min(user_id) as other from o where d is null group by 1)
+select user_id, coalesce(d, z) as event_id, case when d is null then 'updated' when target is not null then 'merged' when k = 1 then 'rematched' else 'tombstoned' end as outcome, case when d is null then null else coalesce(target, case when k = 1 then other end) end as target from first left join live using (n)""",
+)
 def stm3(t):
-    page = t.events.select("user_id", c("event_id").alias("seq"), F.when(c("event_type") == "error", "deleted").otherwise("updated").alias("change"))
-    return X.apply_page(page, "user_id", "seq", "change")
+    """The events as one page: an error deletes its user, every third names a successor."""
+    page = t.events.select("user_id", "event_id", F.when(c("event_type") == "error", "deleted").otherwise("updated").alias("change"), F.when(c("event_id") % 3 == 0, c("user_id") + 1).alias("merged_into"), (c("user_id") % 50).alias("natural"))
+    return X.resolve_deletes(page, "user_id", "event_id", "change", "merged_into", "natural")
 
 
-@R.query("stm4_trailing_replay", "select event_id, 4001 < (select min(event_id) from events) as fell_off from events where event_id > 4000 and event_id <= 5000 order by event_id limit 700")
+@R.query(
+    "stm4_trailing_replay",
+    """with recursive high as (select min(event_id) as low, max(event_id) as high from events),
+  p as (select 1 as pass, greatest(-1, (select high from high) - 10000) as floor
+    union all select pass + 1, greatest(-1, floor + 2000 - 1000) from p where floor + 2000 <= (select high from high))
+select p.pass, e.event_id, p.floor + 1 < (select low from high) as fell_off from p join events e on e.event_id > p.floor and e.event_id <= p.floor + 2000""",
+)
 def stm4(t):
-    return X.replay_window(t.events, "event_id", 5000, 1000, 700).select("event_id", "fell_off")
-
-
-@R.query("stm4_replay_passes")
-def stm4_all(t):
-    """Every pass from the high water's margin to the feed's end; stm4_trailing_replay is part of one."""
+    """Every pass of the trailing replay, from the margin before the high water to the feed's end."""
     return X.replay_passes(t.events, "event_id")
 
 
 @R.query("stm5_full_reconcile", "select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey, case when b.o_orderkey is null then 'insert' when a.o_orderkey is null then 'delete' when a.o_orderstatus is distinct from b.s then 'update' else 'keep' end as action from (select * from orders where o_orderkey % 5 > 0) a full outer join (select o_orderkey, case when o_orderkey % 7 > 0 then o_orderstatus end as s from orders where o_orderkey % 6 > 0) b on a.o_orderkey = b.o_orderkey")
 def stm5(t):
+    """All orders in pages behind a cursor that a broken run resumes at."""
     o = t.orders.select("o_orderkey", "o_orderstatus")
     existing = o.filter("o_orderkey % 6 > 0").withColumn("o_orderstatus", F.when(c("o_orderkey") % 7 > 0, c("o_orderstatus")))
-    return O.full_outer_actions(o.filter("o_orderkey % 5 > 0"), existing, ["o_orderkey"], ["o_orderstatus"])
+    return X.reconcile_in_pages(o.filter("o_orderkey % 5 > 0"), existing, "o_orderkey", ["o_orderstatus"], 100_000)
 
 
 @R.query("stm6_validator_withheld", f"select id, case when updated_at > created_at + interval 30 day then null else source_id end as validator from {_PERSONS}")
@@ -81,9 +89,12 @@ def stm7(t):
     return X.enqueue(outbox, t.orders.filter("o_orderstatus = 'O'"), ["o_custkey"])
 
 
-@R.query("stm8_drain", f"select id, case when status <> 'ok' and http_status is null then 'PENDING' when http_status between 200 and 299 then 'DELIVERED' when http_status between 400 and 499 then 'REJECTED' else 'PENDING' end as state from {_EVENTS}")
+@R.query("stm8_drain", f"with d as (select *, row_number() over (order by case status when 'error' then 0 else 1 end, fetched_at, id) as position from {_EVENTS} where fetched_at <= timestamp '2025-01-01') select id, position, ((position - 1) // 100)::bigint as chunk, case when http_status between 200 and 299 then 'DELIVERED' when http_status between 400 and 499 then 'REJECTED' else 'PENDING' end as state from d")
 def stm8(t):
-    return t.fetch_events.distinct().select("id", X.drained(lit("PENDING"), lit(1), c("http_status")).alias("state"))
+    """Fetches as an outbox: those due by 2025, failed ones first, in chunks of a hundred."""
+    e = t.fetch_events.select("id", "fetched_at", "status", "http_status").distinct()
+    outbox = e.select("id", lit("PENDING").alias("status"), c("fetched_at").alias("due_at"), F.when(c("status") == "error", 0).otherwise(1).alias("priority"), lit(0).alias("attempts"), "http_status")
+    return X.drain_outbox(outbox, lit("2025-01-01").cast("timestamp_ntz"), ["priority", "due_at", "id"], 100, "http_status")
 
 
 @R.query("stm9_dead_letter", "select o_orderkey, case when o_orderkey % 100 >= 60 then 'UNAVAILABLE' else 'PENDING' end as state from orders")
@@ -91,10 +102,15 @@ def stm9(t):
     return t.orders.select("o_orderkey", X.drained(lit("PENDING"), c("o_orderkey") % 100, lit(503)).alias("state"))
 
 
-@R.query("stm10_reject_replay", "with r as (select source_id, resource_id, content_hash, lag(content_hash) over (partition by source_id, resource_id order by fetched_at, id) as before, id from (select distinct * from fetch_events)) select id from r where content_hash = before")
+@R.query("stm10_reject_replay", "with l as (select user_id, arg_max(event_type, event_id) as kind, max(event_id) as id, floor(arg_max(value, event_id))::bigint % 3 as h from events where value is not null group by 1), r as (select user_id, floor(min(value))::bigint % 3 as h from events where value is not null group by 1) select r.user_id, coalesce(l.kind = 'error' and l.id % 2 = 0 and l.h = r.h, false) as suppressed from r left join l using (user_id)")
 def stm10(t):
-    before = F.lag("content_hash").over(W.partitionBy("source_id", "resource_id").orderBy("fetched_at", "id"))
-    return t.fetch_events.distinct().withColumn("before", before).filter("content_hash = before").select("id")
+    """Events as outbox entries (an error is a rejection, an even number an update): users whose present
+    payload is what their latest entry was refused for."""
+    e = t.events.filter("value is not null")
+    digest = lambda v: (F.floor(v) % 3).cast("string")
+    entries = e.select("user_id", "event_id", F.when(c("event_type") == "error", "REJECTED").otherwise("DELIVERED").alias("status"), F.when(c("event_id") % 2 == 0, "UPDATE").otherwise("CREATE").alias("op"), digest(c("value")).alias("payload_hash"))
+    rows = e.groupBy("user_id").agg(digest(F.min("value")).alias("payload_hash"))
+    return X.suppressed_replays(entries, rows, "user_id", "event_id")
 
 
 @R.query("stm11_fingerprint_drift", f"select id, gender is distinct from case when right(id, 1) < 'G' then gender end as drifted from {_PERSONS}")
@@ -114,10 +130,18 @@ def stm13(t):
     return t.fetch_events.distinct().filter("content_hash is not null").withColumn("old", before).filter("old <> content_hash").select("id", "old", c("content_hash").alias("new"))
 
 
-@R.query("stm14_redrive", "select o_orderkey, case when o_orderstatus = 'F' and o_orderdate < timestamp '1997-01-01' then 'PENDING' when o_orderstatus = 'P' then 'SUPERSEDED' else o_orderstatus end as status from orders")
+@R.query(
+    "stm14_redrive",
+    """with m as (select o_orderkey from orders where o_orderstatus = 'F' and o_orderpriority = '1-URGENT' and o_orderdate < timestamp '1997-01-01' order by o_orderdate, o_orderkey limit 500),
+  n as (select o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) as k from orders where o_orderstatus = 'P' group by 1)
+select o.o_orderkey as id, case when m.o_orderkey is not null then 'PENDING' when o_orderstatus = 'P' and o.o_orderkey <> n.k then 'SUPERSEDED' else case o_orderstatus when 'F' then 'UNAVAILABLE' when 'P' then 'PENDING' else 'DELIVERED' end end as status
+from orders o left join m on o.o_orderkey = m.o_orderkey left join n on o.o_custkey = n.o_custkey""",
+)
 def stm14(t):
-    status = F.when((c("o_orderstatus") == "F") & (c("o_orderdate") < lit("1997-01-01").cast("timestamp_ntz")), "PENDING").when(c("o_orderstatus") == "P", "SUPERSEDED").otherwise(c("o_orderstatus"))
-    return t.orders.select("o_orderkey", status.alias("status"))
+    """Orders as an outbox: the 500 oldest urgent unavailable ones of before 1997 are driven again."""
+    status = F.when(c("o_orderstatus") == "F", "UNAVAILABLE").when(c("o_orderstatus") == "P", "PENDING").otherwise("DELIVERED")
+    outbox = t.orders.select(c("o_orderkey").alias("id"), c("o_custkey").alias("key"), c("o_orderpriority").alias("kind"), c("o_orderdate").alias("at"), status.alias("status"))
+    return X.redrive(outbox, "1-URGENT", lit("1997-01-01").cast("timestamp_ntz"), 500)
 
 
 @R.query("stm15_subscriptions", "with d as (select distinct o_custkey as k from orders where o_custkey % 4 > 0), h as (select distinct o_custkey as k from orders where o_custkey % 5 > 0) select k, 'add' as action from d where k not in (select k from h) union all select k, 'prune' from h where k not in (select k from d) and (select count(*) from h where k not in (select k from d)) <= 0.9 * (select count(*) from h)")
@@ -128,13 +152,15 @@ def stm15(t):
     return desired.join(have, "k", "left_anti").withColumn("action", lit("add")).unionByName(prune.withColumn("action", lit("prune")))
 
 
-@R.query("stm16_cycle", "select user_id, count(*) as cycles, min(least(60 * power(2, n - 1), 3600))::bigint as first_wait, max(least(60 * power(2, n - 1), 3600))::bigint as longest from (select user_id, row_number() over (partition by user_id order by event_id) as n from events where event_type = 'error') group by 1")
+@R.query("stm16_cycle", "select 'read' as step, 'ok' as state, (select count(*) from events) as result, 60 as wait union all select 'apply', 'failed', null, 60 union all select 'drain', 'ok', (select count(*) from orders where o_orderstatus = 'P'), 60")
 def stm16(t):
-    from gavelspark.functions.dates import backoff_seconds
+    """A cycle of three steps; the second fails and stops neither of the others."""
+
+    def broken() -> int:
+        raise RuntimeError("apply failed, as asked")
 
-    n = F.row_number().over(W.partitionBy("user_id").orderBy("event_id"))
-    waits = t.events.filter("event_type = 'error'").withColumn("n", n).withColumn("w", backoff_seconds(c("n")))
-    return waits.groupBy("user_id").agg(F.count("*").alias("cycles"), F.min("w").alias("first_wait"), F.max("w").alias("longest"))
+    rows, _, wait = X.run_cycle([("read", lambda: t.events.count()), ("apply", broken), ("drain", lambda: t.orders.filter("o_orderstatus = 'P'").count())])
+    return t.spark.createDataFrame([(*r, wait) for r in rows], "step string, state string, result bigint, wait int")
 
 
 @R.query("stm17_rise_alert", "select d, n, n > lag(n) over (order by d) as rose from (select ts::date as d, count(*) filter (event_type = 'error') as n from events group by 1)")
@@ -144,32 +170,37 @@ def stm17(t):
     return daily.withColumn("rose", c("n") > F.lag("n").over(W.orderBy("d")))
 
 
-@R.query("stm18_job_ledger", "select user_id, arg_max(event_type, (ts, event_id)) as outcome, count(*) as runs from events group by 1")
+@R.query("stm18_job_ledger", f"select id as run_id, case when role = 'primary' and withdrawn_at is null and sponsor_order = 1 then 'shot' when withdrawn_at is not null then 'done' when created_at < timestamp '2023-01-01' then 'lost' else 'running' end as outcome, case when withdrawn_at is not null then date_diff('second', date_trunc('second', created_at), date_trunc('second', withdrawn_at)) end as seconds from {_BILLS}")
 def stm18(t):
-    return t.events.groupBy("user_id").agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("outcome"), F.count("*").alias("runs"))
+    """Sponsorships as runs: opened when created, closed when withdrawn; a lone first sponsor is a run of one entry."""
+    b = t.bill_sponsorships.select("id", "role", "sponsor_order", "created_at", "withdrawn_at").distinct()
+    shot = F.coalesce((c("role") == "primary") & c("withdrawn_at").isNull() & (c("sponsor_order") == 1), lit(False))
+    entry = lambda rows, kind, at, outcome: rows.select(c("id").alias("run_id"), lit(kind).alias("entry"), c(at).alias("at"), lit(outcome).alias("outcome"))
+    ledger = entry(b.filter(~shot), "open", "created_at", None).unionByName(entry(b.filter("withdrawn_at is not null"), "close", "withdrawn_at", "done")).unionByName(entry(b.filter(shot), "shot", "created_at", "shot"))
+    return X.run_states(ledger, lit("2023-01-01").cast("timestamp_ntz"))
 
 
-@R.query("stm19_stream_intervals")
+@R.query("stm19_stream_intervals", f"select entity_id as entity, kind, from_date, to_date from ({_P1}) where table_name = 'legislative_sessions'")
 def stm19(t):
-    """Sessions streamed through the keyed interval map; the last state of each assembly."""
-    import uuid
+    """The sittings of p1 streamed through the keyed interval map, two files a batch; the last state of
+    each assembly."""
+    from gavelspark.plans.problems import sittings
+    from gavelspark.session import shared_path
+    from gavelspark.streaming.intervals import day_text, stream_periods
 
-    from gavelspark.session import shared_dir
-    from gavelspark.streaming.intervals import stream_periods
-
-    base = f"{shared_dir(t.spark)}/intervals-{uuid.uuid4().hex}"
-    rows = t.spark.readStream.schema(t.legislative_sessions.schema).parquet(f"{t.dir}/legislative_sessions.parque[t]").filter("start_date is not null and end_date >= start_date")
-    periods = stream_periods(rows.select("organization_id", "start_date", F.date_add("end_date", 1).alias("until")), "organization_id", "start_date", "until")
+    base = shared_path(t.spark, "intervals")
+    sittings(t.legislative_sessions).repartition(6).write.parquet(f"{base}/in")
+    rows = t.spark.readStream.schema("organization_id string, `from` date, `to` date").option("maxFilesPerTrigger", 2).parquet(f"{base}/in")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", lit(number)).write.mode("overwrite").parquet(f"{base}/rows/n={number}")
 
-    query = periods.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{base}/offsets").start()
-    query.processAllAvailable()
-    query.stop()
-    out = t.spark.read.parquet(f"{base}/rows")
+    query = stream_periods(rows, "organization_id", "from", "to").writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{base}/offsets").trigger(availableNow=True).start()
+    query.awaitTermination()
+    out = t.spark.read.schema("entity string, kind string, lo int, hi int, batch int").parquet(f"{base}/rows/*")
     last = out.groupBy("entity").agg(F.max("batch").alias("batch"))
-    return out.join(last, ["entity", "batch"]).select("entity", "kind", F.date_add(lit("1970-01-01").cast("date"), c("lo")).alias("lo"), F.date_add(lit("1970-01-01").cast("date"), c("hi")).alias("hi"))
+    # Days of sittings are inclusive: the last one is one before the half-open end.
+    return out.join(last, ["entity", "batch"]).select("entity", "kind", day_text("lo").alias("from_date"), day_text("hi", -1).alias("to_date"))
 
 
 # Extension surface -------------------------------------------------------------------------------------
@@ -202,23 +233,38 @@ class Adapter:
         return df
 
 
-def run_job(handler: Callable[[], DataFrame], write: Callable[[DataFrame], None], dry_run: bool = False) -> int:
-    """Exit code of a job: 0 done, 1 failed, 4 dry run (computed, not written)."""
+def run_job(handler: Callable[..., DataFrame], publish: Callable[[DataFrame], None], args: dict | None = None, known: tuple[str, ...] = (), dry_run: bool = False) -> int:
+    """Exit code of a job: 0 done, 1 failed, 2 called with unknown arguments (nothing is run), 4 dry run.
+
+    The result is written to the shared folder before it is published, so a failure leaves
+    nothing half done: the staged table is dropped and the target untouched.  A failure is logged."""
+    if unknown := sorted(set(args or {}) - set(known)):
+        log.error("unknown arguments: %s", unknown)
+        return 2
     try:
-        df = handler()
+        staged = stored(handler(**(args or {})))
         if dry_run:
-            df.count()
             return 4
-        write(df)
+        publish(staged)
         return 0
     except Exception:  # noqa: BLE001 - a job's failure is its exit code
+        log.exception("job failed")
         return 1
 
 
-@R.query("udx1_job_harness", f"select count(*) as n, 4 as code from {_PERSONS}")
+@R.query("udx1_job_harness", "select * from (values ('done', 0, 5), ('dry', 4, 5), ('failed', 1, 5), ('usage', 2, 5)) v(run, code, published)")
 def udx1(t):
-    code = run_job(lambda: persons(t), lambda df: None, dry_run=True)
-    return persons(t).agg(F.count("*").alias("n")).withColumn("code", lit(code))
+    """Four runs of one job: its exit codes, and what is published after each (only the first's rows)."""
+    target: list[int] = []
+    regions = lambda least=0: t.region.filter(c("r_regionkey") >= least)
+
+    def broken() -> DataFrame:
+        return t.region.withColumn("x", F.raise_error(lit("failed, as asked")).cast("string"))
+
+    publish = lambda df: target.append(df.count())
+    runs = [("done", regions, {"least": 0}, False), ("dry", regions, {}, True), ("failed", broken, {}, False), ("usage", regions, {"lest": 1}, False)]
+    rows = [(name, run_job(job, publish, args, ("least",), dry), sum(target)) for name, job, args, dry in runs]
+    return t.spark.createDataFrame(rows, "run string, code int, published int")
 
 
 @R.query("udx2_adapter", "select distinct resource_id, split_part(resource_id, ':', 2) as biennium from fetch_events where resource_id like 'sponsors%'")

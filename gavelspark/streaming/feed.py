@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
+import logging
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gavelspark.session import shared_dir
+from gavelspark.session import shared_path
 
 
 def drain_source(spark: SparkSession, **options: str) -> DataFrame:
@@ -17,7 +18,7 @@ def drain_source(spark: SparkSession, **options: str) -> DataFrame:
     from gavelspark.sources.remote import ChangeFeed
 
     spark.dataSource.register(ChangeFeed)
-    base = f"{shared_dir(spark)}/feed-{uuid.uuid4().hex}"
+    base = shared_path(spark, "feed")
     feed = spark.readStream.format("change_feed").options(**options).load()
     query = feed.writeStream.format("parquet").option("path", f"{base}/rows").option("checkpointLocation", f"{base}/offsets").start()
     query.processAllAvailable()
@@ -49,6 +50,104 @@ def apply_page(page: DataFrame, key: str, seq: str, change: str) -> DataFrame:
     return kept.groupBy(key).agg(F.max(F.struct(seq, change)).alias("_v")).select(key, f"_v.{seq}", f"_v.{change}")
 
 
+def resolve_deletes(page: DataFrame, key: str, seq: str, change: str, merged_into: str, natural: str) -> DataFrame:
+    """key, seq, outcome, target: what one pass over a page does to each key, in sequence order.
+
+    The first deletion of a key ends it for the pass, later items are skipped.  A deletion
+    that names a successor is a merge; else the key is matched again by its ``natural`` key,
+    if exactly one other live key of the page has it; else it is a tombstone.  A key
+    without a deletion is updated.  Aggregates only, so a hot key is no task's burden."""
+    own = page.groupBy(key).agg(F.min(F.when(F.col(change) == "deleted", F.struct(seq, merged_into))).alias("_d"), F.max(F.struct(seq, natural)).alias("_last"))
+    told = own.withColumn("_n", F.col(f"_last.{natural}"))
+    live = told.filter("_d is null").groupBy("_n").agg(F.count("*").alias("_live"), F.min(key).alias("_other"))
+    joined = told.join(live, "_n", "left")
+    dead, target = F.col("_d").isNotNull(), F.col(f"_d.{merged_into}")
+    again = F.col("_live") == 1
+    outcome = F.when(~dead, "updated").when(target.isNotNull(), "merged").when(again, "rematched").otherwise("tombstoned")
+    return joined.select(key, F.coalesce(F.col(f"_d.{seq}"), F.col(f"_last.{seq}")).alias(seq), outcome.alias("outcome"), F.when(dead, F.coalesce(target, F.when(again, F.col("_other")))).alias("target"))
+
+
+def reconcile_in_pages(desired: DataFrame, existing: DataFrame, key: str, values: list[str], limit: int, base: str | None = None) -> DataFrame:
+    """key, action of a full reconcile that goes through the keys of both sides in pages of
+    ``limit`` behind a cursor.  A page and the cursor after it are one write, so a run that broke
+    off goes on with the page it was at, given the same ``base``; null keys are in no page."""
+    from gavelspark.operators.relational import full_outer_actions
+
+    spark = desired.sparkSession
+    base = base or shared_path(spark, "reconcile")
+    keys = desired.select(key).unionByName(existing.select(key)).filter(F.col(key).isNotNull()).distinct()
+    schema = f"`{key}` {keys.schema[key].dataType.simpleString()}, action string, _next {keys.schema[key].dataType.simpleString()}"
+    try:
+        after = spark.read.schema(schema).parquet(f"{base}/after=*").agg(F.max("_next")).first()[0]
+    except AnalysisException as e:  # no page was done yet
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        after = None
+    while True:
+        rest = keys if after is None else keys.filter(F.col(key) > after)
+        upto = rest.orderBy(key).limit(limit).agg(F.max(key)).first()[0]
+        if upto is None:
+            break
+        within = F.col(key) <= upto if after is None else (F.col(key) > after) & (F.col(key) <= upto)
+        actions = full_outer_actions(desired.filter(within), existing.filter(within), [key], values)
+        actions.withColumn("_next", F.lit(upto).cast(keys.schema[key].dataType)).write.mode("overwrite").parquet(f"{base}/after={'' if after is None else after}")
+        after = upto
+    return keys.withColumn("action", F.lit("")).limit(0) if after is None else spark.read.schema(schema).parquet(f"{base}/after=*").drop("_next")
+
+
+def drain_outbox(outbox: DataFrame, now: Column, order: list[str], chunk: int, answer: str, most: int = 60) -> DataFrame:
+    """id, position, chunk, state: the due pending entries (due_at up to ``now``) in priority order,
+    committed in chunks, each with the state its answer gives it; others are not touched."""
+    from gavelspark.operators.paging import global_rank
+
+    due = outbox.filter((F.col("status") == "PENDING") & (F.col("due_at") <= now))
+    ranked = global_rank(due, order, "position")
+    state = drained(F.col("status"), F.col("attempts") + 1, F.col(answer), most)
+    return ranked.select("id", "position", F.floor((F.col("position") - 1) / chunk).alias("chunk"), state.alias("state"))
+
+
+def suppressed_replays(entries: DataFrame, rows: DataFrame, key: str, order: str) -> DataFrame:
+    """key, suppressed: whether to enqueue a row's update again would repeat exactly what was just
+    refused: the key's latest entry is a rejected update with the row's present payload hash.
+    A null hash proves nothing.  The latest entry is an aggregate, not a sort."""
+    latest = entries.groupBy(key).agg(F.max(F.struct(order, "status", "op", "payload_hash")).alias("_e"))
+    same = (F.col("_e.status") == "REJECTED") & (F.col("_e.op") == "UPDATE") & (F.col("_e.payload_hash") == F.col("payload_hash"))
+    return rows.join(latest, key, "left").select(key, F.coalesce(same, F.lit(False)).alias("suppressed"))
+
+
+def redrive(outbox: DataFrame, kind: str, older_than: Column, limit: int) -> DataFrame:
+    """id, status: of one kind's unavailable entries that are older, the ``limit`` oldest are pending
+    again; of several pending entries of a key all but the newest are superseded."""
+    moved = outbox.filter((F.col("status") == "UNAVAILABLE") & (F.col("kind") == kind) & (F.col("at") < older_than)).orderBy("at", "id").limit(limit).select("id", F.lit(True).alias("_moved"))
+    newest = outbox.filter("status = 'PENDING'").groupBy("key").agg(F.max(F.struct("at", "id")).alias("_n")).select("key", F.col("_n.id").alias("_newest"))
+    joined = outbox.join(moved, "id", "left").join(newest, "key", "left")
+    old = (F.col("status") == "PENDING") & (F.col("id") != F.col("_newest"))
+    return joined.select("id", F.when(F.col("_moved"), "PENDING").when(old, "SUPERSEDED").otherwise(F.col("status")).alias("status"))
+
+
+def run_cycle(steps: list[tuple[str, Callable[[], int]]], streak: int = 0) -> tuple[list[tuple[str, str, int | None]], int, int]:
+    """Ordered steps, each on its own: (step, ok or failed, result) rows, the streak of failed cycles
+    and the seconds to wait, which double from 60 to 3,600.  A failed step stops no other."""
+    rows: list[tuple[str, str, int | None]] = []
+    for name, step in steps:
+        try:
+            rows.append((name, "ok", step()))
+        except Exception:  # noqa: BLE001 - isolated, logged and counted
+            logging.getLogger(__name__).exception("step %s", name)
+            rows.append((name, "failed", None))
+    streak = streak + 1 if any(r[1] == "failed" for r in rows) else 0
+    return rows, streak, min(60 * 2 ** (streak - 1), 3600) if streak else 60
+
+
+def run_states(ledger: DataFrame, stale_before: Column) -> DataFrame:
+    """run_id, outcome, seconds of an append-only ledger (run_id, entry {open, close, shot}, at,
+    outcome): a closed or one-shot run has the outcome of its last closing entry, an open one is
+    running, or lost if it was opened before ``stale_before``."""
+    own = ledger.groupBy("run_id").agg(F.min(F.when(F.col("entry") == "open", F.col("at"))).alias("_o"), F.max(F.when(F.col("entry") != "open", F.struct("at", "outcome"))).alias("_c"))
+    outcome = F.when(F.col("_c").isNotNull(), F.col("_c.outcome")).when(F.col("_o") < stale_before, "lost").otherwise("running")
+    return own.select("run_id", outcome.alias("outcome"), F.timestamp_diff("SECOND", F.date_trunc("second", "_o"), F.date_trunc("second", "_c.at")).alias("seconds"))
+
+
 def drain_feed(feed: DataFrame, key: str, seq: str, limit: int = 10_000, base: str | None = None) -> DataFrame:
     """The last sequence number of each key after the whole feed was applied: batches of
     ``limit`` numbers (repeats of the last included) are read after the cursor and
@@ -58,7 +157,7 @@ def drain_feed(feed: DataFrame, key: str, seq: str, limit: int = 10_000, base: s
     read again and one that was applied isn't; a later call with the same ``base`` goes
     on from there.  Rows without a sequence number are in no feed."""
     spark = feed.sparkSession
-    base = base or f"{shared_dir(spark)}/feed-{uuid.uuid4().hex}"
+    base = base or shared_path(spark, "feed")
     schema = feed.select(key, F.col(seq).alias(seq), F.col(seq).alias("_next")).schema
     marks = spark.createDataFrame([], schema)
     try:

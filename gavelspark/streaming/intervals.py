@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gavelspark.operators.intervals import FOREVER, NEVER, DisjointIntervals
@@ -31,3 +31,9 @@ def stream_periods(intervals: DataFrame, entity: str, start: str, end: str) -> D
     day = lambda name, otherwise: F.coalesce(F.datediff(F.col(name), F.lit("1970-01-01").cast("date")), F.lit(otherwise))
     days = intervals.select(F.col(entity).cast("string").alias("entity"), day(start, NEVER).alias("lo"), day(end, FOREVER).alias("hi"))
     return days.groupBy("entity").applyInPandasWithState(_update, OUTPUT, STATE, "update", "NoTimeout")
+
+
+def day_text(number: str, shift: int = 0) -> Column:
+    """ISO date of a day number, moved by ``shift`` days; '' for one without bound."""
+    bounded = (F.col(number) > NEVER) & (F.col(number) < FOREVER)
+    return F.when(bounded, F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.col(number) + shift), "yyyy-MM-dd")).otherwise("")

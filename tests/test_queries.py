@@ -2,6 +2,7 @@
 
 import datetime
 import decimal
+import importlib
 import math
 import os
 from collections import Counter
@@ -45,7 +46,10 @@ def rows(frame):
     return Counter(repr(tuple(plain(v) for v in r)) for r in frame[sorted(frame.columns)].itertuples(index=False, name=None))
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+CORE = sorted(n for m in entry.MODULES for n in importlib.import_module(m).QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if n in CORE))
 def test_equals_reference_sql(spark, duck, name):
     mine = entry.queries()[name](spark, DATA).toPandas()
     theirs = duck.execute(entry.oracle_sql()[name]).df()
@@ -53,9 +57,11 @@ def test_equals_reference_sql(spark, duck, name):
     assert rows(mine) == rows(theirs)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if n not in entry.oracle_sql() and "llm" not in getattr(entry.queries()[n], "__module__", "")))
+@pytest.mark.parametrize("name", [n for n in CORE if n not in entry.oracle_sql()])
 def test_runs(spark, name):
-    assert entry.queries()[name](spark, DATA).columns
+    """What SQL cannot say runs to its end; its operators are tested against brute force elsewhere."""
+    df = entry.queries()[name](spark, DATA)
+    assert df.columns and df.count() >= 0
 
 
 def test_entry(spark):
