@@ -1,9 +1,9 @@
 """The corpus queries against their reference SQL on the small test tables."""
 
-import math
 import os
 from collections import Counter
 
+import pandas as pd
 import pytest
 
 from gavelspark.llm import queries as Q
@@ -13,7 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables"
 
 
 def plain(v):
-    return None if v is None or (isinstance(v, float) and math.isnan(v)) else round(float(v), 6)
+    return None if pd.isna(v) else round(float(v), 6)
 
 
 @pytest.mark.parametrize("name", sorted(Q.ORACLE))
