@@ -124,6 +124,10 @@ def merge_all(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+#: Tokens after which an Arrow batch is cut.
+MOST_TOKENS = 2**26
+
+
 class Encoder(dict):
     """Pre-token text to its ids; encodes what it has not seen."""
 
@@ -164,11 +168,17 @@ def encode_batches(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.
     own = encoder(path)
     for batch in batches:
         get, split = own.__getitem__, own.split
-        parts = [np.fromiter(chain.from_iterable(map(get, split(t))), dtype=np.int32) if t else np.empty(0, np.int32) for t in batch.column(1).to_pylist()]
-        offsets = np.zeros(len(parts) + 1, np.int32)
-        np.cumsum([len(p) for p in parts], out=offsets[1:])
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.empty(0, np.int32)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[batch.schema.names[0], "ids"])
+        texts, first, held, parts = batch.column(1).to_pylist(), 0, 0, []
+        for row, t in enumerate(texts):
+            parts.append(np.fromiter(chain.from_iterable(map(get, split(t))), dtype=np.int32) if t else np.empty(0, np.int32))
+            held += len(parts[-1])
+            # A batch's offsets are of 32 bits, so one with very many tokens is cut between rows.
+            if held >= MOST_TOKENS or row + 1 == len(texts):
+                offsets = np.zeros(len(parts) + 1, np.int32)
+                np.cumsum([len(p) for p in parts], out=offsets[1:])
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(parts)), ids], names=[batch.schema.names[0], "ids"])
+                first, held, parts = row + 1, 0, []
 
 
 def encode_corpus(documents: DataFrame, key: str, text: str, vocabulary: str | None = None) -> DataFrame:

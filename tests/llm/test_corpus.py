@@ -59,6 +59,17 @@ def test_corpus_equals_public_encoder(spark):
     assert T.encode_corpus(df.limit(0), "doc_id", "text").count() == 0
 
 
+@needs_vocabulary
+def test_batches_with_many_tokens_are_cut(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(T, "MOST_TOKENS", 3)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["one two three four", None, "a", "", "b c d", "e"])], names=["k", "text"])
+    cut = list(T.encode_batches([batch, batch.slice(0, 0)], VOCABULARY))
+    assert [b.column(0).to_pylist() for b in cut] == [[0], [1, 2, 3, 4], [5]]
+    assert [len(x) for b in cut for x in b.column(1).to_pylist()] == [4, 0, 1, 0, 3, 1]
+
+
 PASSAGE = "No lenient viaduct copied no stern steward over 22 objections while one weary narrator audited old Drini Crossing"
 
 
