@@ -43,26 +43,42 @@ def byte_budget(df: DataFrame, key: str, size: str, budget: int) -> DataFrame:
     return _running(df, [key], F.col(size).cast("bigint"), "_t").filter(F.col("_t") - F.col("_a") < budget).drop("_t", "_a")
 
 
-def grouped_lines(words: DataFrame, page: str, top: str, x: str, tolerance: float) -> DataFrame:
-    """page, line, words: a line begins where a word is lower than the line's first word by
-    more than the tolerance.  Streams sorted rows, so a page of any size needs no memory."""
+def grouped_lines(words: DataFrame, page: str, top: str, x: str, tolerance: float, text: str | None = None) -> DataFrame:
+    """page, line, words and, if asked for, the line's ``text`` (its words from left to right): a
+    line begins where a word is lower than the line's first word by more than the
+    tolerance.  Streams sorted rows, so a page of any size needs no more memory than a line."""
     kind = words.schema[page].dataType.simpleString()
+    columns = [page, "line", "words", *(["text"] if text else [])]
 
     def lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, first, line, count = None, 0.0, 0, 0
+        own, first, line, held = None, 0.0, 0, []
         out: list[tuple] = []
+
+        def ended() -> tuple:
+            said = [str(w) for _, w in sorted(held, key=lambda h: h[0]) if w is not None]
+            return (own, line, len(held), " ".join(said))[: len(columns)]
+
         for frame in frames:
-            for p, y in zip(frame[page], frame[top]):
+            for p, y, at, w in zip(frame.iloc[:, 0], frame.iloc[:, 1], frame.iloc[:, 2], frame.iloc[:, -1]):
                 if own is None or p != own or y - first > tolerance:
                     if own is not None:
-                        out.append((own, line, count))
+                        out.append(ended())
                     line = line + 1 if p == own else 1
-                    own, first, count = p, y, 0
-                count += 1
+                    own, first, held = p, y, []
+                held.append((at, w))
             if out:
-                yield pd.DataFrame(out, columns=[page, "line", "words"])
+                yield pd.DataFrame(out, columns=columns)
                 out = []
         if own is not None:
-            yield pd.DataFrame([(own, line, count)], columns=[page, "line", "words"])
+            yield pd.DataFrame([ended()], columns=columns)
+
+    chosen = words.select(F.col(page), F.col(top), F.col(x), F.col(text or x).alias("_text"))
+    ordered = chosen.repartition(page).sortWithinPartitions(page, top, x)
+    return ordered.mapInPandas(lines, f"`{page}` {kind}, line int, words int" + (", text string" if text else ""))
+
 
-    return words.select(page, top, x).repartition(page).sortWithinPartitions(page, top, x).mapInPandas(lines, f"`{page}` {kind}, line int, words int")
+def paged_scan(df: DataFrame, key: str, size: int) -> DataFrame:
+    """page, rows, first, last: a scan of a table in key order in pages of ``size``."""
+    ranked = global_rank(df.select(key), [key], "_n")
+    page = F.floor((F.col("_n") - 1) / size).alias("page")
+    return ranked.groupBy(page).agg(F.count("*").alias("rows"), F.min(key).alias("first"), F.max(key).alias("last"))

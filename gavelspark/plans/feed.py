@@ -294,7 +294,8 @@ def udx4(t):
 @R.query("udx5_descriptor", "select a.id, a.name_full is not distinct from b.name_full and a.gender is not distinct from b.gender as unchanged from (select * from persons qualify row_number() over (partition by id order by updated_at desc) = 1) a join (select * from persons qualify row_number() over (partition by id order by updated_at) = 1) b on a.id = b.id")
 def udx5(t):
     d = Descriptor("person", ("id",), "updated_at", ("name_full", "gender"))
-    old = O.first_per_key(t.persons, list(d.keys), c(d.clock)).select(*d.keys, *[c(x).alias(f"{x}_other") for x in d.compared])
+    oldest = t.persons.groupBy(*d.keys).agg(F.min(F.struct(d.clock, *d.compared)).alias("_o"))
+    old = oldest.select(*d.keys, *[c(f"_o.{x}").alias(f"{x}_other") for x in d.compared])
     return persons(t).join(old, list(d.keys)).select("id", d.unchanged().alias("unchanged"))
 
 
@@ -304,4 +305,27 @@ def udx6(t):
     return t.event_proposals.select("record_id", problems.alias("problems")).distinct()
 
 
+_SUPERSEDED = "(select distinct record_id, assembly, member_name, kind, seat_kind, lag(kind) over w as old_kind, lag(seat_kind) over w as old_seat, lag(record_id) over w as old from (select distinct record_id, assembly, member_name, kind, seat_kind, effective_date from event_proposals) window w as (partition by assembly, member_name order by effective_date, record_id))"
+
+
+@R.query("udx6_supersede_rules", f"select record_id, old, concat_ws(',', case when kind <> old_kind then 'kind' end, case when seat_kind is distinct from old_seat then 'seat' end) as problems from {_SUPERSEDED} where old is not null")
+def udx6_supersedes(t):
+    """A record that supersedes the member's last one must keep its kind and seat; what it changes is named."""
+    w = W.partitionBy("assembly", "member_name").orderBy("effective_date", "record_id")
+    rows = t.event_proposals.select("record_id", "assembly", "member_name", "kind", "seat_kind", "effective_date").distinct()
+    old = rows.select("record_id", "kind", "seat_kind", F.lag("record_id").over(w).alias("old"), F.lag("kind").over(w).alias("old_kind"), F.lag("seat_kind").over(w).alias("old_seat")).filter("old is not null")
+    return old.select("record_id", "old", F.concat_ws(",", F.when(c("kind") != c("old_kind"), "kind"), F.when(~c("seat_kind").eqNullSafe(c("old_seat")), "seat")).alias("problems"))
+
+
+@R.query("udx6_ends", "select distinct source_id, boundary_biennium, case when nullif(trim(former_name), '') is null or nullif(trim(legal_name), '') is null then 'end_missing' when regexp_replace(strip_accents(lower(replace(former_name, '&', 'and'))), '[^a-z0-9]', '', 'g') = regexp_replace(strip_accents(lower(replace(legal_name, '&', 'and'))), '[^a-z0-9]', '', 'g') then 'ends_equal' end as problem from rename_transitions")
+def udx6_ends(t):
+    """Both ends of a succession must be there and differ in more than typing."""
+    from gavelspark.functions.folding import alnum_key
+    from gavelspark.functions.strings import clean
+
+    missing = clean(c("former_name")).isNull() | clean(c("legal_name")).isNull()
+    problem = F.when(missing, "end_missing").when(alnum_key(c("former_name")) == alnum_key(c("legal_name")), "ends_equal")
+    return t.rename_transitions.select("source_id", "boundary_biennium", problem.alias("problem")).distinct()
+
+
 QUERIES, ORACLE = R.queries, R.oracle

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gavelspark.functions.folding import alnum_key
 from gavelspark.operators import relational as O
-from gavelspark.operators.paging import byte_budget, grouped_lines, page_after
+from gavelspark.operators.paging import byte_budget, grouped_lines, page_after, paged_scan
 from gavelspark.plans.registry import Registry
 from gavelspark.plans.relational import _BILLS, _CITES, _EVENTS, _HOUSE, _PERSONS, _PROPOSALS, persons
 
@@ -91,22 +91,40 @@ def win10(t):
 
 @R.query("win11_line_grouping")
 def win11(t):
-    """Words to lines by a tolerance anchored on the first word of a line."""
-    words = t.lineitem.select(c("l_orderkey").alias("page"), c("l_linenumber").alias("x"), (c("l_quantity") % 20).alias("top"))
-    return grouped_lines(words, "page", "top", "x", 3.0)
+    """Words to lines by a tolerance anchored on the first word of a line; tested against a plain loop."""
+    words = t.lineitem.select(c("l_orderkey").alias("page"), c("l_linenumber").alias("x"), (c("l_quantity") % 20).alias("top"), c("l_returnflag").alias("word"))
+    return grouped_lines(words, "page", "top", "x", 3.0, "word")
 
 
-@R.query("win12_carry_forward", "select event_id, last_value(case when event_type = 'signup' then event_id end ignore nulls) over (partition by user_id order by ts, event_id) as carried, row_number() over (partition by user_id order by ts, event_id) as n from events")
+@R.query("win12_carry_forward", "select mention_id, last_value(district ignore nulls) over w as district, last_value(chamber ignore nulls) over w as chamber, last_value(session_year ignore nulls) over w as session_year from (select distinct * from deferred_annotations) window w as (partition by source order by page_number, mention_id rows between unbounded preceding and current row)")
 def win12(t):
-    w = W.partitionBy("user_id").orderBy("ts", "event_id")
-    return t.events.select("event_id", F.last(F.when(c("event_type") == "signup", c("event_id")), ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("carried"), F.row_number().over(w).alias("n"))
+    """District, chamber and year of a listing stand until the next ones are printed, across rows and pages."""
+    so_far = W.partitionBy("source").orderBy("page_number", "mention_id").rowsBetween(W.unboundedPreceding, 0)
+    rows = t.deferred_annotations.select("source", "mention_id", "page_number", "district", "chamber", "session_year", "member_name", "reason", "evidence").distinct()
+    return rows.select("mention_id", *[F.last(x, ignorenulls=True).over(so_far).alias(x) for x in ("district", "chamber", "session_year")])
 
 
-@R.query("win13_backchain", f"select distinct s.assembly, s.ld, s.last - 2 * h.range as year from {_SPANS} s, range(1, 5) h where s.last - 2 * h.range >= s.first")
+_LISTED = f"(select distinct assembly, array_to_string(list_sort(name_keys), ' ') as member, ld, election_year as y, max(qualifier) as seed from {_HOUSE} where name_keys is not null group by 1, 2, 3, 4)"
+
+
+@R.query(
+    "win13_backchain",
+    f"""with a as (select *, lag(ld) over m as before, lag(y) over m as earlier from {_LISTED} window m as (partition by assembly, member order by y, ld)),
+  r as (select *, sum(case when before = ld and y - earlier <= 4 and not (y >= 2002 and earlier < 2002) and not (y >= 2012 and earlier < 2012) then 0 else 1 end) over (partition by assembly, member order by y, ld) as run from a)
+select assembly, member, ld, y, coalesce(seed, first_value(seed ignore nulls) over b) as qualifier, seed is null and first_value(seed ignore nulls) over b is not null as carried from r window b as (partition by assembly, member, run order by y, ld rows between current row and unbounded following)""",
+)
 def win13(t):
-    """At most four hops back while the seat's run lasts: hops are a bounded sequence, not a loop of joins."""
-    hops = F.explode(F.sequence(lit(1), lit(4)))
-    return spans(t).select("assembly", "ld", "first", "last", hops.alias("h")).filter("last - 2 * h >= first").select("assembly", "ld", (c("last") - 2 * c("h")).alias("year")).distinct()
+    """A known position is carried back to the member's earlier listings, hop by hop, until the district
+    changes, more than one election is skipped, or districts were redrawn (2002, 2012)."""
+    listed = t.house_positions.filter("name_keys is not null").groupBy("assembly", F.array_join(F.array_sort("name_keys"), " ").alias("member"), "ld", c("election_year").alias("y")).agg(F.max("qualifier").alias("seed"))
+    by = W.partitionBy("assembly", "member").orderBy("y", "ld")
+    era = lambda y: (y >= 2002).cast("int") + (y >= 2012).cast("int")
+    before, earlier = F.lag("ld").over(by), F.lag("y").over(by)
+    linked = F.coalesce((before == c("ld")) & (c("y") - earlier <= 4) & (era(earlier) == era(c("y"))), lit(False))
+    runs = listed.withColumn("fresh", F.when(linked, 0).otherwise(1)).withColumn("run", F.sum("fresh").over(by))
+    after = F.first("seed", ignorenulls=True).over(W.partitionBy("assembly", "member", "run").orderBy("y", "ld").rowsBetween(0, W.unboundedFollowing))
+    told = runs.withColumn("qualifier", after)
+    return told.select("assembly", "member", "ld", "y", "qualifier", (c("seed").isNull() & c("qualifier").isNotNull()).alias("carried"))
 
 
 # Orders and limits ---------------------------------------------------------------------------------------
@@ -156,9 +174,10 @@ def sort7(t):
     return a.join(b, keys).filter("a < b").select("a", "b", F.abs(c("pa") - c("pb")).alias("s")).orderBy(c("s").desc(), "a", "b").limit(40)
 
 
-@R.query("sort8_single_scan", "select count(distinct id) as n from citations")
+@R.query("sort8_batch_scan", "with n as (select id, row_number() over (order by id) - 1 as k from (select distinct id from citations)) select (k // 5000)::bigint as page, count(*) as rows, min(id) as first, max(id) as last from n group by 1")
 def sort8(t):
-    return t.citations.agg(F.count_distinct("id").alias("n"))
+    """All citations by primary key, five thousand a page."""
+    return paged_scan(t.citations.select("id").distinct(), "id", 5_000)
 
 
 @R.query("sort9_byte_budget", "select doc_id from (select doc_id, sum(coalesce(strlen(text), 0)) over (order by doc_id rows between unbounded preceding and 1 preceding) as before from documents) where coalesce(before, 0) < 100000")

@@ -10,6 +10,7 @@ from gavelspark.functions import strings as S
 from gavelspark.operators import identity as I
 from gavelspark.operators import relational as O
 from gavelspark.operators import temporal as T
+from gavelspark.operators.history import attribute_hash
 from gavelspark.plans.registry import Registry
 from gavelspark.plans.relational import _CITES, _EVENTS, _HOUSE, _MATCHES, _PERSONS, _PROPOSALS, _STOPPED, _SURNAMED, _WINNERS, persons, surnamed
 from gavelspark.session import stored
@@ -77,10 +78,20 @@ def tmp5(t):
     return T.retire(anchored, observations(t).filter("year >= 2015"), ["member"], "anchored").select("member", "discriminator", "valid_from", "outcome")
 
 
-@R.query("tmp6_span_emit", f"select s.member || ':house:' || s.discriminator || ':' || year(s.valid_from) as source_id, p.k is not null as resolved from {_TENURES} s left join (select distinct assembly || '/' || ld as k from house_positions where qualifier is not null) p on s.member = p.k")
+_EARLIER = f"(select member, discriminator, make_date(min(year), 1, 1) as valid_from, case when max(year) < {CURRENT} then make_date(max(year) + 1, 12, 31) end as valid_to from (select *, year - 2 * row_number() over (partition by member, discriminator order by year) as i from {_OBS} where year < 2015) group by member, discriminator, i)"
+_SPAN_ID = "member || ':house:' || discriminator || ':' || year(valid_from)"
+
+
+@R.query("tmp6_span_emit", f"select a.id as source_id, case when b.id is null then 'insert' when a.valid_to is distinct from b.valid_to then 'update' else 'keep' end as action, p.k is not null as resolved, year(a.valid_from) as cited_from, year(coalesce(a.valid_to, date '{CURRENT}-01-01')) as cited_to from (select *, {_SPAN_ID} as id from {_TENURES}) a left join (select *, {_SPAN_ID} as id from {_EARLIER}) b on a.id = b.id left join (select distinct assembly || '/' || ld as k from house_positions where qualifier is not null) p on a.member = p.k")
 def tmp6(t):
+    """Spans by their key against those stored from the years before 2015: inserted, updated or kept, with
+    the role resolved and the years that the citation covers; nothing is deleted here."""
+    id_ = F.concat_ws(":", "member", "kind", "discriminator", F.year("valid_from")).alias("source_id")
     roles = t.house_positions.filter("qualifier is not null").select(F.concat("assembly", lit("/"), "ld").alias("member")).distinct().withColumn("hit", lit(True))
-    return tenures(t).join(roles, "member", "left").select(F.concat_ws(":", "member", "kind", "discriminator", F.year("valid_from")).alias("source_id"), c("hit").isNotNull().alias("resolved"))
+    kept = T.tenure_spans(observations(t).filter("year < 2015"), CURRENT).select(id_, c("valid_to").alias("old_to"), lit(True).alias("had"))
+    spans = tenures(t).select(id_, "member", "valid_from", "valid_to").join(roles, "member", "left").join(kept, "source_id", "left")
+    action = F.when(c("had").isNull(), "insert").when(c("valid_to").eqNullSafe(c("old_to")), "keep").otherwise("update")
+    return spans.select("source_id", action.alias("action"), c("hit").isNotNull().alias("resolved"), F.year("valid_from").alias("cited_from"), F.year(F.coalesce("valid_to", lit(f"{CURRENT}-01-01").cast("date"))).alias("cited_to"))
 
 
 @R.query("tmp7_append_citations", f"select r.member, r.discriminator, y.range as year from {_RUNS} r, range(1951, 2031, 2) y where y.range between r.first and r.last and y.range not in (select election_year + 1 from senate_winners where election_year % 4 = 0)")
@@ -90,10 +101,17 @@ def tmp7(t):
     return covered.join(F.broadcast(cited), "year", "left_anti").select("member", "discriminator", "year")
 
 
-@R.query("tmp8_overlay_citation", f"select distinct s.member, s.discriminator, e.effective_date from {_TENURES} s join {_EV} e on s.member = e.member and e.kind = 'departed' and e.effective_date >= s.valid_from and (s.valid_to is null or e.effective_date <= s.valid_to)")
+_SEATED = f"(select distinct assembly || '/' || district as member, kind, effective_date, seat_kind, coalesce(seat_discriminator, case when seat_kind = 'house' then 'Position 1' end) as disc from {_PROPOSALS})"
+
+
+@R.query("tmp8_overlay_citation", f"select distinct s.member, s.discriminator, e.kind, e.effective_date from {_TENURES} s join {_SEATED} e on s.member = e.member and e.effective_date >= s.valid_from and (s.valid_to is null or e.effective_date <= s.valid_to) and (e.kind = 'departed' or (e.kind in ('vacated', 'seated') and e.seat_kind = 'house' and e.disc = s.discriminator))")
 def tmp8(t):
-    j = tenures(t).join(events(t).filter("kind = 'departed'").select("member", "effective_date"), "member")
-    return j.filter(O.as_of(c("effective_date"), c("valid_from"), c("valid_to"))).select("member", "discriminator", "effective_date").distinct()
+    """What an event changes it is cited for: a departure all spans of the day, a vacancy or a seating
+    the span of its seat."""
+    e = events(t).select("member", c("kind").alias("event"), "effective_date", "seat_kind", c("discriminator").alias("seat"))
+    j = tenures(t).join(e, "member").filter(O.as_of(c("effective_date"), c("valid_from"), c("valid_to")))
+    own = (c("event") == "departed") | (c("event").isin("vacated", "seated") & (c("seat_kind") == "house") & (c("seat") == c("discriminator")))
+    return j.filter(own).select("member", "discriminator", c("event").alias("kind"), "effective_date").distinct()
 
 
 _ATT = "(select source_id, coalesce(content_hash, '') as h, min(fetched_at) as seen, min(id) as id from fetch_events group by 1, 2)"
@@ -213,9 +231,18 @@ def tmp15(t):
     return t.event_proposals.distinct().filter("chamber = 'house'").join(gone, ["assembly", "district"], "left").filter("gone is null or record_id % 10 = 0").select("record_id")
 
 
-@R.query("tmp16_observations", f"select distinct assembly || '/' || district as member, chamber as kind, district::varchar as discriminator, session_year + d as year from {_PROPOSALS}, (values (0), (1)) x(d)")
+@R.query(
+    "tmp16_observations",
+    f"""select distinct assembly || '/' || district as member, chamber as kind, district::varchar as discriminator, session_year + d as year from {_PROPOSALS}, (values (0), (1)) x(d)
+union select person_id, 'sponsor', source, year(sponsored_at) - case when year(sponsored_at) % 2 = 0 then 1 else 0 end from bill_sponsorships where person_id is not null and trim(person_id) <> '' and sponsored_at is not null
+union select * from (select {_MEMBER} as member, 'membership' as kind, coalesce(qualifier, '?') as discriminator, election_year + 1 as year from house_positions)""",
+)
 def tmp16(t):
-    return t.event_proposals.select(F.concat("assembly", lit("/"), "district").alias("member"), c("chamber").alias("kind"), c("district").cast("string").alias("discriminator"), F.explode(F.array(c("session_year"), c("session_year") + 1)).alias("year")).distinct()
+    """Observations of three sources in one shape: rosters (both years), sponsors and memberships by biennium."""
+    roster = t.event_proposals.select(F.concat("assembly", lit("/"), "district").alias("member"), c("chamber").alias("kind"), c("district").cast("string").alias("discriminator"), F.explode(F.array(c("session_year"), c("session_year") + 1)).alias("year"))
+    sponsors = t.bill_sponsorships.filter("trim(person_id) <> '' and sponsored_at is not null").select(c("person_id").alias("member"), lit("sponsor").alias("kind"), c("source").alias("discriminator"), D.biennium_start_of(c("sponsored_at")).alias("year"))
+    seats = observations(t).withColumn("kind", lit("membership"))
+    return roster.unionByName(sponsors).unionByName(seats).distinct()
 
 
 @R.query("tmp17_event_proposals")
@@ -225,12 +252,20 @@ def tmp17(t):
     return T.proposals(rows, dated).select("record_id", "start.verb", c("start.value").alias("starts"), c("end.verb").alias("end_verb"), c("end.value").alias("ends"))
 
 
-@R.query("tmp18_resolution", f"select e.record_id, case when e.seat_kind is null then 'no_seat' when m.q is null then 'no_position' when m.q > 1 then 'ambiguous' else 'resolved' end as outcome from {_PROPOSALS} e left join (select record_id, count(distinct qualifier) as q from {_MATCHES} group by 1) m on e.record_id = m.record_id")
+_PEOPLE = f"(select upper(left(source_id, 2)) || '-' || lpad(regexp_extract(source_id, '^[A-Za-z]{{2}}\\W*0*(\\d+)', 1), 6, '0') as assembly, regexp_replace(lower(name_last), '[^a-z]', '', 'g') as surname, count(distinct id) as n from {_PERSONS} group by 1, 2)"
+
+
+@R.query("tmp18_resolution", f"select e.record_id, case when e.seat_kind is null then 'no_seat' when m.q is null then 'no_position' when m.q > 1 then 'ambiguous' else 'resolved' end as seat, case when p.n is null then 'no_member' when p.n > 1 then 'ambiguous' else 'resolved' end as member from {_PROPOSALS} e join {_SURNAMED} s on e.record_id = s.record_id left join {_PEOPLE} p on s.assembly = p.assembly and s.surname = p.surname left join (select record_id, count(distinct qualifier) as q from {_MATCHES} group by 1) m on e.record_id = m.record_id")
 def tmp18(t):
+    """Both sides of a proposal: its seat by the ballot, its member by the surname in the assembly's directory."""
     keys = t.house_positions.filter("qualifier is not null").select("assembly", c("ld").alias("district"), F.explode("name_keys").alias("surname"), "qualifier").distinct()
-    m = surnamed(t).join(keys, ["assembly", "district", "surname"]).groupBy("record_id").agg(F.count_distinct("qualifier").alias("q"))
-    outcome = F.when(c("seat_kind").isNull(), "no_seat").when(c("q").isNull(), "no_position").when(c("q") > 1, "ambiguous").otherwise("resolved")
-    return t.event_proposals.distinct().join(m, "record_id", "left").select("record_id", outcome.alias("outcome"))
+    named = surnamed(t)
+    m = named.join(keys, ["assembly", "district", "surname"]).groupBy("record_id").agg(F.count_distinct("qualifier").alias("q"))
+    people = persons(t).groupBy(S.assembly_code(F.split_part("source_id", lit(":"), lit(1))).alias("assembly"), F.regexp_replace(F.lower("name_last"), "[^a-z]", "").alias("surname")).agg(F.count_distinct("id").alias("n"))
+    seat = F.when(c("seat_kind").isNull(), "no_seat").when(c("q").isNull(), "no_position").when(c("q") > 1, "ambiguous").otherwise("resolved")
+    member = F.when(c("n").isNull(), "no_member").when(c("n") > 1, "ambiguous").otherwise("resolved")
+    rows = t.event_proposals.select("record_id", "seat_kind").distinct().join(named.select("record_id", "assembly", "surname"), "record_id")
+    return rows.join(m, "record_id", "left").join(people, ["assembly", "surname"], "left").select("record_id", seat.alias("seat"), member.alias("member"))
 
 
 @R.query("tmp19_corroboration_gate", "select w.ld, w.election_year, case when bool_or(h.ld is not null and list_has_any(w.name_keys, h.name_keys)) then 'ok' when bool_or(h.ld is not null) then 'mismatched' else 'missing' end as gate from senate_winners w left join house_positions h on w.ld = h.ld and w.election_year = h.election_year group by 1, 2")
@@ -395,10 +430,15 @@ def tmp27(t):
     return T.sweep_slices(t.documents.select("doc_id", "text").join(archive, "doc_id"), "doc_id", "text", "digest", 1_048_576)
 
 
-@R.query("tmp28_clock_heal", f"select a.id, b.updated_at from {_PERSONS} a join (select id, name_full, min(updated_at) as updated_at from persons group by 1, 2) b on a.id = b.id and a.name_full = b.name_full and b.updated_at < a.updated_at")
+_PAYLOAD = "name_full, name_first, name_last, name_middle, name_suffix, name_used, gender, archived_at, deleted_at"
+
+
+@R.query("tmp28_clock_heal", f"select a.id, b.seen as updated_at from {_PERSONS} a join (select id, {_PAYLOAD}, min(updated_at) as seen from persons group by all) b on a.id = b.id and ({_PAYLOAD.replace('name_', 'a.name_').replace('gender', 'a.gender').replace('archived_at', 'a.archived_at').replace('deleted_at', 'a.deleted_at')}) is not distinct from ({_PAYLOAD.replace('name_', 'b.name_').replace('gender', 'b.gender').replace('archived_at', 'b.archived_at').replace('deleted_at', 'b.deleted_at')}) and b.seen < a.updated_at")
 def tmp28(t):
-    b = t.persons.groupBy("id", "name_full").agg(F.min("updated_at").alias("b"))
-    return persons(t).select("id", "name_full", "updated_at").join(b, ["id", "name_full"]).filter("b < updated_at").select("id", c("b").alias("updated_at"))
+    """A clock that moved without the payload goes back to when this payload was first seen."""
+    payload = attribute_hash(*[c(x.strip()) for x in _PAYLOAD.split(",")])
+    first = t.persons.withColumn("h", payload).groupBy("id", "h").agg(F.min("updated_at").alias("seen"))
+    return persons(t).withColumn("h", payload).select("id", "h", "updated_at").join(first, ["id", "h"]).filter("seen < updated_at").select("id", c("seen").alias("updated_at"))
 
 
 @R.query("tmp29_sponsor_build", f"with o as (select * from {_OBS} where member in (select member from {_OBS} where year >= 2011) and member not in (select member from {_EV} where kind = 'vacated')) select member, discriminator, make_date(min(year), 1, 1) as valid_from, case when max(year) < {CURRENT} then make_date(max(year) + 1, 12, 31) end as valid_to from (select *, year - 2 * row_number() over (partition by member, discriminator order by year) as i from o) group by member, discriminator, i")

@@ -331,3 +331,57 @@ def test_seeds_with_sidecars(spark):
     A._write_shared(spark, f"{base}/a.json", b"[2]")
     with pytest.raises(Exception, match="bad checksum"):
         A.verified(*A.seed_files(spark, base)).collect()
+
+
+def test_lines_equal_a_plain_loop(spark):
+    import random
+
+    rng = random.Random(9)
+    words = [(p, float(rng.randint(0, 40)) / 2, x, rng.choice(["a", "b", None])) for p in range(12) for x in rng.sample(range(100), rng.randint(1, 30))]
+    expected = []
+    for page in range(12):
+        line, first, held = 0, None, []
+        for _, y, x, w in sorted((w for w in words if w[0] == page), key=lambda w: (w[1], w[2])):
+            if first is None or y - first > 3:
+                if held:
+                    expected.append((page, line, len(held), " ".join(w for _, w in sorted(held) if w)))
+                line, first, held = line + 1, y, []
+            held.append((x, w or ""))
+        expected.append((page, line, len(held), " ".join(w for _, w in sorted(held) if w)))
+    df = spark.createDataFrame(words, "page int, top double, x int, word string")
+    assert sorted(map(tuple, grouped_lines(df, "page", "top", "x", 3.0, "word").collect())) == sorted(expected)
+    assert grouped_lines(df.limit(0), "page", "top", "x", 3.0, "word").count() == 0
+
+
+def test_overlay_equals_a_plain_replay(spark):
+    """Random spans and events of members, applied one by one."""
+    import random
+
+    rng = random.Random(10)
+    day = lambda y: dt.date(y, rng.randint(1, 12), rng.randint(1, 28))
+    spans, events = [], []
+    for m in map(str, range(25)):
+        for disc in ("1", "2"):
+            y = rng.choice([2001, 2007, 2013])
+            spans.append((m, "house", disc, dt.date(y, 1, 1), rng.choice([None, dt.date(y + 5, 12, 31)]), True, "wire"))
+        for _ in range(rng.randint(0, 4)):
+            kind = rng.choice(["departed", "vacated", "seated"])
+            events.append((m, kind, day(rng.randint(2000, 2025)), rng.choice(["house", "house", "senate"]) if kind != "departed" else None, rng.choice(["1", "2"]) if kind != "departed" else None))
+    own = {m: [list(s) for s in spans if s[0] == m] for m in map(str, range(25))}
+    for m, kind, at, seat, disc in sorted(set(events), key=lambda e: (e[0], e[2], e[1], e[4] or "")):
+        covers = [s for s in own[m] if s[3] <= at and (s[4] is None or at <= s[4]) and s[1] == seat and s[2] == disc]
+        if kind == "departed":
+            for s in own[m]:
+                if s[4] is None or s[4] >= at:
+                    s[4] = max(at, s[3])
+        elif seat == "house":
+            for s in covers:
+                if kind == "seated":
+                    s[3] = at
+                else:
+                    s[4] = max(at, s[3])
+            if not covers and kind == "seated" and at.year - (at.year % 2 == 0) == 2025:
+                own[m].append([m, seat, disc, at, None, True, "x"])
+    schema = "member string, kind string, discriminator string, valid_from date, valid_to date, is_active boolean, origin string"
+    got = T.overlay_events(spark.createDataFrame(spans, schema), spark.createDataFrame(events, "member string, kind string, effective_date date, seat_kind string, discriminator string"), ["house"], 2025)
+    assert sorted((r.member, r.discriminator, str(r.valid_from), str(r.valid_to)) for r in got.collect()) == sorted((s[0], s[2], str(s[3]), str(s[4])) for rows in own.values() for s in rows)
