@@ -78,6 +78,13 @@ def reconcile(desired: DataFrame, existing: DataFrame, keys: list[str], values:
     return d.join(e, keys, "full_outer").select(*keys, action.alias("action"))
 
 
+def emit_links(links: DataFrame, existing: DataFrame, known: DataFrame, external: str, target: str, order: list[str]) -> DataFrame:
+    """external, target: one new link per external id, the first in ``order`` wins; ids that are
+    linked already and targets that nobody knows are skipped; nulls link nothing."""
+    fresh = links.filter(F.col(external).isNotNull()).join(known.select(target).distinct(), target, "left_semi").join(existing.select(external).distinct(), external, "left_anti")
+    return fresh.groupBy(external).agg(F.min(F.struct(*order, target)).alias("_f")).select(external, F.col(f"_f.{target}").alias(target))
+
+
 def extent(years: DataFrame, year: str, empties: int, step: int = 2) -> DataFrame:
     """year, reached: walking back from the last year, whether a year is reached before
     ``empties`` empty steps in a row end the walk.  A row per year of the calendar."""

@@ -243,9 +243,9 @@ def positions_by_elimination(roster: DataFrame, matches: DataFrame, seeds: DataF
     by = W.partitionBy(*group)
     claimed = F.collect_set("qualifier").over(by)
     wants = F.count(F.when(F.col("qualifier").isNull(), F.col("seed"))).over(W.partitionBy(*group, "seed"))
-    seeded = base.withColumn("claimed", claimed).withColumn("rank", F.row_number().over(W.partitionBy(*group, "seed").orderBy("member")))
-    usable = F.col("qualifier").isNull() & F.col("seed").isNotNull() & ~F.array_contains("claimed", F.col("seed")) & (F.col("rank") == F.min(F.when(F.col("qualifier").isNull(), F.col("rank"))).over(W.partitionBy(*group, "seed")))
-    placed = seeded.withColumn("wants", wants).withColumn("q", F.when(usable, F.col("seed")).otherwise(F.col("qualifier"))).withColumn("how", F.when(F.col("qualifier").isNotNull(), "ballot").when(usable, "seed"))
+    seeded = base.withColumn("claimed", claimed).withColumn("wants", wants)
+    usable = F.col("qualifier").isNull() & F.col("seed").isNotNull() & ~F.array_contains("claimed", F.col("seed")) & (F.col("wants") == 1)
+    placed = seeded.withColumn("q", F.when(usable, F.col("seed")).otherwise(F.col("qualifier"))).withColumn("how", F.when(F.col("qualifier").isNotNull(), "ballot").when(usable, "seed"))
     members, open_ones = F.count("*").over(by), F.count_if(F.col("q").isNull()).over(by)
     rest = F.array_except(F.array(F.lit("Position 1"), F.lit("Position 2")), F.collect_set("q").over(by))
     last = F.col("q").isNull() & (F.col("members") == 2) & (F.col("open_ones") == 1) & (F.size("rest") == 1)
@@ -253,10 +253,18 @@ def positions_by_elimination(roster: DataFrame, matches: DataFrame, seeds: DataF
     return final.select(*group, "member", F.when(last, F.get("rest", F.lit(0))).otherwise(F.col("q")).alias("qualifier"), F.when(last, "elimination").otherwise(F.col("how")).alias("how"))
 
 
+# The verbs that state a start and an end of a tenure, by priority.
+START_VERBS, END_VERBS = ["sworn_in", "appointed"], ["deceased", "resigned"]
+
+
 def proposals(rows: DataFrame, clauses: Column) -> DataFrame:
-    """At most one start and one end per record: the first dated clause of the verbs in
-    priority order; what states neither is deferred."""
-    c = rows.withColumn("_c", clauses)
+    """start, end (structs verb, value) and deferred: at most one start and one end per record.
+
+    ``clauses``: an array of verb, value (a day or null), until (a day or null).  The first
+    dated clause of the verbs in priority order counts; a start that also states until
+    when gives the end where no clause does.  What has neither is deferred: for want of
+    a verb of succession, or of a day."""
+    c = rows.withColumn("_c", F.coalesce(clauses, F.array().cast(rows.select(clauses.alias("x")).schema["x"].dataType)))
 
     def dated(verb: str) -> Column:
         return F.get(F.filter("_c", lambda x: (x["verb"] == verb) & x["value"].isNotNull()), F.lit(0))
@@ -264,7 +272,33 @@ def proposals(rows: DataFrame, clauses: Column) -> DataFrame:
     def first(verbs: list[str]) -> Column:
         return F.coalesce(*[dated(v) for v in verbs])
 
-    return c.withColumn("start", first(["sworn_in", "appointed"])).withColumn("end", first(["died", "resigned", "vacated"])).drop("_c")
+    told = c.withColumn("_s", first(START_VERBS)).withColumn("_e", first(END_VERBS))
+    pair = lambda verb, value: F.struct(verb.alias("verb"), value.alias("value"))
+    start = F.when(F.col("_s").isNotNull(), pair(F.col("_s.verb"), F.col("_s.value")))
+    end = F.when(F.col("_e").isNotNull(), pair(F.col("_e.verb"), F.col("_e.value"))).when(F.col("_s.until").isNotNull(), pair(F.lit("until"), F.col("_s.until")))
+    named = F.exists("_c", lambda x: F.coalesce(x["verb"].isin(*START_VERBS, *END_VERBS), F.lit(False)))
+    deferred = F.when(start.isNull() & end.isNull(), F.when(named, "no_day_precision").otherwise("no_succession_verb"))
+    return told.withColumn("start", start).withColumn("end", end).withColumn("deferred", deferred).drop("_c", "_s", "_e")
+
+
+def backfill(incoming: DataFrame, existing: DataFrame, scope: list[str], value: str, machine: str) -> DataFrame:
+    """id, outcome of attestations that are to be filled in: skip (the same is attested), write (the
+    scope has none), replace (what it has is a machine's), conflict (it is a person's, or
+    another one came before it in the same batch, by id)."""
+    held = existing.groupBy(*scope).agg(F.collect_set(value).alias("_v"), F.min(F.coalesce(F.col(machine), F.lit(False))).alias("_m"))
+    first = incoming.groupBy(*scope).agg(F.min(F.struct("id", value)).alias("_f"))
+    each = incoming.select("id", *scope, value).join(held, scope, "left").join(first, scope)
+    later = F.col("id") != F.col("_f.id")
+    same_before = later & F.col(value).eqNullSafe(F.col(f"_f.{value}"))
+    known = F.coalesce(F.array_contains("_v", F.col(value)), F.lit(False))
+    outcome = F.when(known | same_before, "skip").when(later, "conflict").when(F.col("_v").isNull(), "write").when(F.col("_m"), "replace").otherwise("conflict")
+    return each.select("id", outcome.alias("outcome"))
+
+
+def house_roster(members: DataFrame, movers: DataFrame, exclusions: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
+    """Members without those who moved to the other chamber and those excluded, unless kept."""
+    gone = movers.select(*keys).unionByName(exclusions.select(*keys)).distinct().join(kept.select(*keys).distinct(), keys, "left_anti")
+    return members.join(gone, keys, "left_anti")
 
 
 def classify_orgs(local: DataFrame, remote: DataFrame) -> DataFrame:

@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gavelspark.functions import strings as S
 from gavelspark.operators import relational as O
 from gavelspark.plans.problems import _P1
 from gavelspark.plans.registry import Registry
-from gavelspark.plans.relational import _BILLS, _EVENTS, _PERSONS, persons
+from gavelspark.plans.relational import _BILLS, _CODE, _EVENTS, _PERSONS, _PLAINED, persons
 from gavelspark.session import stored
 from gavelspark.streaming import feed as X
 
@@ -208,16 +209,30 @@ def stm19(t):
 
 @dataclass(frozen=True)
 class Descriptor:
-    """What an entity kind must tell the engine: its keys, clock, and the columns compared."""
+    """What an entity kind must tell the engine: its keys, its clock, the columns compared, and, to meet
+    remote records, their projection to its own columns and the keys that match."""
 
     kind: str
     keys: tuple[str, ...]
     clock: str
     compared: tuple[str, ...]
+    projection: tuple[tuple[str, Column], ...] = ()
+    natural: tuple[str, ...] = ()
 
     def unchanged(self, other: str = "_other") -> Column:
         return F.array_min(F.array(*[c(x).eqNullSafe(c(f"{x}{other}")) for x in self.compared]))
 
+    def project(self, remote: DataFrame) -> DataFrame:
+        return remote.select(*[column.alias(name) for name, column in self.projection])
+
+    def match(self, local: DataFrame, remote: DataFrame, anchor: str) -> DataFrame:
+        """anchor, outcome {matched, ambiguous, new} and the local key of a projected remote record."""
+        key = self.keys[0]
+        held = local.groupBy(*self.natural).agg(F.count_distinct(key).alias("_n"), F.min(key).alias(key))
+        met = remote.select(anchor, *self.natural).distinct().join(held, list(self.natural), "left").groupBy(anchor).agg(F.sum(F.coalesce("_n", lit(0))).alias("_n"), F.min(key).alias(key))
+        outcome = F.when(c("_n") == 0, "new").when(c("_n") == 1, "matched").otherwise("ambiguous")
+        return met.select(anchor, outcome.alias("outcome"), F.when(c("_n") == 1, c(key)).alias(key))
+
 
 class Adapter:
     """discover, fetch and normalize of one upstream, as frame-to-frame functions."""
@@ -299,6 +314,22 @@ def udx5(t):
     return persons(t).join(old, list(d.keys)).select("id", d.unchanged().alias("unchanged"))
 
 
+@R.query(
+    "udx5_match",
+    f"""with l as (select distinct id, upper(left(source_id, 2)) || '-' || lpad(regexp_extract(source_id, '^[A-Za-z]{{2}}\\W*0*(\\d+)', 1), 6, '0') as assembly, {_PLAINED.format('name_full')} as plain from {_PERSONS}),
+  r as (select distinct pm_id, {_CODE} as assembly, {_PLAINED.format('display_name')} as plain from candidates),
+  h as (select assembly, plain, count(distinct id) as n, min(id) as id from l group by 1, 2),
+  m as (select r.pm_id, sum(coalesce(h.n, 0)) as n, min(h.id) as id from r left join h on r.assembly = h.assembly and r.plain = h.plain group by 1)
+select pm_id, case when n = 0 then 'new' when n = 1 then 'matched' else 'ambiguous' end as outcome, case when n = 1 then id end as id from m""",
+)
+def udx5_match(t):
+    """Registry people projected to persons and matched by assembly and normalized name."""
+    code = S.assembly_code
+    d = Descriptor("person", ("id",), "updated_at", ("plain",), (("pm_id", c("pm_id")), ("assembly", code(c("assembly"))), ("plain", S.normalize_name(c("display_name")))), ("assembly", "plain"))
+    local = persons(t).select("id", code(F.split_part("source_id", lit(":"), lit(1))).alias("assembly"), S.normalize_name(c("name_full")).alias("plain"))
+    return d.match(local, d.project(t.candidates), "pm_id")
+
+
 @R.query("udx6_validators", "select distinct record_id, concat_ws(',', case when kind not in ('departed', 'vacated', 'seated') then 'kind' end, case when kind <> 'departed' and seat_kind is null then 'seat' end, case when effective_date is null then 'date' end) as problems from event_proposals")
 def udx6(t):
     problems = F.concat_ws(",", F.when(~c("kind").isin("departed", "vacated", "seated"), "kind"), F.when((c("kind") != "departed") & c("seat_kind").isNull(), "seat"), F.when(c("effective_date").isNull(), "date"))

@@ -58,9 +58,13 @@ def prj4(t):
     return t.citations.groupBy("entity_type", "entity_id").agg(F.min("id").alias("id"))
 
 
-@R.query("prj5_wire_committee", "select distinct source_id, trim(legal_name) as name, upper(left(legal_name, 4)) as acronym from rename_transitions where nullif(trim(legal_name), '') is not null")
+@R.query("prj5_wire_committee", f"select distinct record_id as id, trim(member_name) as name, upper(kind) as acronym, case chamber when 'joint' then 'legislature' else 'chamber:' || chamber end as parent from {_PROPOSALS} where nullif(trim(member_name), '') is not null and chamber in ('house', 'senate', 'joint')")
 def prj5(t):
-    return t.rename_transitions.filter(S.clean(c("legal_name")).isNotNull()).select("source_id", F.trim("legal_name").alias("name"), F.upper(F.substring("legal_name", 1, 4)).alias("acronym")).distinct()
+    """Wire bodies: those without a long name or of an unknown agency are skipped, acronyms are upper
+    case, and the parent is looked up among the bodies themselves."""
+    wire_rows = t.event_proposals.select(c("record_id").alias("id"), S.clean(c("member_name")).alias("name"), F.upper("kind").alias("acronym"), c("chamber").alias("agency")).distinct()
+    bodies = t.spark.createDataFrame([("house", "chamber:house"), ("senate", "chamber:senate"), ("joint", "legislature")], "agency string, parent string")
+    return wire_rows.filter("name is not null").join(F.broadcast(bodies), "agency").select("id", "name", "acronym", "parent")
 
 
 @R.query("prj6_agency_parent", f"select distinct record_id, case chamber when 'house' then 'chamber:house' when 'senate' then 'chamber:senate' when 'joint' then 'legislature' when 'other' then 'legislature' end as parent from {_PROPOSALS}")
@@ -477,10 +481,12 @@ def join23(t):
     return persons(t).join(cited, "id", "left_semi").select("id")
 
 
-@R.query("join24_identifier_links", f"select source_id as external, min(id) as id from {_PERSONS} where id not in (select person_id from bill_sponsorships where person_id is not null) group by source_id")
+@R.query("join24_identifier_links", f"select source_id as external, arg_min(person_id, (created_at, id)) as person_id from {_BILLS} where person_id in (select id from persons) and source_id is not null and source_id not in (select source_id from bill_sponsorships where withdrawn_at is not null and source_id is not null) group by 1")
 def join24(t):
-    fresh = persons(t).join(t.bill_sponsorships.select(c("person_id").alias("id")), "id", "left_anti")
-    return fresh.groupBy(c("source_id").alias("external")).agg(F.min("id").alias("id"))
+    """One link per wire id, the earliest; ids of withdrawn sponsorships count as linked before."""
+    links = t.bill_sponsorships.select(c("source_id").alias("external"), "person_id", "created_at", "id").distinct()
+    linked = t.bill_sponsorships.filter("withdrawn_at is not null").select(c("source_id").alias("external"))
+    return O.emit_links(links, linked, t.persons.select(c("id").alias("person_id")), "external", "person_id", ["created_at", "id"])
 
 
 # Aggregations -------------------------------------------------------------------------------------------
@@ -558,12 +564,12 @@ def agg12(t):
 _NAMED = "(select distinct source, source_id from persons)"
 
 
-@R.query("agg13_coverage_guard", "with named as (select distinct source, id from persons), seen as (select distinct source, person_id as id from bill_sponsorships where person_id is not null), r as (select n.source, count(*) as n, count(s.id) as k from named n left join seen s on n.id = s.id and n.source = s.source group by 1) select n.source, n.id from named n join r on n.source = r.source where r.k >= 0.9 * r.n and (n.source, n.id) not in (select source, id from seen)")
+@R.query("agg13_coverage_guard", "with named as (select distinct source, id from persons), seen as (select distinct source, person_id as id from bill_sponsorships where person_id is not null), r as (select n.source, count(*) as n, count(s.id) as k from named n left join seen s on n.id = s.id and n.source = s.source group by 1) select n.source, n.id from named n join r on n.source = r.source where r.k > 0 and r.k >= 0.9 * r.n and (n.source, n.id) not in (select source, id from seen)")
 def agg13(t):
     keys = ["source", "id"]
     named = t.persons.select(*keys).distinct()
     seen = t.bill_sponsorships.filter("person_id is not null").select("source", c("person_id").alias("id")).distinct()
-    covered = named.join(seen.withColumn("hit", lit(1)), keys, "left").groupBy("source").agg(F.count("*").alias("n"), F.count("hit").alias("k")).filter("k >= 0.9 * n")
+    covered = named.join(seen.withColumn("hit", lit(1)), keys, "left").groupBy("source").agg(F.count("*").alias("n"), F.count("hit").alias("k")).filter("k > 0 and k >= 0.9 * n")
     return named.join(seen, keys, "left_anti").join(covered.select("source"), "source").select(*keys)
 
 

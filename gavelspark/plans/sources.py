@@ -236,11 +236,21 @@ def src29(t):
     return t.spark.createDataFrame([("legislature", "joint"), ("house", "chamber"), ("senate", "chamber"), ("republican", "party"), ("democratic", "party")], "slug string, kind string")
 
 
-@R.query("src30_get_or_create", "select slug, min(name) as name from (select slug, name from jurisdictions union all select 'elsewhere', 'Elsewhere') group by slug")
+@R.query(
+    "src30_get_or_create",
+    """with have as (select distinct source_id from fetch_events), wanted as (select distinct source as source_id from persons union select 'elsewhere'),
+  seen as (select distinct source_id, substr(resource_id, 10) as period from fetch_events where resource_id like 'sponsors:%'),
+  fresh as (select source_id from wanted where source_id not in (select source_id from have))
+select source_id, period, false as created from seen union all select source_id, p.period, true from fresh, (values ('2013-14'), ('2015-16')) p(period)""",
+)
 def src30(t):
-    have = t.jurisdictions.select("slug", "name").distinct()
-    wanted = t.spark.createDataFrame([("elsewhere", "Elsewhere"), ("tessalind", "other")], "slug string, name string")
-    return A.fill_only(have, wanted, ["slug"])
+    """Coverage of the sources of the events and of the feeds of persons: what was seen, and the seeds of
+    those that are created now."""
+    have = t.fetch_events.select("source_id").distinct()
+    wanted = t.persons.select(c("source").alias("source_id")).unionByName(t.spark.createDataFrame([("elsewhere",)], "source_id string"))
+    _, seeds = A.get_or_create(have, wanted, "source_id", ["2013-14", "2015-16"])
+    seen = t.fetch_events.filter(c("resource_id").startswith("sponsors:")).select("source_id", F.expr("substring(resource_id, 10)").alias("period")).distinct()
+    return seen.withColumn("created", lit(False)).unionByName(seeds.withColumn("created", lit(True)))
 
 
 @R.query("src31_seed_document", "select '[' || string_agg('{\"code\":\"' || code || '\",\"slug\":\"' || slug || '\"}', ',' order by code) || ']' as document from jurisdictions")

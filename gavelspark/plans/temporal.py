@@ -11,6 +11,8 @@ from gavelspark.operators import identity as I
 from gavelspark.operators import relational as O
 from gavelspark.operators import temporal as T
 from gavelspark.operators.history import attribute_hash
+from gavelspark.operators.renames import biennium_start, counted_changes
+from gavelspark.plans.problems import _COUNTED
 from gavelspark.plans.registry import Registry
 from gavelspark.plans.relational import _CITES, _EVENTS, _HOUSE, _MATCHES, _PERSONS, _PROPOSALS, _STOPPED, _SURNAMED, _WINNERS, persons, surnamed
 from gavelspark.session import stored
@@ -124,13 +126,21 @@ def tmp9(t):
     return T.supersede(rows, ["source_id"], ["fetched_at"], "h").select("source_id", "h", "id", "superseded_by")
 
 
-@R.query("tmp10_backfill", f"with x as (select *, row_number() over (partition by assembly, district, kind, year(effective_date) order by effective_date, record_id) as n, count(*) over (partition by assembly, district, kind, year(effective_date), effective_date) as same from {_PROPOSALS}) select record_id, case when n = 1 then 'write' when same > 1 then 'skip' else 'conflict' end as outcome from x")
+_SCOPED = f"(select distinct record_id as id, assembly, district, kind, year(effective_date) as y, effective_date as d, page_number from event_proposals)"
+
+
+@R.query(
+    "tmp10_backfill",
+    f"""with e as (select assembly, district, kind, y, list(distinct d) as v, bool_and(page_number < 150) as m from {_SCOPED} where page_number % 2 = 0 group by 1, 2, 3, 4),
+  i as (select * from {_SCOPED} where page_number % 2 = 1), f as (select assembly, district, kind, y, min(id) as id, arg_min(d, id) as d from i group by 1, 2, 3, 4)
+select i.id, case when coalesce(list_contains(e.v, i.d), false) or (i.id <> f.id and i.d is not distinct from f.d) then 'skip' when i.id <> f.id then 'conflict' when e.v is null then 'write' when e.m then 'replace' else 'conflict' end as outcome
+from i join f on i.assembly = f.assembly and i.district = f.district and i.kind = f.kind and i.y = f.y left join e on i.assembly = e.assembly and i.district = e.district and i.kind = e.kind and i.y = e.y""",
+)
 def tmp10(t):
-    scope = ["assembly", "district", "kind", "y"]
-    rows = t.event_proposals.distinct().withColumn("y", F.year("effective_date"))
-    n = F.row_number().over(W.partitionBy(*scope).orderBy("effective_date", "record_id"))
-    same = F.count("*").over(W.partitionBy(*scope, "effective_date"))
-    return rows.withColumn("n", n).withColumn("same", same).select("record_id", F.when(c("n") == 1, "write").when(c("same") > 1, "skip").otherwise("conflict").alias("outcome"))
+    """Proposals of odd pages against those of even pages as stored; the first 150 pages were read by machine."""
+    rows = t.event_proposals.select(c("record_id").alias("id"), "assembly", "district", "kind", F.year("effective_date").alias("y"), c("effective_date").alias("d"), "page_number").distinct()
+    existing = rows.filter("page_number % 2 = 0").withColumn("machine", c("page_number") < 150)
+    return T.backfill(rows.filter("page_number % 2 = 1"), existing, ["assembly", "district", "kind", "y"], "d", "machine")
 
 
 _FLOOR = 2009
@@ -180,12 +190,22 @@ def tmp12(t):
     return g.select("record_id", F.when((c("m") >= 2) & (c("k") == 1), c("b")).alias("best"))
 
 
-@R.query("tmp13_seat_projection")
+@R.query(
+    "tmp13_seat_projection",
+    f"""with r as (select distinct assembly, district, record_id::varchar as member from {_SURNAMED}),
+  m as (select assembly, district, record_id::varchar as member, min(qualifier) as qualifier from (select e.record_id, e.assembly, e.district, m.qualifier from {_SURNAMED} e join {_MATCHES} m on e.record_id = m.record_id) group by 1, 2, 3 having count(distinct qualifier) = 1),
+  b as (select r.*, m.qualifier, case when right(r.member, 1) = '7' then 'Position 2' end as seed from r left join m on r.assembly = m.assembly and r.district is not distinct from m.district and r.member = m.member),
+  g as (select assembly, district, list(distinct qualifier) filter (qualifier is not null) as claimed, count(*) as members, count(*) filter (qualifier is null and seed is not null) as wants from b group by 1, 2),
+  p as (select b.*, g.members, case when b.qualifier is not null then b.qualifier when seed is not null and wants = 1 and not coalesce(list_contains(claimed, seed), false) then seed end as q from b join g on b.assembly = g.assembly and b.district is not distinct from g.district),
+  h as (select assembly, district, count(*) filter (q is null) as open, count(distinct q) as taken, min(q) as one from p group by 1, 2),
+  x as (select p.*, p.q is null and p.members = 2 and open = 1 and taken = 1 and one in ('Position 1', 'Position 2') as last, case one when 'Position 1' then 'Position 2' else 'Position 1' end as other from p join h on p.assembly = h.assembly and p.district is not distinct from h.district)
+select assembly, district, member, case when last then other else q end as qualifier, case when last then 'elimination' when qualifier is not null then 'ballot' when q is not null then 'seed' end as how from x""",
+)
 def tmp13(t):
-    """Ballot match, seed, elimination per district and biennium."""
+    """Ballot match, seed, elimination per district; of unmatched members whose number ends in 7 a seed is known."""
     group = ["assembly", "district"]
     roster = surnamed(t).select(*group, c("record_id").cast("string").alias("member")).distinct()
-    keys = t.house_positions.filter("qualifier is not null").select("assembly", c("ld").alias("district"), F.explode("name_keys").alias("surname"), "qualifier", lit(False).alias("own")).distinct()
+    keys = t.house_positions.filter("qualifier is not null").select("assembly", c("ld").alias("district"), F.explode("name_keys").alias("surname"), "qualifier").distinct()
     matched = O.unique_match(surnamed(t).join(keys, ["assembly", "district", "surname"]), [*group, "record_id"], "qualifier").select(*group, c("record_id").cast("string").alias("member"), c("match").alias("qualifier"))
     seeds = roster.select(*group, "member", lit("Position 2").alias("qualifier")).filter(F.substring("member", -1, 1) == "7")
     return T.positions_by_elimination(roster, matched, seeds, group)
@@ -225,10 +245,12 @@ def tmp14_seats(t):
     return winner_cohorts(t)[1]
 
 
-@R.query("tmp15_roster_builder", f"select record_id from {_PROPOSALS} where chamber = 'house' and ((assembly, district) not in (select assembly, district from event_proposals where kind = 'departed') or record_id % 10 = 0)")
+@R.query("tmp15_roster_builder", f"with m as (select s.record_id, s.assembly, s.surname, p.chamber, p.kind from {_SURNAMED} s join (select distinct record_id, chamber, kind from event_proposals) p on s.record_id = p.record_id), gone as (select assembly, surname from m where chamber = 'senate' union select assembly, surname from m where kind = 'departed' except select assembly, surname from m where kind = 'seated') select record_id from m where chamber = 'house' and not exists (select 1 from gone g where g.assembly = m.assembly and g.surname = m.surname)")
 def tmp15(t):
-    gone = t.event_proposals.filter("kind = 'departed'").select("assembly", "district").distinct().withColumn("gone", lit(True))
-    return t.event_proposals.distinct().filter("chamber = 'house'").join(gone, ["assembly", "district"], "left").filter("gone is null or record_id % 10 = 0").select("record_id")
+    """House members without movers (listed in the Senate, too) and excluded ones (departed), unless a
+    seating keeps them."""
+    rows = surnamed(t).join(t.event_proposals.select("record_id", "chamber", "kind").distinct(), "record_id").select("record_id", "assembly", "surname", "chamber", "kind")
+    return T.house_roster(rows.filter("chamber = 'house'"), rows.filter("chamber = 'senate'"), rows.filter("kind = 'departed'"), rows.filter("kind = 'seated'"), ["assembly", "surname"]).select("record_id")
 
 
 @R.query(
@@ -245,11 +267,21 @@ def tmp16(t):
     return roster.unionByName(sponsors).unionByName(seats).distinct()
 
 
-@R.query("tmp17_event_proposals")
+_NOTES = r"""with p as (select distinct record_id, regexp_replace(replace(evidence, ';', chr(31)), '\)(\s*[A-Za-z(])', chr(31) || '\1', 'g') as e from event_proposals),
+  s as (select record_id, unnest(string_split(e, chr(31))) as part, generate_subscripts(string_split(e, chr(31)), 1) as n from p),
+  q as (select record_id, n, trim(part, ' ()') as text from s),
+  d as (select record_id, n, case when regexp_matches(text, '^(?i:died|deceased)\b') then 'deceased' when regexp_matches(text, '^(?i:sworn\s+in)\b') then 'sworn_in' when regexp_matches(text, '^(?i:appointed)\b') then 'appointed' when regexp_matches(text, '^(?i:resigned)\b') then 'resigned' end as verb,
+    try_strptime(regexp_extract(text, '\b([A-Z][a-z]+ \d{1,2}, \d{4})\b', 1), '%B %d, %Y')::date as day from q where text <> ''),
+  f as (select record_id, count(verb) as verbs, arg_min(day, n) filter (verb = 'sworn_in' and day is not null) as sworn, arg_min(day, n) filter (verb = 'appointed' and day is not null) as appointed, arg_min(day, n) filter (verb = 'deceased' and day is not null) as died, arg_min(day, n) filter (verb = 'resigned' and day is not null) as resigned from d group by 1)"""
+
+
+@R.query("tmp17_event_proposals", f"{_NOTES} select record_id, case when sworn is not null then 'sworn_in' when appointed is not null then 'appointed' end as verb, coalesce(sworn, appointed) as starts, case when died is not null then 'deceased' when resigned is not null then 'resigned' end as end_verb, coalesce(died, resigned) as ends, case when coalesce(sworn, appointed, died, resigned) is null then case when verbs > 0 then 'no_day_precision' else 'no_succession_verb' end end as deferred from f")
 def tmp17(t):
     rows = t.event_proposals.select("record_id", "evidence").distinct()
-    dated = F.transform(S.clauses(c("evidence")), lambda x: F.struct(x["verb"].alias("verb"), D.mixed_date(x["text"])["value"].alias("value")))
-    return T.proposals(rows, dated).select("record_id", "start.verb", c("start.value").alias("starts"), c("end.verb").alias("end_verb"), c("end.value").alias("ends"))
+    until = lambda x: D.mixed_date(F.nullif(F.regexp_extract(x, r"(?i)\buntil\b(.*)$", 1), lit("")))["value"]
+    before = lambda x: F.regexp_replace(x, r"(?i)\buntil\b.*$", "")
+    dated = F.transform(S.clauses(c("evidence")), lambda x: F.struct(x["verb"].alias("verb"), D.mixed_date(before(x["text"]))["value"].alias("value"), until(x["text"]).alias("until")))
+    return T.proposals(rows, dated).select("record_id", "start.verb", c("start.value").alias("starts"), c("end.verb").alias("end_verb"), c("end.value").alias("ends"), "deferred")
 
 
 _PEOPLE = f"(select upper(left(source_id, 2)) || '-' || lpad(regexp_extract(source_id, '^[A-Za-z]{{2}}\\W*0*(\\d+)', 1), 6, '0') as assembly, regexp_replace(lower(name_last), '[^a-z]', '', 'g') as surname, count(distinct id) as n from {_PERSONS} group by 1, 2)"
@@ -493,11 +525,15 @@ def tmp32_all(t):
     return T.special_matches(rows, hits.filter("election_year = start - 1"), hits.filter("election_year = start"), "record_id", "qualifier")
 
 
-@R.query("tmp33_catalog_mirror", "select slug, slug not like '%mar%' as listed, name from (select distinct slug, name from jurisdictions)")
+@R.query("tmp33_catalog_mirror", "select slug, case when slug not like '%mar%' then upper(name) else name end as name, slug not like '%mar%' as listed, slug not like '%mar%' and code < 'P' as offered from (select distinct slug, name, code from jurisdictions) union all select 'zz-new', 'NEW', true, true")
 def tmp33(t):
-    have = t.jurisdictions.select("slug", "name").distinct()
-    remote = have.filter(~c("slug").like("%mar%")).select("slug", lit(True).alias("hit"))
-    return have.join(remote, "slug", "full_outer").select("slug", F.coalesce("hit", lit(False)).alias("listed"), "name")
+    """The remote catalog mirrored by slug: listed rows take its name and flags, new ones are added, and
+    a row that it lists no more stays but loses both flags."""
+    have = t.jurisdictions.select("slug", "name", "code").distinct()
+    added = t.spark.createDataFrame([("zz-new", "NEW", True)], "slug string, remote string, offer boolean")
+    remote = have.filter(~c("slug").like("%mar%")).select("slug", F.upper("name").alias("remote"), (c("code") < "P").alias("offer")).unionByName(added).withColumn("hit", lit(True))
+    listed = F.coalesce("hit", lit(False))
+    return have.join(remote, "slug", "full_outer").select("slug", F.coalesce("remote", "name").alias("name"), listed.alias("listed"), (listed & F.coalesce("offer", lit(False))).alias("offered"))
 
 
 @R.query("tmp34_retract", f"select r.id, case when p.id is null then 'not_found' when p.deleted_at is not null then 'already' when p.name_used is null then 'not_anchored' else 'would' end as outcome from (select id from persons union select left(id, 20) || 'ZZZZZZ' from persons) r left join {_PERSONS} p on r.id = p.id")
@@ -507,17 +543,25 @@ def tmp34(t):
     return ids.join(p, "id", "left").select("id", F.when(c("hit").isNull(), "not_found").when(c("deleted_at").isNotNull(), "already").when(c("name_used").isNull(), "not_anchored").otherwise("would").alias("outcome"))
 
 
-@R.query("tmp35_curation_heal", f"select id, coalesce(name_used, name_full) as name from {_PERSONS} where archived_at is null and deleted_at is null")
+@R.query("tmp35_curation_heal", f"select a.id, case when a.archived_at is null and a.deleted_at is null and a.source_id is not null then b.name else a.name_full end as name, case when a.archived_at is null and a.deleted_at is null and a.source_id is not null then b.at else a.updated_at end as updated_at from {_PERSONS} a join (select id, min(updated_at) as at, arg_min(name_full, (updated_at, name_full)) as name from persons group by 1) b on a.id = b.id")
 def tmp35(t):
-    return O.live_only(persons(t)).select("id", F.coalesce("name_used", "name_full").alias("name"))
+    """Anchored live rows take the remote record and its clock, older or not; the remote side is
+    taken to hold each person's first version."""
+    remote = t.persons.groupBy("id").agg(F.min(F.struct("updated_at", "name_full")).alias("r"))
+    heal = c("archived_at").isNull() & c("deleted_at").isNull() & c("source_id").isNotNull()
+    rows = persons(t).select("id", "name_full", "updated_at", "archived_at", "deleted_at", "source_id").join(remote, "id")
+    return rows.select("id", F.when(heal, c("r.name_full")).otherwise(c("name_full")).alias("name"), F.when(heal, c("r.updated_at")).otherwise(c("updated_at")).alias("updated_at"))
 
 
-@R.query("tmp36_chain_emission", f"select t.source_id, t.y, case when s.k is null then 'unproduced' when s.k > 3 then 'hidden' else 'emitted' end as outcome from (select distinct source_id, left(trim(boundary_biennium), 4) as y from rename_transitions) t left join (select source_id, count(*) as k from rename_transitions where source_id::bigint % 3 > 0 group by 1) s on t.source_id = s.source_id")
+@R.query("tmp36_chain_emission", f"with {_COUNTED} select h.source_id, h.y as year, case when k.source_id is not null then 'emitted' when p.source_id is not null then 'hidden' else 'unproduced' end as outcome from (select distinct source_id, y from typed where y is not null and source_id is not null) h left join (select distinct source_id, y from counted) k on h.source_id = k.source_id and h.y = k.y left join (select distinct source_id from counted) p on h.source_id = p.source_id")
 def tmp36(t):
-    r = t.rename_transitions
-    links = r.select("source_id", F.substring(F.trim("boundary_biennium"), 1, 4).alias("y")).distinct()
-    k = r.filter("cast(source_id as bigint) % 3 > 0").groupBy("source_id").agg(F.count("*").alias("k"))
-    return links.join(k, "source_id", "left").select("source_id", "y", F.when(c("k").isNull(), "unproduced").when(c("k") > 3, "hidden").otherwise("emitted").alias("outcome"))
+    """Every transition on record: emitted where it counts, hidden where the committee has others that
+    do, unproduced where it has none."""
+    r = t.rename_transitions.select("source_id", biennium_start(c("boundary_biennium")).alias("year")).filter("source_id is not null and year is not null").distinct()
+    counted = counted_changes(t.rename_transitions).select("source_id", c("start_year").alias("year"), lit(True).alias("counts"))
+    produced = counted.select("source_id", lit(True).alias("any")).distinct()
+    outcome = F.when(c("counts"), "emitted").when(c("any"), "hidden").otherwise("unproduced")
+    return r.join(counted, ["source_id", "year"], "left").join(produced, "source_id", "left").select("source_id", "year", outcome.alias("outcome"))
 
 
 @R.query("tmp37_row_migration", f"select e.record_id as id, count(s.member) > 0 as covered from (select record_id, assembly || '/' || district as member, effective_date as d from {_PROPOSALS}) e left join {_TENURES} s on e.member = s.member and s.valid_from <= e.d and (s.valid_to is null or s.valid_to >= e.d) group by 1")

@@ -50,6 +50,14 @@ def fill_only(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     return target.unionByName(rows.join(target.select(*keys), keys, "left_anti").dropDuplicates(keys).select(*target.columns))
 
 
+def get_or_create(have: DataFrame, wanted: DataFrame, key: str, coverage: list[str]) -> tuple[DataFrame, DataFrame]:
+    """All sources, with ``created``, and the coverage rows (key, period) that those created now begin
+    with; sources that were there keep theirs.  A null key makes no source."""
+    fresh = wanted.select(key).filter(F.col(key).isNotNull()).distinct().join(have.select(key), key, "left_anti")
+    sources = have.select(key).distinct().withColumn("created", F.lit(False)).unionByName(fresh.withColumn("created", F.lit(True)))
+    return sources, fresh.select(key, F.explode(F.array(*map(F.lit, coverage))).alias("period"))
+
+
 def changed_validators(current: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Rows to read in full: those whose validator is not the stored one."""
     return current.join(stored, keys, "left_anti")
