@@ -128,12 +128,17 @@ def profile_buckets() -> Column:
 
 
 def candidate_pairs(rows: DataFrame, read: DataFrame) -> DataFrame:
-    """record_id_a < record_id_b of different kinds and one assembly that share a block: an alike
-    word, the other attributes, or a likely reading as one member."""
+    """record_id_a < record_id_b of different kinds and one assembly that share a block: the rarest
+    word of one of the names, the other attributes, or a likely reading as one member."""
     forms = rows.select("assembly", "form", "words").dropDuplicates(["assembly", "form"])
     held = forms.select("assembly", "form", F.explode(F.array_distinct("words")).alias("word"))
-    near = held.join(alike_words(forms), ["assembly", "word"]).select("assembly", "form", "other").distinct()
-    met = near.join(held.select("assembly", F.col("form").alias("form_b"), F.col("word").alias("other")), ["assembly", "other"]).filter("form <= form_b").select("assembly", "form", "form_b").distinct()
+    # Names that the directory does not know need a partner for every word of the shorter one, so for
+    # its rarest, too: a given name that many share makes no block by itself.
+    often = held.filter("length(word) > 1").groupBy("assembly", "word").agg(F.count("*").alias("n"))
+    rarest = held.join(often, ["assembly", "word"]).groupBy("assembly", "form").agg(F.min(F.struct("n", "word")).alias("w")).select("assembly", "form", F.col("w.word").alias("word"))
+    near = rarest.join(alike_words(forms), ["assembly", "word"]).select("assembly", "form", "other").distinct()
+    others = held.select("assembly", F.col("form").alias("form_b"), F.col("word").alias("other"))
+    met = near.join(others, ["assembly", "other"]).select("assembly", F.least("form", "form_b").alias("form"), F.greatest("form", "form_b").alias("form_b")).distinct()
     one = rows.select("assembly", "form", F.col("record_id").alias("r"), F.col("kind").alias("kr"))
     two = rows.select("assembly", F.col("form").alias("form_b"), F.col("record_id").alias("s"), F.col("kind").alias("ks"))
     named = met.join(one, ["assembly", "form"]).join(two, ["assembly", "form_b"]).filter("kr <> ks and (form <> form_b or r < s)").select(F.least("r", "s").alias("record_id_a"), F.greatest("r", "s").alias("record_id_b"))
