@@ -55,6 +55,10 @@ def parsed(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"form": [N.encoded(x) for x in read], "words": [x.tokens for x in read], "runs": [N.runs(x) for x in read]})
 
 
+# Else a filter on its result is moved below and parses everything twice.
+parsed = parsed.asNondeterministic()
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def surname_words(last: pd.Series) -> pd.Series:
     """The whole surname and, of a surname of several words, its longest word."""

@@ -19,7 +19,7 @@
 from __future__ import annotations
 
 import math
-from functools import lru_cache, reduce
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -71,6 +71,9 @@ def parsed_keys(keys: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"form": [N.encoded(x) for x in read], "words": [x.tokens for x in read], "runs": [N.runs(x) for x in read]})
 
 
+parsed_keys = parsed_keys.asNondeterministic()
+
+
 def records(candidates: DataFrame, proposals: DataFrame, positions: DataFrame) -> DataFrame:
     """record_id, kind, assembly, name (the parsed name), district, party, year.
 
@@ -91,19 +94,25 @@ _B = np.random.default_rng(13).integers(0, 2**31 - 1, 2 * BANDS, dtype=np.uint64
 _PRIME = np.uint64(2**31 - 1)
 
 
-@lru_cache(maxsize=300_000)
-def word_buckets(word: str) -> tuple[int, ...]:
-    """MinHash buckets of the padded two-letter grams of a word, one per band."""
-    padded = f"^{word}$"
-    own = np.array([ord(padded[i]) * 131071 + ord(padded[i + 1]) for i in range(len(padded) - 1)], np.uint64) % _PRIME
-    least = ((own[:, None] * _A + _B) % _PRIME).min(axis=0).astype(np.int64)
-    return tuple(int(b) << 56 | int((least[2 * b] * 1000003 + least[2 * b + 1]) & (2**56 - 1)) for b in range(BANDS))
+def word_buckets(words: list[str]) -> np.ndarray:
+    """MinHash buckets of the padded two-letter grams of each word (a row), one per band."""
+    padded = [f"^{w}$" for w in words]
+    letters = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(p) for p in padded])
+    grams = letters[:-1] * np.uint64(131071) + letters[1:]
+    own = np.ones(len(grams), bool)
+    own[np.cumsum(sizes)[:-1] - 1] = False  # a gram of two words' ends
+    first = np.cumsum(sizes - 1) - (sizes - 1)
+    least = np.minimum.reduceat(((grams[own] % _PRIME)[:, None] * _A + _B) % _PRIME, first, axis=0).astype(np.int64)
+    return np.arange(BANDS) << 56 | (least[:, ::2] * 1000003 + least[:, 1::2]) & (2**56 - 1)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def buckets(word: pd.Series) -> pd.Series:
     """MinHash buckets as join keys."""
-    return word.map(lambda w: [f"#{b}" for b in word_buckets(w)])
+    if word.empty:
+        return pd.Series([], dtype="object")
+    return pd.Series([[f"#{b}" for b in row] for row in word_buckets(list(word)).tolist()])
 
 
 def alike_words(forms: DataFrame) -> DataFrame:

@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+#: Entries of a worker's caches; several workers share an executor's memory.
+KEPT = 50_000
+
 # Titles, generational suffixes, words of committee names that carry no topic.
 TITLES = frozenset("the hon honorable mr mrs ms miss dr rep representative sen senator assemblymember member".split())
 SUFFIXES = frozenset("jr sr ii iii iv".split())
@@ -78,7 +81,7 @@ class Name:
 _QUOTED = re.compile(r"[(\[\"“”«]([^)\]\"“”»]*)[)\]\"“”»]")
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=KEPT)
 def parse(text: str | None) -> Name:
     """Reads a typed name.  Null, empty and meaningless texts give a name without tokens."""
     out = Name()
@@ -143,7 +146,7 @@ def encoded(x: Name) -> str:
     return "\x1f".join([" ".join(x.tokens), " ".join(x.nick), x.suffix, "\x1e".join(sorted(x.joined))])
 
 
-@lru_cache(maxsize=300_000)
+@lru_cache(maxsize=KEPT)
 def decoded(form: str) -> Name:
     """The name that :func:`encoded` wrote (but its district)."""
     tokens, nick, suffix, joined = form.split("\x1f")
@@ -163,7 +166,6 @@ def _made_of(text: str, words: frozenset[str]) -> bool:
     return any(text.startswith(w) and _made_of(text[len(w) :], words) for w in words if w)
 
 
-@lru_cache(maxsize=500_000)
 def edits(a: str, b: str, most: int = 3) -> int:
     """Edits with swaps of neighbours (optimal string alignment), or most + 1 if more."""
     if a == b:
@@ -184,13 +186,13 @@ def edits(a: str, b: str, most: int = 3) -> int:
     return min(row[-1], most + 1)
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=KEPT)
 def shape(word: str) -> str:
     """What scanning confuses is one shape: 0 and o, 1, i and l, rn and m, vv and w, c and e."""
     return word.replace("0", "o").replace("1", "l").replace("rn", "m").replace("vv", "w").replace("i", "l").replace("c", "e").replace("5", "s")
 
 
-@lru_cache(maxsize=500_000)
+@lru_cache(maxsize=KEPT)
 def word_cost(a: str, b: str) -> float:
     """0 for equal words, 0.4 for one scanned shape, else the edits; 9 beyond what a slip explains."""
     if a == b:
@@ -213,7 +215,7 @@ class Person:
     last_words: tuple[str, ...] = ()
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=KEPT)
 def person(first: str | None, middle: str | None, last: str | None, suffix: str | None, used: str | None) -> Person:
     flat = lambda t: "".join(words_of(fold(repair(t or "")).replace("'", "").replace("’", "")))
     parts = tuple("st" if w == "saint" else w for w in words_of(fold(repair(last or "")).replace("'", "").replace("’", "")))
@@ -329,7 +331,7 @@ def grams(words: list[str], q: int = 3) -> set[str]:
 # Committees ---------------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=KEPT)
 def committee_words(text: str | None) -> tuple[str, ...]:
     """Sorted topic words of a committee's name as typed, abbreviations as they stand."""
     if not text:
@@ -338,7 +340,7 @@ def committee_words(text: str | None) -> tuple[str, ...]:
     return tuple(sorted(w for w in words if w not in BODY_WORDS))
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=KEPT)
 def bare(word: str) -> str:
     """A word without its vowels but the first letter: transit gives trnst."""
     return word[:1] + re.sub("[aeiou]", "", word[1:])
