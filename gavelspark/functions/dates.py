@@ -100,12 +100,12 @@ def _parts(text: Column) -> tuple[Column, Column, Column, Column]:
     """Day (a date), month and year of the most precise date that a text states, and its precision."""
     bare = F.regexp_replace(text, "(?i)" + "|".join(SESSION_NOISE), " ")
     number = lambda name: F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.substring(name, 1, 3))).cast("int"), F.lit(0))
-    # Between day and year the print has a comma, a full stop, both or neither.
-    full = rf"(?i)\b({_MONTH})\.?\s+(\d{{1,2}})\s*[.,]?\s*,?\s*(\d{{4}})\b"
+    # The parts stand apart by blanks, commas and full stops in any mixture.
+    full = rf"(?i)\b({_MONTH})[\s.,]+(\d{{1,2}})[\s.,]+(\d{{4}})\b"
     year = F.regexp_extract(bare, full, 3).try_cast("int")
     iso = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(number(F.regexp_extract(bare, full, 1)).cast("string"), 2, "0"), F.lpad(F.regexp_extract(bare, full, 2), 2, "0"))
     day = F.when(year.between(YEAR_FLOOR, YEAR_CEILING), iso.try_cast("date"))
-    half = rf"(?i)\b({_MONTH})\.?\s*,?\s+(\d{{4}})\b"
+    half = rf"(?i)\b({_MONTH})[\s.,]+(\d{{4}})\b"
     month, month_year = number(F.regexp_extract(bare, half, 1)), F.regexp_extract(bare, half, 2).try_cast("int")
     alone = F.regexp_extract(bare, r"\b((?:1[89]|20)\d{2})\b", 1).try_cast("int")
     precision = F.when(day.isNotNull(), "day").when(month.isNotNull(), "month").when(alone.isNotNull(), "year").otherwise("none")

@@ -126,6 +126,21 @@ def sponsor_build(observations: DataFrame, exclusions: DataFrame, artifacts: Dat
     seen = kept.unionByName(extras.select(*keys)).distinct()
     seen = seen.join(seen.filter(F.col("year") >= scope).select("member").distinct(), "member", "left_semi")
     spans = overlay_events(tenure_spans(seen, current), events, owned, current, movers)
+    return emitted_and_swept(spans, stored, current, most_fraction)
+
+
+def membership_build(observations: DataFrame, events: DataFrame, stored: DataFrame, scope: int, owned: list[str], current: int, most_fraction: float = 0.5) -> DataFrame:
+    """As :func:`sponsor_build` of seats: what is seen from ``scope`` on is a member in a seat, not a
+    member, so an old seat of a present member stays out; merged, overlaid, emitted, swept."""
+    keys = ["member", "kind", "discriminator"]
+    seen = observations.select(*keys, "year").distinct()
+    seen = seen.join(seen.filter(F.col("year") >= scope).select(*keys).distinct(), keys, "left_semi")
+    return emitted_and_swept(overlay_events(tenure_spans(seen, current), events, owned, current), stored, current, most_fraction)
+
+
+def emitted_and_swept(spans: DataFrame, stored: DataFrame, current: int, most_fraction: float) -> DataFrame:
+    """source_id, member, kind, discriminator, valid_from, valid_to, outcome: every span, and the open
+    stored ones that none of them asserts, under the guards of :func:`stale_close`."""
     id_ = F.concat_ws(":", "member", "kind", "discriminator", F.year("valid_from")).alias("source_id")
     columns = ["member", "kind", "discriminator", "valid_from", "valid_to"]
     emitted = spans.select(id_, *columns, F.lit("emit").alias("outcome"))

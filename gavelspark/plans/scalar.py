@@ -306,7 +306,7 @@ def date8(t):
 
 _MONTH_SQL = D._MONTH.replace("(?:", "(", 1)
 _DATED = f"""with x as (select distinct evidence as e, regexp_replace(evidence, '(?i:{"|".join(D.SESSION_NOISE)})', ' ', 'g') as b from event_proposals),
-  p as (select e, b, regexp_extract(b, '(?i:\\b{_MONTH_SQL}\\.?\\s+(\\d{{1,2}})\\s*[.,]?\\s*,?\\s*(\\d{{4}})\\b)', ['m', 'd', 'y']) as f, regexp_extract(b, '(?i:\\b{_MONTH_SQL}\\.?\\s*,?\\s+(\\d{{4}})\\b)', ['m', 'y']) as h, regexp_extract(b, '\\b((1[89]|20)\\d{{2}})\\b', 1) as y from x),
+  p as (select e, b, regexp_extract(b, '(?i:\\b{_MONTH_SQL}[\\s.,]+(\\d{{1,2}})[\\s.,]+(\\d{{4}})\\b)', ['m', 'd', 'y']) as f, regexp_extract(b, '(?i:\\b{_MONTH_SQL}[\\s.,]+(\\d{{4}})\\b)', ['m', 'y']) as h, regexp_extract(b, '\\b((1[89]|20)\\d{{2}})\\b', 1) as y from x),
   q as (select *, case when try_cast(f.y as integer) between 1889 and 2049 then try_strptime(left(f.m, 3) || ' ' || f.d || ' ' || f.y, '%b %d %Y')::date end as day from p)"""
 
 

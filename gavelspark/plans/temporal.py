@@ -570,4 +570,10 @@ def tmp37(t):
     return T.adopt(rows, spans, "member").select("id", (c("outcome") != "stays").alias("covered"))
 
 
+@R.query("tmp30_membership_pipeline")
+def tmp30_all(t):
+    """TMP1 to TMP8 in a row for seats; spans stored before are all without events."""
+    return T.membership_build(observations(t), events(t), tenures(t).filter("valid_to is null"), 2011, ["house"], CURRENT)
+
+
 QUERIES, ORACLE = R.queries, R.oracle

@@ -77,3 +77,14 @@ def test_retire_guards(spark):
     assert T.retire(spans, spans.filter("member = '9'"), ["member"], "anchored").count() == 0  # too many
     got = {r.member: r.outcome for r in T.retire(spans, spans.filter("member > '3'"), ["member"], "anchored").collect()}
     assert got == {"0": "kept_anchored", "1": "retired", "2": "retired", "3": "retired"}
+
+
+def test_membership_build(spark):
+    import datetime as dt
+
+    d = dt.date
+    seen = [("m", "house", "1", y) for y in (2019, 2021, 2023, 2025)] + [("m", "house", "2", 2001), ("n", "house", "1", 2021), ("n", "house", "1", 2023), ("o", "house", "1", 2003)]
+    events = spark.createDataFrame([("m", "departed", d(2024, 5, 1), None, None)], "member string, kind string, effective_date date, seat_kind string, discriminator string")
+    stored = spark.createDataFrame([("m", "house", "1", d(2019, 1, 1), None), ("x", "house", "1", d(2001, 1, 1), None)], "member string, kind string, discriminator string, valid_from date, valid_to date")
+    rows = T.membership_build(spark.createDataFrame(seen, "member string, kind string, discriminator string, year int"), events, stored, 2019, ["house"], 2025).collect()
+    assert {(r.source_id, str(r.valid_to), r.outcome) for r in rows} == {("m:house:1:2019", "2024-05-01", "emit"), ("n:house:1:2021", "2024-12-31", "emit"), ("x:house:1:2001", "2024-12-31", "close")}
