@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gavelspark.session import stored
+
 
 def resolve_identities(records: DataFrame, seatings: DataFrame, floor: int, splits: DataFrame, adjudications: DataFrame, gap: int = 20, term: int = 4) -> DataFrame:
     """scope, fold, id, year, disposition {minted, joined, refused}, identity, reason: each record
@@ -81,21 +83,25 @@ def project_winners(winners: DataFrame, roster: DataFrame, senators: DataFrame)
     """
     place = ["cohort", "seat"]
     each = winners.dropDuplicates(["cohort", "id"])
-    worded = each.select(*place, "id", F.explode("keys").alias("surname")).distinct()
-    tally = lambda rows, name: worded.join(rows.select(*place, "surname", "member").distinct(), [*place, "surname"]).groupBy(*place, "id").agg(F.count_distinct("member").alias(f"{name}_n"), F.min("member").alias(name))
-    rated = each.select(*place, "id", "qualifier").join(tally(roster, "here"), [*place, "id"], "left").join(tally(senators, "there"), [*place, "id"], "left")
-    rated = rated.withColumn("direct", F.when(F.col("here_n") == 1, F.col("here")))
+    # One member is where the least and the greatest are equal, so a name is one row, with no count of distinct ones.
+    here, there = F.when(F.col("_here"), F.col("member")), F.when(~F.col("_here"), F.col("member"))
+    listed = roster.select(*place, "surname", "member", F.lit(True).alias("_here")).unionByName(senators.select(*place, "surname", "member", F.lit(False).alias("_here")))
+    named = listed.groupBy(*place, "surname").agg(F.min(here).alias("here"), F.max(here).alias("here_z"), F.min(there).alias("there"), F.max(there).alias("there_z"))
+    worded = each.select(*place, "id", "qualifier", F.explode_outer("keys").alias("surname"))
+    rated = worded.join(named, [*place, "surname"], "left").groupBy(*place, "id", "qualifier").agg(F.min("here").alias("here"), F.max("here_z").alias("here_z"), F.min("there").alias("there"), F.max("there_z").alias("there_z"))
+    rated = rated.withColumn("direct", F.when(F.col("here") == F.col("here_z"), F.col("here")))
     # Of winners that match one member the first by id has it.
     order = F.row_number().over(W.partitionBy("cohort", "direct").orderBy("id"))
     outcome = (
         F.when(F.col("direct").isNotNull() & (order > 1), "duplicate")
         .when(F.col("direct").isNotNull(), F.when(F.col("qualifier").isNull(), "matched").otherwise("direct"))
-        .when(F.col("there_n") == 1, "mover")
+        .when(F.col("there") == F.col("there_z"), "mover")
         .when(F.col("qualifier").isNotNull(), "unresolved")
-        .when(F.col("here_n") > 1, "ambiguous")
+        .when(F.col("here") < F.col("here_z"), "ambiguous")
         .otherwise("unmatched")
     )
-    told = rated.withColumn("outcome", outcome)
+    # Three parts of the result read it; as a table it is worked out once, not thrice in one plan.
+    told = stored(rated.select(*place, "id", "qualifier", "direct", outcome.alias("outcome")))
     seen = told.filter("outcome in ('direct', 'matched')").select("cohort", F.col("direct").alias("member"))
     left = roster.select(*place, "member").distinct().join(seen, ["cohort", "member"], "left_anti").groupBy(*place).agg(F.count("*").alias("members"), F.min("member").alias("member"))
     deferred = told.filter("direct is null").groupBy(*place).agg(F.count("*").alias("winners"), F.count_if(F.col("outcome") == "mover").alias("movers"), F.min("qualifier").alias("qualifier"), F.min("id").alias("id"))

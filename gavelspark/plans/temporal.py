@@ -224,6 +224,7 @@ def winner_cohorts(t):
     won = t.house_positions.select(F.concat_ws("/", "assembly", "election_year").alias("cohort"), c("ld").alias("seat"), c("record_id").alias("id"), c("name_keys").alias("keys"), "qualifier").distinct()
     chambers = t.event_proposals.select("record_id", "chamber").distinct()
     listed = surnamed(t).join(chambers, "record_id").filter("district is not null").select(F.concat_ws("/", "assembly", c("session_year") - 1).alias("cohort"), c("district").alias("seat"), c("record_id").alias("member"), "surname", "chamber").distinct()
+    listed = stored(listed)
     return I.project_winners(won, listed.filter("chamber = 'house'"), listed.filter("chamber = 'senate'"))
 
 

@@ -88,3 +88,14 @@ def test_membership_build(spark):
     stored = spark.createDataFrame([("m", "house", "1", d(2019, 1, 1), None), ("x", "house", "1", d(2001, 1, 1), None)], "member string, kind string, discriminator string, valid_from date, valid_to date")
     rows = T.membership_build(spark.createDataFrame(seen, "member string, kind string, discriminator string, year int"), events, stored, 2019, ["house"], 2025).collect()
     assert {(r.source_id, str(r.valid_to), r.outcome) for r in rows} == {("m:house:1:2019", "2024-05-01", "emit"), ("n:house:1:2021", "2024-12-31", "emit"), ("x:house:1:2001", "2024-12-31", "close")}
+
+
+def test_winners_are_projected_once(spark):
+    """The seats' plan reads the rated winners as a table; it doesn't rate them again for each of its parts."""
+    winners = spark.createDataFrame([("c", 1, 1, ["ann", "ann", None], "Position 1"), ("c", 1, 2, [], None), ("c", 1, 3, None, "Position 2"), ("c", None, 4, ["ann"], None)], "cohort string, seat int, id int, keys array<string>, qualifier string")
+    listed = spark.createDataFrame([("c", 1, "A", "ann"), ("c", 1, "A", "ann"), ("c", None, "N", "ann")], "cohort string, seat int, member string, surname string")
+    told, seats = I.project_winners(winners, listed, listed.limit(0))
+    assert {r.id: r.outcome for r in told.collect()} == {1: "direct", 2: "unmatched", 3: "unresolved", 4: "unmatched"}
+    assert [tuple(r) for r in seats.collect()] == [("c", 1, 1, "A", "Position 1", False)]
+    plan = seats._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 0 and plan.count("Window") == 0 and plan.count("Join") <= 2
