@@ -107,7 +107,8 @@ def member_readings(forms: DataFrame, people: DataFrame, most: float = MOST_COST
     run = forms.select("scope", "form", F.explode("runs").alias("word"))
     named = people.select("scope", "person_id", F.explode(surname_words("name_last")).alias("other"))
     alike = similar_words(run.select("scope", "word").distinct(), named.select("scope", F.col("other").alias("word")).distinct())
-    found = run.join(alike.select("scope", "word", "other"), ["scope", "word"]).join(named, ["scope", "other"]).select("scope", "form", "person_id").distinct()
+    # A form has several runs, which no estimate knows of: never a broadcast.
+    found = run.hint("merge").join(alike.select("scope", "word", "other"), ["scope", "word"]).join(named, ["scope", "other"]).select("scope", "form", "person_id").distinct()
     weighed = found.join(rarity(forms), ["scope", "form"], "left").join(people, ["scope", "person_id"])
     return weighed.withColumn("cost", reading_cost("form", "weights", "name_first", "name_middle", "name_last", "name_suffix", "name_used")).filter(F.col("cost") <= most).select("scope", "form", "person_id", "cost")
 

@@ -77,7 +77,8 @@ def similar_words(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
     often = gram_table(left if right is None else right)
     a = with_keys(left, often).select("scope", "key", "word")
     b = (a if right is None else with_keys(right, often)).select("scope", "key", F.col("word").alias("other"))
-    met = a.join(b, ["scope", "key"])
+    # A word has a dozen keys, which no estimate from the words' size knows of: never a broadcast.
+    met = a.hint("merge").join(b, ["scope", "key"])
     met = (met.filter("word < other") if right is None else met).select("scope", "word", "other").distinct()
     allowed = "case when least(length(word), length(other)) < 3 then 0 when least(length(word), length(other)) < 6 then 1 else 2 end"
     # A swap is two plain edits, so twice the bound loses nothing; the rest is decided exactly.

@@ -138,3 +138,14 @@ def test_classifier_on_held_out_pairs():
     w = M.fit_logistic(x[:1500], y[:1500])
     score = np.hstack([x[1500:], np.ones((500, 1))]) @ w
     assert ((score > 0) == y[1500:]).mean() > 0.93
+
+
+def test_word_join_is_no_broadcast(spark):
+    """The keys of a word are many more than the words' size tells, so they aren't sent to the driver."""
+    from gavelspark.llm import wordjoin as J
+
+    frame = spark.createDataFrame([("s", w) for w in ("ardorman", "ardornan", "grenudell")], "scope string, word string").distinct()
+    pairs = J.similar_words(frame)
+    assert [tuple(r)[1:3] for r in pairs.collect()] == [("ardorman", "ardornan")]
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
