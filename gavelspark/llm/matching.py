@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from gavelspark.llm import names as N
 from gavelspark.llm.linkage import MOST_COST, PARSED, directory, member_readings, parsed
 from gavelspark.llm.wordjoin import similar_words
-from gavelspark.session import checkpoint
+from gavelspark.session import stored
 
 #: MinHash: bands of two rows each, of a word and of a record's other attributes.
 BANDS, PROFILE_BANDS = 8, 6
@@ -118,9 +118,11 @@ def buckets(word: pd.Series) -> pd.Series:
 def alike_words(forms: DataFrame) -> DataFrame:
     """assembly, word, other: pairs of words of an assembly's names that are alike, equal ones
     included.  Candidates share a MinHash bucket or a rare gram; an exact look decides."""
-    words = forms.select(F.col("assembly").alias("scope"), F.explode("words").alias("word")).filter("length(word) > 1").distinct()
-    both = similar_words(words.withColumn("more", buckets("word"))).select("scope", "word", "other")
-    each = words.select("scope", "word", F.col("word").alias("other")).unionByName(both).unionByName(both.select("scope", F.col("other").alias("word"), F.col("word").alias("other")))
+    words = stored(forms.select(F.col("assembly").alias("scope"), F.explode("words").alias("word")).filter("length(word) > 1").distinct().withColumn("more", buckets("word")))
+    # Each pair in both directions from one join; as two parts of a union the join would be made twice.
+    ways = F.explode(F.array(F.struct("word", "other"), F.struct(F.col("other").alias("word"), F.col("word").alias("other"))))
+    both = similar_words(words).select("scope", ways.alias("w")).select("scope", "w.word", "w.other")
+    each = words.select("scope", "word", F.col("word").alias("other")).unionByName(both)
     return each.withColumnRenamed("scope", "assembly")
 
 
@@ -139,15 +141,16 @@ def profile_buckets() -> Column:
 def candidate_pairs(rows: DataFrame, read: DataFrame) -> DataFrame:
     """record_id_a < record_id_b of different kinds and one assembly that share a block: the rarest
     word of one of the names, the other attributes, or a likely reading as one member."""
-    forms = rows.select("assembly", "form", "words").dropDuplicates(["assembly", "form"])
+    # The steps are tables: as one plan they fill the driver, which plans all of it anew after every stage.
+    forms = stored(rows.select("assembly", "form", "words").dropDuplicates(["assembly", "form"]))
     held = forms.select("assembly", "form", F.explode(F.array_distinct("words")).alias("word"))
     # Names that the directory does not know need a partner for every word of the shorter one, so for
     # its rarest, too: a given name that many share makes no block by itself.
     often = held.filter("length(word) > 1").groupBy("assembly", "word").agg(F.count("*").alias("n"))
     rarest = held.join(often, ["assembly", "word"]).groupBy("assembly", "form").agg(F.min(F.struct("n", "word")).alias("w")).select("assembly", "form", F.col("w.word").alias("word"))
-    near = rarest.join(alike_words(forms), ["assembly", "word"]).select("assembly", "form", "other").distinct()
+    near = stored(rarest.join(stored(alike_words(forms)), ["assembly", "word"]).select("assembly", "form", "other").distinct())
     others = held.select("assembly", F.col("form").alias("form_b"), F.col("word").alias("other"))
-    met = near.join(others, ["assembly", "other"]).select("assembly", F.least("form", "form_b").alias("form"), F.greatest("form", "form_b").alias("form_b")).distinct()
+    met = stored(near.hint("merge").join(others, ["assembly", "other"]).select("assembly", F.least("form", "form_b").alias("form"), F.greatest("form", "form_b").alias("form_b")).distinct())
     one = rows.select("assembly", "form", F.col("record_id").alias("r"), F.col("kind").alias("kr"))
     two = rows.select("assembly", F.col("form").alias("form_b"), F.col("record_id").alias("s"), F.col("kind").alias("ks"))
     named = met.join(one, ["assembly", "form"]).join(two, ["assembly", "form_b"]).filter("kr <> ks and (form <> form_b or r < s)").select(F.least("r", "s").alias("record_id_a"), F.greatest("r", "s").alias("record_id_b"))
@@ -164,8 +167,8 @@ def readings(rows: DataFrame, persons: DataFrame) -> DataFrame:
     """assembly, form, member: the chance of being each entry of the directory, as a map of
     person to chance; the chances of a form sum to less than 1."""
     people = directory(persons).join(persons.select(F.col("id").alias("person_id"), assembly_code(F.split("source_id", ":")[0]).alias("scope")).filter("scope is not null").distinct(), "person_id").drop("source")
-    forms = rows.select(F.col("assembly").alias("scope"), "form", "words", "runs").dropDuplicates(["scope", "form"])
-    cost = member_readings(forms, people, MOST_COST + 0.6)
+    forms = stored(rows.select(F.col("assembly").alias("scope"), "form", "words", "runs").dropDuplicates(["scope", "form"]))
+    cost = stored(member_readings(forms, stored(people), MOST_COST + 0.6))
     weighed = cost.withColumn("w", F.exp(-F.col("cost") / SCALE))
     chance = weighed.withColumn("chance", F.col("w") / (F.sum("w").over(W.partitionBy("scope", "form")) + NOBODY))
     kept = chance.filter(F.col("chance") >= LEAST_CHANCE)
@@ -263,7 +266,8 @@ def train(features: DataFrame, chance: DataFrame) -> tuple[list[float], float, f
     pairs (``features``) and of random ones (``chance``).  A third is held out for Platt."""
     order = F.xxhash64("record_id_a", "record_id_b")
     # A minimum of hashes is a uniform sample.
-    drawn = lambda df, v, most: df.withColumn("y", weak_label()).filter(F.col("y") == v).withColumn("o", order).orderBy("o").limit(most).select(*FEATURES, "likeness", "initials", "y", "o").toPandas()
+    # It is drawn into a table, as what is drawn from each partition would meet in the driver.
+    drawn = lambda df, v, most: stored(df.withColumn("y", weak_label()).filter(F.col("y") == v).select(*FEATURES, "likeness", "initials", "y", order.alias("o")).orderBy("o").limit(most)).toPandas()
     yes = drawn(features, 1, TRAIN_PAIRS // 2)
     # As many mismatches as matches, or the fit would lean to the more frequent label; half of
     # them are random pairs, which any assembly has.
@@ -285,10 +289,10 @@ def train(features: DataFrame, chance: DataFrame) -> tuple[list[float], float, f
 def matched_records(candidates: DataFrame, proposals: DataFrame, positions: DataFrame, persons: DataFrame) -> DataFrame:
     """record_id_a, record_id_b, confidence: pairs of two sources that are more likely than
     not one member of one assembly.  Empty tables give no pairs."""
-    rows = checkpoint(records(candidates, proposals, positions))
-    read = checkpoint(readings(rows, persons))
-    features = checkpoint(pair_features(candidate_pairs(rows, read), rows, read))
-    w, slope, offset = train(features, pair_features(random_pairs(rows), rows, read))
+    rows = stored(records(candidates, proposals, positions))
+    read = stored(readings(rows, persons))
+    features = stored(pair_features(stored(candidate_pairs(rows, read)), rows, read))
+    w, slope, offset = train(features, stored(pair_features(random_pairs(rows), rows, read)))
     score = reduce(lambda a, b: a + b, [F.col(f) * v for f, v in zip(FEATURES, w)]) + F.lit(w[-1])
     confidence = 1 / (1 + F.exp(-(score * slope + offset)))
     return features.select("record_id_a", "record_id_b", confidence.alias("confidence")).filter("confidence > 0.5")

@@ -149,3 +149,14 @@ def test_word_join_is_no_broadcast(spark):
     assert [tuple(r)[1:3] for r in pairs.collect()] == [("ardorman", "ardornan")]
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_candidates_are_planned_in_steps(spark):
+    """The word join is made once and isn't part of the plan of the pairs."""
+    rows = parsed_rows(spark, [(1, "c", "QM-1", "Dorothy Ardorman"), (2, "e", "QM-1", "Dorothy Ardornan"), (3, "h", "QM-2", "Dorothy Ardorman")]).selectExpr("*", "1 as district", "'r' as party", "2000 as year")
+    alike = M.alike_words(rows.select("assembly", "form", "words"))
+    assert {(r.assembly, r.word, r.other) for r in alike.collect()} == {("QM-000001", a, b) for a in ("ardorman", "ardornan") for b in ("ardorman", "ardornan")} | {("QM-000002", "ardorman", "ardorman")} | {(s, "dorothy", "dorothy") for s in ("QM-000001", "QM-000002")}
+    assert alike._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    pairs = M.candidate_pairs(rows, M.readings(rows, persons(spark)))
+    assert {tuple(r) for r in pairs.collect()} == {(1, 2)}
+    assert "exact_cost" not in pairs._jdf.queryExecution().optimizedPlan().toString()
